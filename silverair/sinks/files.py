@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from silverair.functions.times import FRACTION_FORMAT
+
 MAX_ROWS_PER_FILE = 20_000_000
 
 
@@ -69,5 +71,9 @@ def land(df: DataFrame, path: str, run_at: Column, format: str = "parquet") -> b
             "day": F.date_format(run_at, "dd"),
         }
     )
-    dated.write.mode("append").partitionBy("year", "month", "day").format(format).save(path)
+    writer = dated.write.mode("append").partitionBy("year", "month", "day").format(format)
+    if format == "json":
+        # The default keeps milliseconds only.
+        writer = writer.option("timestampFormat", FRACTION_FORMAT)
+    writer.save(path)
     return True

@@ -14,6 +14,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from silverair.sinks.files import MAX_ROWS_PER_FILE
 from silverair.sources.files import delete_folder, exists
@@ -41,7 +42,7 @@ def current_version(spark: SparkSession, root: str) -> str | None:
     return manifest(spark, root).agg(F.max("version")).first()[0]
 
 
-def read_current(spark: SparkSession, root: str, schema: str) -> DataFrame:
+def read_current(spark: SparkSession, root: str, schema: str | StructType) -> DataFrame:
     version = current_version(spark, root)
     if version is None:
         raise FileNotFoundError(f"nothing published under {root}")
