@@ -60,26 +60,23 @@ def next_month(instant: Column | str) -> Column:
     return month_start(instant) + F.expr("interval 1 month")
 
 
-def month_windows(start: Column | str, end: Column | str) -> Column:
-    """Array of (window_start, window_end) that cover ``[start, end]`` by month.
+def months(start: Column | str, end: Column | str) -> Column:
+    """Array of the month starts that cover ``[start, end]``; empty when ``start`` is after ``end``."""
+    start, end = as_column(start), as_column(end)
+    # sequence() rejects a start behind its end, also in rows that are not kept.
+    last = F.greatest(month_start(start), end)
+    covered = F.sequence(month_start(start), last, F.expr("interval 1 month"))
+    return F.when(start <= end, covered)
+
+
+def month_window(month: Column | str, start: Column | str, end: Column | str) -> tuple[Column, Column]:
+    """First and last instant of the part of ``[start, end]`` that lies in ``month``.
 
     The first window is clipped to ``start``, the last to ``end``; the others
-    end one second before the next month. Empty when ``start`` is after ``end``.
+    end one second before the next month.
     """
-    start, end = as_column(start), as_column(end)
-    months = F.when(
-        start <= end, F.sequence(month_start(start), end, F.expr("interval 1 month"))
-    ).otherwise(F.array().cast("array<timestamp>"))
-    windows = F.transform(
-        months,
-        lambda month: F.struct(
-            F.greatest(month, start).alias("window_start"),
-            F.least(
-                month + F.expr("interval 1 month") - F.expr("interval 1 second"), end
-            ).alias("window_end"),
-        ),
-    )
-    return F.filter(windows, lambda w: w["window_start"] <= w["window_end"])
+    last_second = next_month(month) - F.expr("interval 1 second")
+    return F.greatest(as_column(month), as_column(start)), F.least(last_second, as_column(end))
 
 
 def run_partition(instant: Column | str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverair.functions.times import month_windows
+from silverair.functions.times import month_window, months
 
 LAST = "last_timestamp"
 
@@ -25,10 +25,14 @@ def next_windows(sensors: DataFrame, state: DataFrame, key: str, now: Column, lo
     return joined.withColumns({"date_from": F.greatest(resume, earliest), "date_to": now}).drop(LAST)
 
 
-def month_requests(sensors: DataFrame, start: Column, end: Column) -> DataFrame:
-    """One request per sensor and month of a backfill, with ``date_from`` and ``date_to``."""
-    windows = F.inline(month_windows(start, end)).alias("date_from", "date_to")
-    return sensors.select("*", windows)
+def month_requests(sensors: DataFrame, start: Column, end: Column, month: str = "month") -> DataFrame:
+    """One request per sensor and month of a backfill: ``month``, ``date_from``, ``date_to``."""
+    bounded = sensors.withColumns({"__start": start, "__end": end})
+    exploded = bounded.select("*", F.explode(months("__start", "__end")).alias(month))
+    date_from, date_to = month_window(month, "__start", "__end")
+    requests = exploded.withColumns({"date_from": date_from, "date_to": date_to}).drop("__start", "__end")
+    # A range that starts in the last second of a month leaves nothing of it.
+    return requests.filter(F.col("date_from") <= F.col("date_to"))
 
 
 def last_readings(rows: DataFrame, key: str, ended_at: Column) -> DataFrame:

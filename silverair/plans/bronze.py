@@ -200,7 +200,6 @@ def backfill_measurements(
 ) -> DataFrame:
     """Readings between ``start`` and ``end``, asked for by month and sensor."""
     requests = st.month_requests(sensors.select("sensor_id"), start, end)
-    requests = requests.withColumn("month", times.month_start("date_from"))
     rows = readings.withColumn("month", times.month_start(at))
     rows = st.within_window(rows, requests, ["sensor_id", "month"], at).drop("date_from", "date_to")
     return _capped(rows, ["sensor_id", "month"], at, max_per_window).drop("month")

@@ -69,7 +69,6 @@ def q_month_windows(t: Tables) -> DataFrame:
     orders = t.orders.withColumn("at", F.col("o_orderdate").cast("timestamp"))
     bounds = orders.groupBy("o_custkey").agg(F.min("at").alias("first"), F.max("at").alias("last"))
     requests = month_requests(bounds, F.col("first"), F.col("last"))
-    requests = requests.withColumn("month", times.month_start("date_from"))
     # Inside the active range a month is exactly one window.
     counts = orders.groupBy("o_custkey", times.month_start("at").alias("month")).agg(F.count(F.lit(1)).alias("n"))
     joined = requests.join(counts, ["o_custkey", "month"], "left")

@@ -21,10 +21,3 @@ def spark(tmp_path_factory) -> SparkSession:
     yield session
     session.stop()
 
-
-def rows(df, *order):
-    """Rows as a sorted list of tuples."""
-    if order:
-        df = df.orderBy(*order)
-    got = [tuple(r) for r in df.collect()]
-    return got if order else sorted(got, key=repr)
