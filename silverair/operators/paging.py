@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverair.operators.dedupe import top_per_key
+from silverair.operators.lookup import lookup_join
 from silverair.operators.nested import explode_where
 
 
@@ -13,8 +14,8 @@ def kept_pages(pages: DataFrame, request: str, page: str, results: str, count: s
     """Pages 1..n of each request, up to its first empty or missing page.
 
     A run ends behind a page whose successor has no rows. These ends are found
-    with an equi-join on (request, page), which no hot request can skew, and one
-    end per request is kept with a partial aggregate. ``count`` names a column with
+    with an equi-join on (request, page), which no hot request can skew; a partial
+    aggregate keeps one end per request, which is then looked up for every page. ``count`` names a column with
     the number of results, where the landing has one; the search for ends then
     reads no results.
     """
@@ -31,7 +32,7 @@ def kept_pages(pages: DataFrame, request: str, page: str, results: str, count: s
     opened = numbers.filter(F.col("__page") == 1).select(request)
     ends = ends.join(opened, request, "left_semi")
     in_run = F.col(page).between(1, F.col("__last"))
-    return filled.join(ends, request).filter(in_run).drop("__last")
+    return lookup_join(filled, ends, [request], [page]).filter(in_run).drop("__last")
 
 
 def concat_pages(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverair.functions.text import as_column
+from silverair.operators.lookup import lookup_join
 
 EARTH_RADIUS_M = 6_371_008.8
 METRES_PER_DEGREE = 110_574.0
@@ -26,8 +27,8 @@ def radius_join(sites: DataFrame, elements: DataFrame, radius_m: float, lat: str
 
     Both sides carry ``lat`` and ``lon``; those of the elements come back as
     ``element_lat`` and ``element_lon``. Elements fall into one grid cell and
-    sites look into the cells around them, so the join is an equi-join on cells
-    that AQE can split where a cell is crowded. Beyond latitude 85 a cell spans
+    sites look into the cells around them, so the join is an equi-join on cells;
+    crowded cells are spread over several tasks. Beyond latitude 85 a cell spans
     its whole parallel. Rows without coordinates match nothing.
     """
     step = radius_m * 1.01 / METRES_PER_DEGREE
@@ -63,5 +64,6 @@ def radius_join(sites: DataFrame, elements: DataFrame, radius_m: float, lat: str
     )
     near = near.select("*", F.explode(around).alias("__col"))
     distance = haversine_m(lat, lon, "element_lat", "element_lon")
-    pairs = near.join(placed, ["__row", "__col"]).withColumn("distance_m", distance)
+    joined = lookup_join(placed, near, ["__row", "__col"], ["element_lat", "element_lon"])
+    pairs = joined.withColumn("distance_m", distance)
     return pairs.filter(F.col("distance_m") <= radius_m).drop("__row", "__col")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverair.functions.times import month_window, months
+from silverair.operators.lookup import lookup_join
 
 LAST = "last_timestamp"
 
@@ -50,5 +51,5 @@ def advance_state(state: DataFrame, batch: DataFrame, key: str) -> DataFrame:
 def within_window(rows: DataFrame, requests: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
     """Rows whose time lies in the request window of their key."""
     windows = requests.select(*keys, "date_from", "date_to")
-    joined = rows.join(windows, list(keys))
+    joined = lookup_join(rows, windows, keys, [at])
     return joined.filter(F.col(at).between(F.col("date_from"), F.col("date_to")))

@@ -13,6 +13,7 @@ from silverair.functions.scoring import DEFAULT_RADIUS_M
 from silverair.functions.text import first_present
 from silverair.operators import state as st
 from silverair.operators.dedupe import distinct_sites, last_per_key, top_per_key
+from silverair.operators.lookup import lookup_join
 from silverair.operators.nested import explode_where, wrap_envelope, zip_rows
 from silverair.operators.paging import concat_pages
 from silverair.operators.ranking import run_ids
@@ -61,7 +62,8 @@ def measurements(
     described = sensors.select(
         "sensor_id", "sensor_name", "parameter_id", "parameter_name", "parameter_units", "parameter_display_name"
     )
-    return rows.join(described, "sensor_id").select(
+    described_rows = lookup_join(rows, described, ["sensor_id"], ["page", "record_pos"])
+    return described_rows.select(
         *described.columns,
         F.col("record.value").alias("value"),
         F.lit(load_type == "historical").alias("historical_load"),

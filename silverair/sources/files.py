@@ -16,6 +16,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return filesystem.exists(target)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Stored size of all files below ``path``."""
+    filesystem, target = _filesystem(spark, path)
+    return filesystem.getContentSummary(target).getLength()
+
+
 def delete_folder(spark: SparkSession, path: str) -> bool:
     filesystem, target = _filesystem(spark, path)
     return filesystem.delete(target, True)

@@ -14,6 +14,7 @@ def spark(tmp_path_factory) -> SparkSession:
         spark__ui__enabled="false",
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="4g",
+        spark__sql__maxMetadataStringLength="5000",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoint")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
