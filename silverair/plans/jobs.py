@@ -73,7 +73,7 @@ def full_refresh(
     result = versions.refresh(table.conform(df), root, validate=_gate(table, gated), now=now or datetime.now(UTC))
     if jdbc:
         warehouse.replace(versions.read_current(spark, root, table.ddl), table, jdbc)
-    result["deleted_versions"] = versions.retain(spark, root, keep)
+    result["deleted_files"] = versions.retain(spark, root, keep)
     return result
 
 

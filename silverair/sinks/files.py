@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from silverair.functions.times import FRACTION_FORMAT
@@ -57,23 +57,24 @@ def with_month_partition(df: DataFrame, day: str) -> DataFrame:
     )
 
 
-def land(df: DataFrame, path: str, run_at: Column, format: str = "parquet") -> bool:
-    """Append ``df`` under the day of the run, ``year=/month=/day=``; an empty frame writes nothing.
+def land(df: DataFrame, path: str, run_at: Column, format: str = "parquet", run: str | None = None) -> int:
+    """Append ``df`` under the day of the run, ``year=/month=/day=``; returns the number of rows.
 
-    Pass a materialised frame, because the test for rows reads it as well.
+    ``run`` adds a folder for the run below its day. Rows are counted while they
+    are written, so the plan is evaluated once; an empty frame leaves no file.
     """
-    if df.isEmpty():
-        return False
-    dated = df.withColumns(
-        {
-            "year": F.date_format(run_at, "yyyy"),
-            "month": F.date_format(run_at, "MM"),
-            "day": F.date_format(run_at, "dd"),
-        }
-    )
-    writer = dated.write.mode("append").partitionBy("year", "month", "day").format(format)
+    parts = {
+        "year": F.date_format(run_at, "yyyy"),
+        "month": F.date_format(run_at, "MM"),
+        "day": F.date_format(run_at, "dd"),
+    }
+    if run is not None:
+        parts["run"] = F.lit(run)
+    counter = Observation()
+    counted = df.observe(counter, F.count(F.lit(1)).alias("rows"))
+    writer = counted.withColumns(parts).write.mode("append").partitionBy(*parts).format(format)
     if format == "json":
         # The default keeps milliseconds only.
         writer = writer.option("timestampFormat", FRACTION_FORMAT)
-    writer.save(path)
-    return True
+    writer.option("maxRecordsPerFile", MAX_ROWS_PER_FILE).save(path)
+    return counter.get["rows"]

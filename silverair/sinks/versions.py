@@ -17,17 +17,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from silverair.sinks.files import MAX_ROWS_PER_FILE
-from silverair.sources.files import delete_folder, exists
+from silverair.sources.files import delete_folder, exists, list_files
 
-MANIFEST = "version string, rows bigint, details string, created_at string"
+MANIFEST = "version string, path string, rows bigint, details string, created_at string"
 
 
 def _manifest_path(root: str) -> str:
     return f"{root.rstrip('/')}/manifest"
 
 
-def version_path(root: str, version: str) -> str:
-    return f"{root.rstrip('/')}/data/version={version}"
+def new_version(now: datetime) -> str:
+    """A version name; names sort by time."""
+    return f"{now:%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
 
 def manifest(spark: SparkSession, root: str) -> DataFrame:
@@ -35,18 +36,29 @@ def manifest(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(MANIFEST).json(_manifest_path(root))
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    """Name of the newest published version, or ``None`` before the first refresh."""
+def current(spark: SparkSession, root: str) -> dict[str, Any] | None:
+    """Pointer to the newest published version, or ``None`` before the first one."""
     if not exists(spark, _manifest_path(root)):
         return None
-    return manifest(spark, root).agg(F.max("version")).first()[0]
+    newest = manifest(spark, root).orderBy(F.desc("version")).limit(1).collect()
+    return newest[0].asDict() if newest else None
 
 
 def read_current(spark: SparkSession, root: str, schema: str | StructType) -> DataFrame:
-    version = current_version(spark, root)
-    if version is None:
+    pointer = current(spark, root)
+    if pointer is None:
         raise FileNotFoundError(f"nothing published under {root}")
-    return spark.read.schema(schema).parquet(version_path(root, version))
+    return spark.read.schema(schema).parquet(pointer["path"])
+
+
+def publish(
+    spark: SparkSession, root: str, version: str, path: str, rows: int, details: Mapping[str, Any], now: datetime
+) -> dict[str, Any]:
+    """Point to ``path``; call this after its data was committed."""
+    entry = (version, path, rows, json.dumps(dict(details)), now.isoformat())
+    pointer = spark.createDataFrame([entry], MANIFEST)
+    pointer.coalesce(1).write.mode("append").json(_manifest_path(root))
+    return {"version": version, "path": path, "rows": rows, "created_at": entry[4]}
 
 
 def refresh(
@@ -64,28 +76,31 @@ def refresh(
     """
     spark = df.sparkSession
     now = now or datetime.now(UTC)
-    version = f"{now:%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    version = new_version(now)
+    path = f"{root.rstrip('/')}/data/version={version}"
     counters = Observation()
     counted = df.observe(counters, F.count(F.lit(1)).alias("rows"), *metrics)
     (
         counted.write.mode("errorifexists")
         .option("compression", "snappy")
         .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
-        .parquet(version_path(root, version))
+        .parquet(path)
     )
     observed = counters.get
     if validate:
-        validate(spark.read.schema(df.schema).parquet(version_path(root, version)))
-    entry = (version, observed["rows"], json.dumps(dict(details or {})), now.isoformat())
-    pointer = spark.createDataFrame([entry], MANIFEST)
-    pointer.coalesce(1).write.mode("append").json(_manifest_path(root))
-    return {"version": version, "created_at": entry[3], **observed}
+        validate(spark.read.schema(df.schema).parquet(path))
+    return {**observed, **publish(spark, root, version, path, observed["rows"], details or {}, now)}
 
 
 def retain(spark: SparkSession, root: str, versions: int = 1) -> int:
-    """Delete all but the newest ``versions`` published versions; returns how many went.
+    """Delete the data of all but the newest ``versions`` versions; returns the number of files.
 
     The number of versions is bounded by the number of refreshes, not by data.
     """
-    published = [r.version for r in manifest(spark, root).select("version").orderBy(F.desc("version")).collect()]
-    return sum(delete_folder(spark, version_path(root, v)) for v in published[versions:])
+    published = [r.path for r in manifest(spark, root).orderBy(F.desc("version")).select("path").collect()]
+    deleted = 0
+    for path in published[versions:]:
+        if exists(spark, path):
+            deleted += list_files(spark, path).count()
+            delete_folder(spark, path)
+    return deleted

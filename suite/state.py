@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverair.functions import times
 from silverair.operators import state as st
 from silverair.operators.nested import unwrap_envelope
-from silverair.plans import bronze
-from silverair.schemas import SENSOR_STATE
+from silverair.plans import bronze, landing
 from silverair.session import scratch_path
-from silverair.sinks import files
 from silverair.sources.tables import scan
 from suite.base import Tables, instant_sql, instant_text, query
 
@@ -74,12 +74,12 @@ def q_backfill(t: Tables) -> DataFrame:
 
 _ROUNDS_SQL = """
     first_round AS (
-        SELECT event_id, user_id, ts, value, '2024-01-16' AS load_date FROM events
+        SELECT event_id, user_id, ts, value, '2024-01-16T00:00:00+00:00' AS load_date FROM events
         WHERE ts BETWEEN TIMESTAMP '2024-01-06' AND TIMESTAMP '2024-01-16'
     ),
     last AS (SELECT user_id, max(ts) AS ts FROM first_round GROUP BY user_id),
     second_round AS (
-        SELECT event_id, e.user_id, e.ts, value, '2024-01-31' AS load_date FROM events e LEFT JOIN last l ON l.user_id = e.user_id
+        SELECT event_id, e.user_id, e.ts, value, '2024-01-31T00:00:00+00:00' AS load_date FROM events e LEFT JOIN last l ON l.user_id = e.user_id
         WHERE e.ts BETWEEN greatest(coalesce(l.ts + INTERVAL 1 SECOND, TIMESTAMP '2024-01-11'), TIMESTAMP '2024-01-11')
                        AND TIMESTAMP '2024-01-31'
     ),
@@ -91,29 +91,22 @@ def two_rounds(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Two incremental runs: landed envelopes, and the state after the second run."""
     rows = readings(t).drop("event_type")
     sensors = rows.select("sensor_id").distinct()
-    path = scratch_path(t.spark, "envelopes")
+    path, state_root = scratch_path(t.spark, "envelopes"), scratch_path(t.spark, "state")
+    for day, lookback in ((16, 10), (31, 20)):
+        now = datetime(2024, 1, day, tzinfo=UTC)
+        landing.incremental_measurements(sensors, rows, path, state_root, now, "at", lookback)
     schema = (
         "data struct<event_id: bigint, value: double, at: timestamp>, "
         "sys struct<load_date: string, source: string, sensor_id: bigint, granularity: string>, "
         "year string, month string, day string"
     )
-    state_paths = [scratch_path(t.spark, "state") for _ in range(2)]
-    state = t.spark.createDataFrame([], SENSOR_STATE)
-    for day, lookback, state_path in zip(("2024-01-16", "2024-01-31"), (10, 20), state_paths, strict=True):
-        now = F.lit(day).cast("timestamp")
-        batch = bronze.incremental_measurements(sensors, rows, state, now, "at", lookback)
-        files.land(bronze.landed(batch, F.lit(day), "measurement"), path, now, "json")
-        landed = unwrap_envelope(scan(t.spark, path, schema, "json").filter(F.col("sys.load_date") == day))
-        batch_state = st.last_readings(landed, "sensor_id", F.col("at"))
-        st.advance_state(state, batch_state, "sensor_id").write.parquet(state_path)
-        state = scan(t.spark, state_path, SENSOR_STATE)
-    return unwrap_envelope(scan(t.spark, path, schema, "json")), state
+    return unwrap_envelope(scan(t.spark, path, schema, "json")), landing.read_state(t.spark, state_root)
 
 
 @query(f"""
     WITH {_ROUNDS_SQL}
     SELECT event_id, value, {instant_sql("ts")} AS at, load_date, 'openaq_lambda' AS source, user_id AS sensor_id,
-           'measurement' AS granularity
+           'day' AS granularity
     FROM rounds
 """)
 def q_bronze_incremental(t: Tables) -> DataFrame:

@@ -224,7 +224,7 @@ def test_jobs_end_to_end(spark, tmp_path):
     root = str(tmp_path / "fact")
     for value in ("1", "2"):
         result = jobs.sensor_measures(*sources(spark, [measurement(1, "2026-01-01", value)], []), root)
-    assert result["rows"] == 1 and result["deleted_versions"] == 1
+    assert result["rows"] == 1 and result["deleted_files"] == 1
     stored = versions.read_current(spark, root, schemas.FACT_SENSOR_MEASURE.ddl)
     assert rows(stored.select("parameter_value")) == [(2.0,)]
 
@@ -239,7 +239,7 @@ def test_gate_keeps_bad_rows_out(spark, tmp_path):
     root = str(tmp_path / "score")
     with pytest.raises(QualityError, match=r"unique\(location_id\): 1"):
         jobs.urbanity_scores(repeated, root)
-    assert versions.current_version(spark, root) is None
+    assert versions.current(spark, root) is None
 
 
 def test_jdbc_copies_see_the_written_rows(spark, tmp_path, monkeypatch):

@@ -129,8 +129,9 @@ def test_land_skips_empty_frames(spark, tmp_path):
     df = spark.createDataFrame([(1, at)], "a int, at timestamp")
     for kind in ("json", "parquet"):
         path = str(tmp_path / kind)
-        assert files.land(df.limit(0), path, run_at, kind) is False and not os.path.exists(path)
-        assert files.land(df, path, run_at, kind) and files.land(df, path, run_at, kind)
+        assert files.land(df.filter("a > 1"), path, run_at, kind) == 0
+        assert [f for f in os.listdir(path) if not f.startswith((".", "_"))] == []
+        assert [files.land(df, path, run_at, kind) for _ in range(2)] == [1, 1]
         assert os.listdir(f"{path}/year=2026/month=04/day=05")
         stored = scan(spark, path, "a int, at timestamp, year string, month string, day string", kind)
         assert rows(stored) == [(1, at, "2026", "04", "05")] * 2
@@ -138,7 +139,7 @@ def test_land_skips_empty_frames(spark, tmp_path):
 
 def test_refresh_publishes_whole_versions(spark, tmp_path):
     root = str(tmp_path / "fact")
-    assert versions.current_version(spark, root) is None
+    assert versions.current(spark, root) is None
     with pytest.raises(FileNotFoundError):
         versions.read_current(spark, root, "id bigint")
     first = versions.refresh(spark.range(3), root, now=datetime(2026, 1, 1, tzinfo=UTC))
@@ -154,9 +155,10 @@ def test_refresh_publishes_whole_versions(spark, tmp_path):
 
     with pytest.raises(quality.QualityError):
         versions.refresh(spark.range(9), root, validate=reject)
-    assert versions.current_version(spark, root) == second["version"]
-    assert versions.retain(spark, root, 1) == 1
-    assert not os.path.exists(versions.version_path(root, first["version"]))
+    assert versions.current(spark, root)["version"] == second["version"]
+    old_files = len(parquet_files(first["path"]))
+    assert old_files and versions.retain(spark, root, 1) == old_files
+    assert not os.path.exists(first["path"]) and versions.retain(spark, root, 1) == 0
     assert versions.read_current(spark, root, "id bigint").count() == 3
 
 
