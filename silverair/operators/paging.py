@@ -20,7 +20,7 @@ def kept_pages(pages: DataFrame, request: str, page: str, results: str, count: s
     reads no results.
     """
     filled = pages.filter((F.col(count) if count else F.size(results)) > 0)
-    numbers = filled.select(request, F.col(page).cast("bigint").alias("__page")).distinct()
+    numbers = filled.select(request, F.col(page).cast("bigint").alias("__page"))
     # Requests without a first page have no run at all and join nothing below.
     following = numbers.select(request, (F.col("__page") - 1).alias("__page"))
     ends = (

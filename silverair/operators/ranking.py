@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from silverair.session import materialise
@@ -17,7 +17,9 @@ from silverair.session import materialise
 # monotonically_increasing_id() puts the partition above these bits and the
 # position inside the partition below them.
 POSITION_BITS = 33
-# Up to this many rows a slice or a capped input may pass through one task.
+# Up to this many values a histogram is broadcast.
+BROADCAST_ROWS = 1_000_000
+# Up to this many counted rows may pass through one task.
 SMALL_ROWS = 10_000
 
 
@@ -63,10 +65,53 @@ def bucket_of(position: str, total: str, buckets: int) -> Column:
     return F.expr(f"CAST(CASE WHEN {position} <= {cut} THEN {in_larger} ELSE {in_smaller} END AS INT)")
 
 
-def quantile_bucket(df: DataFrame, buckets: int, order: Sequence[str | Column], name: str) -> DataFrame:
-    """``ntile(buckets)`` over the whole table; ``order`` must end in a unique column."""
-    numbered = number_rows(df, order, "__position", "__count")
-    return numbered.withColumn(name, bucket_of("__position", "__count", buckets)).drop("__position", "__count")
+def quantile_bucket(df: DataFrame, buckets: int, order: Sequence[str], name: str) -> DataFrame:
+    """``ntile(buckets)`` over the whole table; ``order`` must end in a unique column.
+
+    Counts per value of the first column tell the bucket of nearly every row:
+    only values that cross a bucket border need their rows ranked, and there are
+    fewer than ``buckets`` of them. Those rows are sorted; the others stay where
+    they are. If there are too many values to broadcast, all rows are sorted.
+    """
+    value = order[0]
+    rows = materialise(df, "ranked")
+    values = Observation()
+    counts = rows.groupBy(F.col(value).alias("__value")).agg(F.count(F.lit(1)).alias("__n"))
+    counts = materialise(counts.observe(values, F.count(F.lit(1)).alias("rows")), "counts")
+    if values.get["rows"] > BROADCAST_ROWS:
+        numbered = number_rows(rows, order, "__position", "__count")
+        return numbered.withColumn(name, bucket_of("__position", "__count", buckets)).drop("__position", "__count")
+    # At most BROADCAST_ROWS rows pass through these windows.
+    before = Window.orderBy("__value").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("__value").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranges = (
+        counts.withColumn("__offset", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+        .withColumn("__count", F.sum("__n").over(everything))
+        .withColumns({"__first": F.col("__offset") + 1, "__last": F.col("__offset") + F.col("__n")})
+        .withColumns(
+            {
+                "__low": bucket_of("__first", "__count", buckets),
+                "__high": bucket_of("__last", "__count", buckets),
+            }
+        )
+    )
+    on_border = F.col("__low") < F.col("__high")
+    crossing_before = F.sum(F.when(on_border, F.col("__n")).otherwise(0)).over(before)
+    ranges = ranges.withColumn("__skipped", F.col("__offset") - F.coalesce(crossing_before, F.lit(0)))
+    border_rows = ranges.agg(F.sum(F.when(on_border, F.col("__n")))).first()[0] or 0
+    ranges = ranges.select("__value", "__low", "__high", "__skipped", "__count")
+    placed = rows.join(F.broadcast(ranges), F.col(value).eqNullSafe(F.col("__value"))).drop("__value")
+    whole = placed.filter(~on_border).withColumn(name, F.col("__low"))
+    # Crossing rows are numbered among themselves; the rows in between are added.
+    crossing = placed.filter(on_border)
+    if border_rows <= SMALL_ROWS:
+        crossing = crossing.withColumn("__among", F.row_number().over(Window.orderBy(*order)))
+    else:
+        crossing = number_rows(crossing, order, "__among")
+    crossing = crossing.withColumn("__position", F.col("__among") + F.col("__skipped"))
+    crossing = crossing.withColumn(name, bucket_of("__position", "__count", buckets))
+    columns = [*df.columns, name]
+    return whole.select(columns).unionByName(crossing.select(columns))
 
 
 def slice_rows(df: DataFrame, order: Sequence[str], start: int = 0, end: int | None = None) -> DataFrame:

@@ -8,15 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverair.functions import times
-from silverair.functions.elements import element_features
+from silverair.functions.elements import NO_AREA, element_features
 from silverair.functions.scoring import DEFAULT_RADIUS_M
 from silverair.functions.text import first_present
 from silverair.operators import state as st
 from silverair.operators.dedupe import distinct_sites, last_per_key, top_per_key
+from silverair.operators.features import tag_features
 from silverair.operators.lookup import lookup_join
 from silverair.operators.nested import explode_where, wrap_envelope, zip_rows
 from silverair.operators.paging import concat_pages
 from silverair.operators.ranking import run_ids
+from silverair.operators.spatial import radius_join
 from silverair.plans.silver import is_pm25
 from silverair.schemas import END_TIME_PATHS, WEATHER_METRICS
 
@@ -174,6 +176,23 @@ def site_features(
     )
 
 
+def features_around(
+    sites: DataFrame, elements: DataFrame, radius_m: float = DEFAULT_RADIUS_M, site: str = "location_id"
+) -> DataFrame:
+    """Features per site from a table of map elements instead of one response per site.
+
+    ``sites`` and ``elements`` carry ``lat`` and ``lon``; sites without elements
+    count none.
+    """
+    near = radius_join(sites.select(site, "lat", "lon"), elements, radius_m)
+    # Elements of a table have no order of their own: the nearest area comes first.
+    ordered = near.withColumn("pos", F.struct("distance_m", "type", "id"))
+    found = sites.join(tag_features(ordered, site), site, "left")
+    return found.na.fill(0, ["building_count_all", "main_building_count", "highway_count"]).na.fill(
+        {"area_tag": NO_AREA[0], "area_tag_source": NO_AREA[1]}
+    )
+
+
 def end_time(record: str) -> Column:
     """End of a reading: the first of its known end fields that is not empty.
 

@@ -61,9 +61,18 @@ def scratch_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application.
+
+    Frames read from it until they are used up, so it is left to the caller to
+    delete it when the application ends.
+    """
+    return f"{scratch_root(spark).rstrip('/')}/silverair/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{scratch_root(spark).rstrip('/')}/silverair/{label}-{uuid.uuid4().hex}"
+    """A path in the scratch folder that nothing else uses."""
+    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:

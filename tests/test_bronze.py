@@ -107,6 +107,26 @@ def test_site_features(spark, limit):
     ]
 
 
+def test_features_around(spark):
+    near = spark.createDataFrame([(1, 50.0, 7.0), (2, 0.0, 0.0)], "location_id bigint, lat double, lon double")
+    elements = spark.createDataFrame(
+        [
+            ("way", 1, {"building": "house"}, 50.001, 7.001),
+            ("way", 1, {"building": "house"}, 50.001, 7.001),
+            ("way", 2, {"building": "garage"}, 50.0, 7.0),
+            ("way", 3, {"highway": "x"}, 50.002, 7.0),
+            ("way", 4, {"highway": "x"}, 50.01, 7.0),  # 1.1 km away
+            ("way", 5, {"landuse": "far"}, 50.002, 7.0),
+            ("way", 6, {"landuse": "near"}, 50.001, 7.0),
+        ],
+        "type string, id bigint, tags map<string,string>, lat double, lon double",
+    )
+    assert rows(bronze.features_around(near, elements).drop("lat", "lon"), "location_id") == [
+        (1, 2, 1, 1, "landuse=near", "landuse"),
+        (2, 0, 0, 0, "unknown", "fallback"),
+    ]
+
+
 NESTED = {
     "date.utc": ("date", ("{}",)),
     "datetime.utc": ("datetime", ("{}",)),

@@ -7,11 +7,17 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from helpers import plan, rows, values
+from silverair.operators import ranking
 from silverair.operators.ranking import bucket_of, number_rows, quantile_bucket, run_ids, slice_rows
 
 
+@pytest.mark.parametrize("way", ["few on a border", "many on a border", "many values"])
 @pytest.mark.parametrize("n", [0, 1, 3, 5, 7, 1000])
-def test_quantile_bucket_equals_ntile(spark, n):
+def test_quantile_bucket_equals_ntile(spark, monkeypatch, n, way):
+    if way == "many values":
+        monkeypatch.setattr(ranking, "BROADCAST_ROWS", 0)
+    if way == "many on a border":
+        monkeypatch.setattr(ranking, "SMALL_ROWS", 0)
     # More than a third of the rows share one value and some have none.
     value = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 7 != 1, F.col("id") % 5)
     df = spark.range(n).select("id", value.alias("v"))
@@ -20,6 +26,31 @@ def test_quantile_bucket_equals_ntile(spark, n):
     assert rows(got, "id") == rows(want, "id")
 
 
+@pytest.mark.parametrize("buckets", [1, 2, 5, 50])
+def test_quantile_bucket_of_other_values(spark, buckets):
+    value = F.when(F.col("id") % 4 == 0, float("nan")).when(F.col("id") % 4 == 1, -0.0).otherwise(F.col("id") % 11)
+    df = spark.range(301).select(value.alias("v"), F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"))
+    want = df.withColumn("b", F.ntile(buckets).over(Window.orderBy("v", "k")))
+    got = quantile_bucket(df, buckets, ["v", "k"], "b")
+    assert rows(got.select("k", "b"), "k") == rows(want.select("k", "b"), "k")
+
+
+def test_only_values_on_a_border_are_sorted(spark, monkeypatch):
+    sorted_rows = []
+
+    def spy(df, *args, **kwargs):
+        sorted_rows.append(df.count())
+        return number_rows(df, *args, **kwargs)
+
+    monkeypatch.setattr(ranking, "number_rows", spy)
+    monkeypatch.setattr(ranking, "SMALL_ROWS", 0)
+    df = spark.range(1000).select("id", (F.col("id") % 20).alias("v"))
+    got = quantile_bucket(df, 3, ["v", "id"], "b")
+    assert got.groupBy("b").count().count() == 3
+    # 334 and 667 fall into the seventh and the fourteenth value.
+    assert sorted_rows == [100]
+
+
 @settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(total=st.integers(1, 400), buckets=st.integers(1, 30))
 def test_bucket_formula(total, buckets, spark):
