@@ -26,7 +26,7 @@ def measurements(
     load_type, date_from, date_to = window
     spark = pages.sparkSession
     rows = bronze.measurements(pages, sensors, window)
-    version = versions.new_version(now)
+    version = versions.new_version()
     written = files.land(rows, f"{root}/data", F.lit(now), run=version)
     if not written:
         return None

@@ -26,9 +26,13 @@ def _manifest_path(root: str) -> str:
     return f"{root.rstrip('/')}/manifest"
 
 
-def new_version(now: datetime) -> str:
-    """A version name; names sort by time."""
-    return f"{now:%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+def new_version() -> str:
+    """A version name; names sort by the time they were made.
+
+    That is not the logical time of the run: a run that is repeated for the same
+    time must win over its first attempt.
+    """
+    return f"{datetime.now(UTC):%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
 
 def manifest(spark: SparkSession, root: str) -> DataFrame:
@@ -76,7 +80,7 @@ def refresh(
     """
     spark = df.sparkSession
     now = now or datetime.now(UTC)
-    version = new_version(now)
+    version = new_version()
     path = f"{root.rstrip('/')}/data/version={version}"
     counters = Observation()
     counted = df.observe(counters, F.count(F.lit(1)).alias("rows"), *metrics)
