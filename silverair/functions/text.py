@@ -20,6 +20,11 @@ def strip_quotes(text: Column | str) -> Column:
     return F.regexp_replace(as_column(text), '^"|"$', "")
 
 
+def equals_unquoted(text: Column | str, value: str) -> Column:
+    """``strip_quotes(text) = value``, written so that it reaches a parquet scan."""
+    return as_column(text).isin(value, f'"{value}', f'{value}"', f'"{value}"')
+
+
 def first_present(*candidates: Column | str) -> Column:
     """First candidate that is neither NULL nor empty text."""
     return F.coalesce(*[F.nullif(as_column(c), F.lit("")) for c in candidates])

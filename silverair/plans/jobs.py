@@ -43,8 +43,12 @@ def insert_only(
     partition_by: Sequence[str] = (),
     jdbc: JdbcOptions = None,
     gated: bool = True,
+    catalog_table: str | None = None,
 ) -> DataFrame:
-    """Append the rows of ``batch`` whose key is new; returns them."""
+    """Append the rows of ``batch`` whose key is new; returns them.
+
+    A gated job writes nothing if a constraint of ``table`` is violated.
+    """
     spark = batch.sparkSession
     prune_by = partition_by[0] if partition_by else None
     if prune_by:
@@ -53,7 +57,7 @@ def insert_only(
     new = materialise(new, f"{table.name}-new")
     if gated:
         enforce(check(new, table.rules))
-    files.append(new, path, partition_by)
+    files.append(new, path, partition_by, catalog_table)
     if jdbc:
         warehouse.append(new, table, jdbc)
     return new
@@ -65,34 +69,44 @@ def full_refresh(
     root: str,
     jdbc: JdbcOptions = None,
     gated: bool = True,
+    catalog_table: str | None = None,
     keep: int = 1,
     now: datetime | None = None,
 ) -> dict[str, Any]:
-    """Replace the published version of ``table``; old versions beyond ``keep`` are deleted."""
+    """Replace the published version of ``table``; old versions beyond ``keep`` are deleted.
+
+    A gated job publishes nothing if a constraint of ``table`` is violated.
+    """
     spark = df.sparkSession
     result = versions.refresh(table.conform(df), root, validate=_gate(table, gated), now=now or datetime.now(UTC))
+    if catalog_table:
+        versions.register(spark, root, catalog_table, table.ddl)
     if jdbc:
         warehouse.replace(versions.read_current(spark, root, table.ddl), table, jdbc)
     result["deleted_files"] = versions.retain(spark, root, keep)
     return result
 
 
-def sensor_locations(locations: DataFrame, path: str, jdbc: JdbcOptions = None) -> DataFrame:
-    return insert_only(silver.sensor_location(locations), DIM_SENSOR_LOCATION, path, jdbc=jdbc)
+def sensor_locations(locations: DataFrame, path: str, jdbc: JdbcOptions = None, **options: Any) -> DataFrame:
+    return insert_only(silver.sensor_location(locations), DIM_SENSOR_LOCATION, path, jdbc=jdbc, **options)
 
 
-def sensor_measures(measurements: DataFrame, historical: DataFrame, root: str, jdbc: JdbcOptions = None) -> dict[str, Any]:
-    return full_refresh(silver.sensor_measure(measurements, historical), FACT_SENSOR_MEASURE, root, jdbc)
+def sensor_measures(
+    measurements: DataFrame, historical: DataFrame, root: str, jdbc: JdbcOptions = None, **options: Any
+) -> dict[str, Any]:
+    return full_refresh(silver.sensor_measure(measurements, historical), FACT_SENSOR_MEASURE, root, jdbc, **options)
 
 
-def weather(raw: DataFrame, path: str, jdbc: JdbcOptions = None) -> DataFrame:
-    return insert_only(silver.latest_weather(raw), FACT_WEATHER, path, ["date_id"], jdbc)
+def weather(raw: DataFrame, path: str, jdbc: JdbcOptions = None, **options: Any) -> DataFrame:
+    return insert_only(silver.latest_weather(raw), FACT_WEATHER, path, ["date_id"], jdbc, **options)
 
 
-def urbanity_scores(features: DataFrame, root: str, jdbc: JdbcOptions = None) -> dict[str, Any]:
-    return full_refresh(silver.urbanity(features), DIM_URBANITY_SCORE, root, jdbc)
+def urbanity_scores(features: DataFrame, root: str, jdbc: JdbcOptions = None, **options: Any) -> dict[str, Any]:
+    return full_refresh(silver.urbanity(features), DIM_URBANITY_SCORE, root, jdbc, **options)
 
 
-def dates(spark: SparkSession, first: date, last: date, root: str, jdbc: JdbcOptions = None) -> dict[str, Any]:
+def dates(
+    spark: SparkSession, first: date, last: date, root: str, jdbc: JdbcOptions = None, **options: Any
+) -> dict[str, Any]:
     calendar = silver.date_dimension(spark.range(1), F.lit(first), F.lit(last))
-    return full_refresh(calendar, DIM_DATE, root, jdbc)
+    return full_refresh(calendar, DIM_DATE, root, jdbc, **options)

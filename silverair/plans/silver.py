@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverair.functions import scoring, times
-from silverair.functions.text import natural_key, strip_quotes
+from silverair.functions.text import equals_unquoted, natural_key, strip_quotes
 from silverair.operators.dedupe import latest_per_key
 from silverair.operators.increment import insert_new, priority_union
 from silverair.operators.nested import explode_where
@@ -95,7 +95,9 @@ def current_measures(measurements: DataFrame, date_basis: str = "request") -> Da
 
 def clean_readings(historical: DataFrame, zone: Column | str | None = None) -> DataFrame:
     """Raw fine-dust readings without quotes, with their day; unusable ones are dropped."""
-    present = historical.filter(F.col("sensors_id").isNotNull() & F.col("datetime").isNotNull())
+    present = historical.filter(
+        equals_unquoted("parameter", PM25_LABEL) & F.col("sensors_id").isNotNull() & F.col("datetime").isNotNull()
+    )
     plain = present.select(
         strip_quotes(F.col("sensors_id").cast("string")).alias("sensor"),
         strip_quotes("parameter").alias("parameter"),
@@ -105,7 +107,7 @@ def clean_readings(historical: DataFrame, zone: Column | str | None = None) -> D
         *([] if zone is None else [F.col(zone).alias("zone") if isinstance(zone, str) else zone.alias("zone")]),
     )
     dated = plain.withColumn("day", times.local_day("read_at", None if zone is None else F.col("zone")))
-    return dated.filter((F.col("parameter") == PM25_LABEL) & F.col("day").isNotNull() & F.col("value").isNotNull())
+    return dated.filter(F.col("day").isNotNull() & F.col("value").isNotNull())
 
 
 def historical_measures(historical: DataFrame, zone: Column | str | None = None) -> DataFrame:

@@ -96,6 +96,20 @@ def refresh(
     return {**observed, **publish(spark, root, version, path, observed["rows"], details or {}, now)}
 
 
+def register(spark: SparkSession, root: str, table: str, schema: str) -> None:
+    """Let the catalog table ``table`` show the current version; creates the table if needed."""
+    pointer = current(spark, root)
+    if pointer is None:
+        raise FileNotFoundError(f"nothing published under {root}")
+    if spark.catalog.tableExists(table):
+        location = pointer["path"].replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+        spark.catalog.refreshTable(table)
+    else:
+        columns = spark.read.schema(schema).parquet(pointer["path"]).schema
+        spark.catalog.createTable(table, path=pointer["path"], source="parquet", schema=columns)
+
+
 def retain(spark: SparkSession, root: str, versions: int = 1) -> int:
     """Delete the data of all but the newest ``versions`` versions; returns the number of files.
 

@@ -256,3 +256,32 @@ def test_jdbc_copies_see_the_written_rows(spark, tmp_path, monkeypatch):
         ("append", "dim_sensor_location", 0, options),
         ("replace", "dim_date", 31, options),
     ]
+
+
+def test_ungated_job_writes_what_it_gets(spark, tmp_path):
+    raw = spark.createDataFrame([weather(1, "no day", "2026-01-03T00:00:00+00:00")], schemas.WEATHER)
+    with pytest.raises(QualityError, match=r"not_null\(date_id\): 1"):
+        jobs.weather(raw, str(tmp_path / "w"))
+    assert jobs.weather(raw, str(tmp_path / "w"), gated=False).count() == 1
+
+
+def test_catalog_tables_follow_the_jobs(spark, tmp_path):
+    for value in ("1", "2"):
+        measures = sources(spark, [measurement(1, "2026-01-01", value)], [])
+        jobs.sensor_measures(*measures, str(tmp_path / "it's fact"), catalog_table="fact_sensor_measure")
+        assert rows(spark.table("fact_sensor_measure").select("parameter_value")) == [(float(value),)]
+    nested = locations(spark, location(1, [sensor(10)]))
+    for _ in range(2):
+        jobs.sensor_locations(nested, str(tmp_path / "dim"), catalog_table="dim_sensor_location")
+    assert spark.table("dim_sensor_location").count() == 1
+    for name in ("fact_sensor_measure", "dim_sensor_location"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_label_filter_reaches_the_scan(spark, tmp_path):
+    labels = ["pm25", '"pm25"', '"pm25', 'pm25"', '""pm25""', "pm10", '"pm25 "', None]
+    data = [("1", label, "u", "1", f"2026-01-0{i + 1}T00:00:00Z") for i, label in enumerate(labels)]
+    spark.createDataFrame(data, schemas.MEASUREMENTS_HISTORICAL).write.parquet(str(tmp_path / "h"))
+    clean = silver.clean_readings(scan(spark, str(tmp_path / "h"), schemas.MEASUREMENTS_HISTORICAL))
+    assert sorted(r[0].day for r in clean.select("day").collect()) == [1, 2, 3, 4]
+    assert "In(parameter, [" in plan(clean).split("PushedFilters")[1]

@@ -27,6 +27,31 @@ def test_scratch_is_in_the_folder_of_the_session(spark):
     assert first.startswith(root) and first != second
 
 
+def test_scratch_on_a_cluster_must_be_shared(monkeypatch, tmp_path):
+    class Context:
+        applicationId = "app-1"
+
+        def __init__(self, master):
+            self.master, self.folder = master, None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = f"file:{folder}/x"
+
+    class Session:
+        def __init__(self, master, folder=None):
+            self.sparkContext = Context(master)
+            self.conf = type("Conf", (), {"get": staticmethod(lambda name, default: folder)})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(Session("spark://host:7077"), "a")
+    assert scratch_path(Session("yarn", "hdfs:///shared/"), "a").startswith("hdfs:///shared/silverair/app-1/a-")
+    monkeypatch.setattr("tempfile.mkdtemp", lambda prefix: str(tmp_path))
+    assert scratch_path(Session("local[2]"), "a").startswith(f"file:{tmp_path}/x/silverair/app-1/a-")
+
+
 def test_append_and_table_registration(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(3)
