@@ -15,29 +15,29 @@ def tag_features(
 
     Elements are first folded by identity and then by site. Both steps combine
     on the map side, so a site with a third of all elements stays spread out.
+    Areas are few and their text would keep the counts from hash aggregation, so
+    they are folded on their own.
     """
     k, t = F.col(kind), F.col(tags)
-    flags = elements.select(
-        site,
-        E.identity(kind, number).alias("__identity"),
-        F.coalesce(E.is_building(k, t), F.lit(False)).alias("__building"),
-        F.coalesce(E.is_main_building(k, t), F.lit(False)).alias("__main"),
-        F.coalesce(E.is_highway(k, t), F.lit(False)).alias("__highway"),
-        F.when(E.has_area(t), F.col(pos)).alias("__area_pos"),
-        F.when(E.has_area(t), E.area_label(t)).alias("__area"),
-    )
-    by_identity = flags.groupBy(site, "__identity").agg(
-        F.max("__building").cast("bigint").alias("__building"),
-        F.max("__main").cast("bigint").alias("__main"),
-        F.max("__highway").cast("bigint").alias("__highway"),
-        F.min("__area_pos").alias("__area_pos"),
-        F.min_by("__area", "__area_pos").alias("__area"),
-    )
-    area = F.min_by("__area", "__area_pos")
-    return by_identity.groupBy(site).agg(
+    flags = {"building": E.is_building(k, t), "main": E.is_main_building(k, t), "highway": E.is_highway(k, t)}
+    tests = elements.select(
+        site, k.alias("__kind"), F.col(number).alias("__number"),
+        *[F.coalesce(test, F.lit(False)).alias(f"__{name}") for name, test in flags.items()],
+    )
+    counted = F.col("__building") | F.col("__highway")
+    # Elements that count for nothing fall together; their site must stay.
+    by_identity = tests.groupBy(
+        site, F.when(counted, F.col("__kind")).alias("__kind"), F.when(counted, F.col("__number")).alias("__number")
+    ).agg(*[F.max(f"__{name}").cast("bigint").alias(f"__{name}") for name in flags])
+    counts = by_identity.groupBy(site).agg(
         F.sum("__building").alias("building_count_all"),
         F.sum("__main").alias("main_building_count"),
         F.sum("__highway").alias("highway_count"),
-        F.coalesce(area, F.lit(E.NO_AREA[0])).alias("area_tag"),
-        F.when(area.isNotNull(), F.lit("landuse")).otherwise(F.lit(E.NO_AREA[1])).alias("area_tag_source"),
+    )
+    first_area = F.min_by(E.area_label(t), F.col(pos)).alias("__area")
+    areas = elements.filter(E.has_area(t) & F.col(site).isNotNull()).groupBy(site).agg(first_area)
+    return counts.join(areas, site, "left").select(
+        *counts.columns,
+        F.coalesce("__area", F.lit(E.NO_AREA[0])).alias("area_tag"),
+        F.when(F.col("__area").isNotNull(), F.lit("landuse")).otherwise(F.lit(E.NO_AREA[1])).alias("area_tag_source"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverair.functions import scoring, times
-from silverair.functions.text import equals_unquoted, natural_key, strip_quotes
+from silverair.functions.text import as_column, equals_unquoted, natural_key, strip_quotes
 from silverair.operators.dedupe import latest_per_key
 from silverair.operators.increment import insert_new, priority_union
 from silverair.operators.nested import explode_where
@@ -94,20 +94,20 @@ def current_measures(measurements: DataFrame, date_basis: str = "request") -> Da
 
 
 def clean_readings(historical: DataFrame, zone: Column | str | None = None) -> DataFrame:
-    """Raw fine-dust readings without quotes, with their day; unusable ones are dropped."""
+    """Raw fine-dust readings without quotes, with their day; unusable text is NULL."""
     present = historical.filter(
         equals_unquoted("parameter", PM25_LABEL) & F.col("sensors_id").isNotNull() & F.col("datetime").isNotNull()
     )
+    zones = [] if zone is None else [as_column(zone).alias("zone")]
     plain = present.select(
         strip_quotes(F.col("sensors_id").cast("string")).alias("sensor"),
         strip_quotes("parameter").alias("parameter"),
         strip_quotes("units").alias("units"),
         strip_quotes("value").try_cast("double").alias("value"),
         times.reading_instant(strip_quotes("datetime")).alias("read_at"),
-        *([] if zone is None else [F.col(zone).alias("zone") if isinstance(zone, str) else zone.alias("zone")]),
+        *zones,
     )
-    dated = plain.withColumn("day", times.local_day("read_at", None if zone is None else F.col("zone")))
-    return dated.filter(F.col("day").isNotNull() & F.col("value").isNotNull())
+    return plain.withColumn("day", times.local_day("read_at", "zone" if zones else None))
 
 
 def historical_measures(historical: DataFrame, zone: Column | str | None = None) -> DataFrame:
@@ -115,10 +115,14 @@ def historical_measures(historical: DataFrame, zone: Column | str | None = None)
 
     A day is a UTC day, or a day of the site when ``zone`` gives its time zone.
     """
+    # Unusable readings are dropped by the aggregates: they have no time or no
+    # value. A filter would move below the projection and parse all text twice.
+    usable_at = F.when(F.col("value").isNotNull(), F.col("read_at"))
     daily = (
         clean_readings(historical, zone)
         .groupBy("sensor", "parameter", "units", "day")
-        .agg(F.avg("value").alias("value"), F.min("read_at").alias("read_at"))
+        .agg(F.avg("value").alias("value"), F.min(usable_at).alias("read_at"))
+        .filter(F.col("read_at").isNotNull())
     )
     return daily.select(
         *_measure_columns(

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 import pytest
@@ -169,6 +170,21 @@ def test_end_time_tries_all_paths_in_order(spark, case_sensitive):
     assert rows(df.select("n", bronze.end_time("record").alias("t")), "n") == want
 
 
+def test_landed_json_keeps_fields_that_differ_by_case(spark, case_sensitive, tmp_path):
+    records = [
+        {"value": 1.5, "period": {"datetimeto": {"utc": "2026-01-01T01:00:00Z"}, "datetimeTo": {"utc": "2026-01-01T02:00:00Z"}}},
+        {"value": 2.5, "period": {"datetimeTo": {"utc": "2026-01-01T03:00:00Z"}}, "datetimeTo": "2026-01-01T04:00:00Z"},
+        {"value": 3.5, "coverage": {"datetimeto": {"utc": ""}}, "datetimeto": {"utc": "2026-01-01T05:00:00Z"}},
+        {"value": 4.5, "date": {"utc": None}},
+    ]
+    sys = {"load_date": "2026-01-02", "source": "s", "sensor_id": 7, "granularity": "day"}
+    (tmp_path / "landed.json").write_text("\n".join(json.dumps({"data": r, "sys": sys}) for r in records) + '\n{"data": {')
+    landed = spark.read.schema(schemas.ENVELOPE).json(str(tmp_path / "landed.json")).filter("sys is not null")
+    ends = landed.select("data.value", bronze.end_time("data").alias("at"), F.col("sys.sensor_id").alias("s"))
+    assert [(v, at and at.hour) for v, at, _ in rows(ends, "value")] == [(1.5, 1), (2.5, 3), (3.5, 5), (4.5, None)]
+    assert rows(state.last_readings(ends, "s", F.col("at"))) == [(7, datetime(2026, 1, 1, 5))]
+
+
 def test_measurements(spark, case_sensitive):
     def value(v):
         return record(value=v, period=(None, ("2026-01-02T00:00:00Z",)))

@@ -3,6 +3,8 @@ from __future__ import annotations
 from datetime import UTC, date, datetime
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from helpers import rows, values
@@ -15,12 +17,20 @@ def ask(spark, item, build, kind="string"):
 
 @pytest.mark.parametrize(
     ("given", "want"),
-    [('"a"', "a"), ("a", "a"), ('"a"b"', 'a"b'), ('""', ""), ('"', ""), ('a"b', 'a"b'), (None, None)],
+    [('"a"\n', "a\n"), ("\n", "\n"), ('a\n"', "a\n"), ('"\r\n', "\r\n"), ('"é"', "é"), ("", ""), ('"a"', "a"), ("a", "a"), ('"a"b"', 'a"b'), ('""', ""), ('"', ""), ('a"b', 'a"b'), (None, None)],
 )
 def test_strip_quotes(spark, given, want):
     assert ask(spark, given, text.strip_quotes) == want
 
 
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts=st.lists(st.text('"a\n\r\u2028é', max_size=5), min_size=1, max_size=60))
+def test_strip_quotes_equals_the_pattern(texts, spark):
+    df = values(spark, "v", texts)
+    pattern = F.regexp_replace("v", '^"|"$', "")
+    assert df.filter(text.strip_quotes("v") != pattern).isEmpty()
+
+
 def test_natural_key_skips_nulls_and_is_never_null(spark):
     df = spark.createDataFrame([(1, "x", 2.5), (None, None, None), (7, None, -0.125)], "a int, b string, c double")
     assert rows(df.select(text.natural_key("-", "a", "b", "c"))) == [("",), ("1-x-2.5",), ("7--0.125",)]
