@@ -63,6 +63,8 @@ def site_features(
 ) -> dict[str, Any]:
     """Publish the features of all sites as the only snapshot; returns the run log."""
     rows = bronze.site_features(sites, payloads, F.lit(now), ordinal, radius_m, limit)
+    # The declared key is a 64-bit number: a run of more than 99,999 sites fails here.
+    rows = rows.withColumn("sys_primary_key", F.col("sys_primary_key").cast("bigint"))
     log = versions.refresh(rows, root, {"radius_m": radius_m, "max_locations": limit}, run_counters(), now=now)
     return {**log, "deleted_files": versions.retain(sites.sparkSession, root, 1)}
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 from datetime import UTC, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
@@ -56,14 +57,17 @@ def test_weather_replaces_days_and_logs_the_run(spark, tmp_path):
     ]
 
 
-def test_site_features_keep_one_snapshot(spark, tmp_path):
+@pytest.mark.parametrize("limit", [200, None])
+def test_site_features_keep_one_snapshot(spark, tmp_path, limit):
     root = str(tmp_path / "features")
     payloads = spark.createDataFrame([(1, [("way", 1, {"highway": "x"})], None), (2, None, "timeout")], schemas.ELEMENT_PAYLOADS)
-    logs = [landing.site_features(sites(spark, 1, 2), payloads, root, NOW, ["ordinal"]) for _ in range(2)]
+    logs = [landing.site_features(sites(spark, 1, 2), payloads, root, NOW, ["ordinal"], limit=limit) for _ in range(2)]
     assert [(log["processed"], log["succeeded"], log["failed"]) for log in logs] == [(2, 1, 1)] * 2
     assert logs[0]["deleted_files"] == 0 and logs[1]["deleted_files"] > 0
     stored = versions.read_current(spark, root, schemas.SITE_FEATURES)
-    assert rows(stored.select("location_id", "highway_count"), "location_id") == [(1, 1), (2, None)]
+    assert rows(stored.select("sys_primary_key", "location_id", "highway_count"), "location_id") == [
+        (20260430101530002, 1, 1), (20260430101530001, 2, None),
+    ]
 
 
 def test_incremental_runs_continue_from_the_written_state(spark, tmp_path):
