@@ -12,8 +12,6 @@ from silverair.session import configure, scratch_path
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", stages.quality_rules),
     ("simhash_near_dedup", stages.simhash_near_dedup),
-    ("suffix_array_dedup", stages.suffix_array_dedup),
-    ("benchmark_decontamination", stages.benchmark_decontamination),
     ("sentencepiece", stages.sentencepiece),
 ]
 

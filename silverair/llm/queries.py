@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverair.llm import quality_crf, quality_rules, sentencepiece_codec, simhash
+from silverair.llm import language_id, quality_crf, quality_rules, sentencepiece_codec, simhash, toxicity
 from silverair.llm.fitting import fold
 from silverair.session import configure
 
@@ -73,3 +73,19 @@ def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language_id.fit_languages(docs.where(fold("doc_id", 3) != 1))
+    found = language_id.identify(docs, model)
+    return found.select("doc_id", held_out(3, 1), "lang_pred", "score")
+
+
+@query
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = toxicity.fit_toxicity(docs, labels.where(fold("doc_id", 5) != 0))
+    found = toxicity.toxicity(docs, model)
+    return found.select("doc_id", held_out(5, 0), *scored(F.col("score"), 0.5), "n_windows", "n_toxic_windows")
