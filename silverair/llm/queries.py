@@ -5,10 +5,10 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from silverair.llm import language_id, quality_crf, quality_rules, sentencepiece_codec, simhash, toxicity
+from silverair.llm import chat, language_id, quality_crf, quality_rules, sentencepiece_codec, simhash, toxicity, url_filter
 from silverair.llm.fitting import fold
 from silverair.session import configure
 
@@ -89,3 +89,104 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.fit_toxicity(docs, labels.where(fold("doc_id", 5) != 0))
     found = toxicity.toxicity(docs, model)
     return found.select("doc_id", held_out(5, 0), *scored(F.col("score"), 0.5), "n_windows", "n_toxic_windows")
+
+
+def conversation_log(turns: DataFrame) -> DataFrame:
+    """Turns as a log with one ``message`` event each; turns with one number go by role and text."""
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    numbered = turns.withColumn("seq", F.row_number().over(order).cast("long"))
+    return numbered.select("conv_id", "seq", F.col("seq").alias("message_id"), F.lit("message").alias("kind"), "role", "text")
+
+
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+@query
+def op2_chat(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    fixed = spark.range(1).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.explode(
+            F.array(
+                F.struct(F.lit(0).cast("long").alias("turn"), F.lit("user").alias("role")),
+                F.struct(F.lit(1).cast("long").alias("turn"), F.lit("assistant").alias("role")),
+            )
+        ).alias("at"),
+    )
+    fixed = fixed.select("conv_id", "at.turn", "at.role", F.lit(CONTROL_TEXT).alias("text"))
+    messages = chat.reconstruct(conversation_log(turns.unionByName(fixed)))
+    return chat.digests(chat.render(messages))
+
+
+SQL["op2_chat"] = r"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL
+        SELECT -1, turn, role, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) AS fixed(turn, role)
+    ), parts AS (
+        SELECT *, replace(role, '\', '\\') || replace(text, '\', '\\') AS doubled FROM turns
+    ), marked AS (
+        SELECT *, length('<|im_start|><|im_sep|><|im_end|>') + length(doubled) + length(regexp_extract_all(doubled,
+            '</?s>|\[/?INST\]|<</?SYS>>|<\|im_start\|>|<\|im_sep\|>|<\|im_end\|>|<\|endoftext\|>')) AS chars
+        FROM parts
+    )
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+        sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+        sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+        sum(chars)::BIGINT AS formatted_chars
+    FROM marked GROUP BY conv_id
+"""
+
+RULES = (
+    url_filter.Rule("block", "net", "/"),
+    url_filter.Rule("allow", "example.net", "/en/"),
+    url_filter.Rule("block", "example.com", "/de/"),
+    url_filter.Rule("allow", "org", "/fr/"),
+)
+# Pages on hosts with one of these labels make up the list of blocked URLs.
+BLOCKED_LABELS = ("casino-win", "free-bets", "ads-track", "spam-farm", "cheap-pills", "adult-x")
+
+
+def blocked_pages(pages: DataFrame) -> DataFrame:
+    """Canonical URLs (``key``) of pages whose host has a blocked label."""
+    url = F.col("url")
+    split = pages.select(url_filter.host_of(url).alias("host"), url_filter.path_of(url).alias("path"))
+    label = F.arrays_overlap(F.split("host", r"\."), F.array(*map(F.lit, BLOCKED_LABELS)))
+    return split.where(label).select(url_filter.canonical(F.col("host"), F.col("path")).alias("key"))
+
+
+@query
+def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return url_filter.judge(pages, blocked_pages(pages), RULES)
+
+
+SQL["op8_url_filter"] = r"""
+    WITH split AS (
+        SELECT page_id,
+            coalesce(translate(regexp_extract(url, '^(.*?)://([^/?#]*)', 2, 's'),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+            coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path
+        FROM pages
+    ), keyed AS (
+        SELECT *, regexp_replace(host, '^(www|m|blog)\.', '') || regexp_replace(path, '(\.html|/)$', '') AS key FROM split
+    ), ruled AS (
+        SELECT *, CASE
+            WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+            WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+            WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+            WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+        FROM keyed
+    ), listed AS (
+        SELECT DISTINCT key FROM keyed
+        WHERE list_has_any(string_split(host, '.'),
+            ['casino-win', 'free-bets', 'ads-track', 'spam-farm', 'cheap-pills', 'adult-x'])
+    )
+    SELECT page_id, host, path, rule, CASE
+        WHEN rule IN ('example.com/de/', 'net/') THEN 'block'
+        WHEN rule IS NOT NULL THEN 'allow'
+        WHEN host <> '' AND key IN (SELECT key FROM listed) THEN 'block'
+        ELSE 'allow' END AS verdict
+    FROM ruled
+"""
