@@ -8,7 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from silverair.llm import chat, language_id, quality_crf, quality_rules, sentencepiece_codec, simhash, toxicity, url_filter
+from silverair.llm import (
+    chat,
+    decontamination,
+    language_id,
+    quality_crf,
+    quality_rules,
+    sentencepiece_codec,
+    simhash,
+    toxicity,
+    url_filter,
+)
 from silverair.llm.fitting import fold
 from silverair.session import configure
 
@@ -190,3 +200,8 @@ SQL["op8_url_filter"] = r"""
         ELSE 'allow' END AS verdict
     FROM ruled
 """
+
+
+@query
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
