@@ -16,6 +16,7 @@ from silverair.llm import (
     quality_rules,
     sentencepiece_codec,
     simhash,
+    suffix_dedup,
     toxicity,
     url_filter,
 )
@@ -205,3 +206,15 @@ SQL["op8_url_filter"] = r"""
 @query
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffix_dedup.cut_repeats(table(spark, folder, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
