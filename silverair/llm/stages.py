@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverair.llm import quality_rules as rules
-from silverair.llm import sentencepiece_codec, simhash
+from silverair.llm import decontamination, sentencepiece_codec, simhash, suffix_dedup
 from silverair.llm.fitting import fold
 from silverair.llm.queries import PIECES, TOKENIZERS
 from silverair.session import configure
@@ -34,3 +34,19 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
     """Packed ids and decoded text of every document."""
     configure(spark)
     return sentencepiece_codec.encode_decode(docs, f"{TOKENIZERS}/{PIECES}")
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Every document without the strings that an earlier one has; none is dropped.
+
+    A range that begins or ends inside a character leaves that character whole.
+    """
+    configure(spark)
+    return suffix_dedup.without_repeats(docs.select(*COLUMNS)).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that share no window with an item of ``benchmark``."""
+    configure(spark)
+    found = decontamination.leaks(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)

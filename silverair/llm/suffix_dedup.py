@@ -140,15 +140,16 @@ def emit_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents with their shared runs to rows (bucket, bytes of distinct runs, occurrences)."""
     kinds, names = [pa.int32(), *[pa.binary()] * 5], ["bucket", "bytes", "sizes", "run", "doc", "at"]
     for batch in batches:
-        texts = [t if s.is_valid else "" for t, s in zip(batch.column(1).to_pylist(), batch.column(2), strict=True)]
+        docs, found = batch.column("doc"), batch.column("runs")
+        texts = [t if f.is_valid else "" for t, f in zip(batch.column("text").to_pylist(), found, strict=True)]
         for low, high in slices(texts):
             gathered: dict[int, tuple[dict[bytes, int], list[tuple[int, int, int, int]]]] = {}
             for i in range(low, high):
                 if not texts[i]:
                     continue
-                data, doc = texts[i].encode(), batch.column(0)[i].as_py()
+                data, doc = texts[i].encode(), docs[i].as_py()
                 tag = zlib.crc32(data)
-                for run in batch.column(2)[i].as_py():
+                for run in found[i].as_py():
                     first, count = run["first"], run["count"]
                     content = data[first : first + count + LENGTH - 1]
                     if len(content) >= LENGTH:
@@ -228,23 +229,57 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return joined
 
 
-def repeated_ranges(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """All rows as (``doc``, ``text``, ``ranges``); see ``cut_repeats``."""
-    source = docs.select(F.col(id_column).cast("long").alias("doc"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+def with_ranges(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """All rows of ``docs``: ``row`` (columns but the text), ``doc`` (the id), ``text`` and ``ranges`` (unmerged)."""
+    source = docs.select(
+        F.struct(*[c for c in docs.columns if c != text_column]).alias("row"),
+        F.col(id_column).cast("long").alias("doc"),
+        F.coalesce(F.col(text_column), F.lit("")).alias("text"),
+    )
     total = source.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     buckets = total // BUCKET_BYTES + 8
-    long_enough = source.where((F.octet_length("text") >= LENGTH) & F.col("doc").isNotNull())
+    long_enough = source.where((F.octet_length("text") >= LENGTH) & F.col("doc").isNotNull()).select("doc", "text")
     packed = "bucket int, least binary, doc binary, first binary, count binary"
     first = long_enough.mapInArrow(emit_runs(buckets), packed).repartition("bucket").sortWithinPartitions("bucket")
     shared = first.mapInArrow(shared_runs, "doc long, first long, count int, bucket int")
     wanted = shared.groupBy("doc").agg(F.collect_list(F.struct("first", "count", "bucket")).alias("runs"))
     packed = "bucket int, bytes binary, sizes binary, run binary, doc binary, at binary"
-    # Outer joins on both sides of the plan, so that both read one shuffle of the texts.
-    second = source.join(wanted, "doc", "left").select("doc", "text", "runs").mapInArrow(emit_bytes, packed)
+    # Outer joins of the same columns, so that this one and the last one read one shuffle of the texts.
+    second = source.join(wanted, "doc", "left").select("row", "doc", "text", "runs").mapInArrow(emit_bytes, packed)
     second = second.repartition("bucket").sortWithinPartitions("bucket")
     ranges = second.mapInArrow(earlier_matches, "doc long, tag long, low long, high long")
     ranges = ranges.groupBy("doc").agg(F.collect_list(F.struct("tag", "low", "high")).alias("ranges"))
-    return source.join(ranges, "doc", "left").select("doc", "text", "ranges")
+    return source.join(ranges, "doc", "left").select("row", "doc", "text", "ranges")
+
+
+def own_spans(data: bytes, ranges: list[dict] | None) -> list[tuple[int, int]]:
+    """Merged ranges of this text; those of another text with the same id are left out."""
+    if not ranges:
+        return []
+    tag = zlib.crc32(data)
+    return merged([(r["low"], r["high"]) for r in ranges if r["tag"] == tag])
+
+
+def without(data: bytes, spans: list[tuple[int, int]]) -> bytes:
+    edges = [0, *(e for span in spans for e in span), len(data)]
+    return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+
+
+def whole_characters(data: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans without characters that they cover in part."""
+
+    def inside(at: int) -> bool:
+        return at < len(data) and data[at] >> 6 == 2
+
+    shrunk = []
+    for low, high in spans:
+        while inside(low):
+            low += 1
+        while inside(high):
+            high -= 1
+        if low < high:
+            shrunk.append((low, high))
+    return shrunk
 
 
 def cut_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -258,20 +293,38 @@ def cut_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts, found = batch.columns
+            ids, texts, found = (batch.column(c) for c in (id_column, "text", "ranges"))
             kept, sizes, spans = [], [], []
             for text, ranges in zip(texts.to_pylist(), found.to_pylist(), strict=True):
                 data = text.encode()
-                tag = zlib.crc32(data) if ranges else 0
-                # Ranges of another text with the same id are not this row's.
-                own = merged([(r["low"], r["high"]) for r in ranges or [] if r["tag"] == tag])
-                edges = [0, *(e for r in own for e in r), len(data)]
-                kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
+                own = own_spans(data, ranges)
+                kept.append(without(data, own))
                 sizes.append(len(data))
                 spans.append([{"low": a, "high": b} for a, b in own])
             kind = pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64())]))
             arrays = [ids, pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()), pa.array(spans, kind)]
             yield pa.RecordBatch.from_arrays(arrays, [id_column, "kept", "n_bytes", "spans"])
 
-    columns = f"{id_column} long, kept binary, n_bytes long, spans array<struct<low:long,high:long>>"
-    return repeated_ranges(docs, id_column, text_column).mapInArrow(cut, columns)
+    found = with_ranges(docs.select(id_column, text_column), id_column, text_column)
+    columns = f"{id_column} {docs.schema[id_column].dataType.simpleString()}"
+    columns += ", kept binary, n_bytes long, spans array<struct<low:long,high:long>>"
+    return found.select(f"row.{id_column}", "text", "ranges").mapInArrow(cut, columns)
+
+
+def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """All rows and columns of ``docs``, the text without its repeats, as far as they are whole characters."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, texts, found = (batch.column(c) for c in ("row", "text", "ranges"))
+            kept = []
+            for text, ranges in zip(texts.to_pylist(), found.to_pylist(), strict=True):
+                data = text.encode()
+                kept.append(without(data, whole_characters(data, own_spans(data, ranges))).decode())
+            yield pa.RecordBatch.from_arrays([rows, pa.array(kept, pa.string())], ["row", "kept"])
+
+    found = with_ranges(docs, id_column, text_column)
+    kind = found.schema["row"].dataType.simpleString()
+    return found.mapInArrow(cut, f"row {kind}, kept string").select(
+        *(F.col("kept").alias(c) if c == text_column else F.col(f"row.{c}") for c in docs.columns)
+    )
