@@ -1,0 +1,222 @@
+"""Operators that compare documents, against brute force over all pairs."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from helpers import plan
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from silverair.llm import decontamination, simhash, suffix_dedup
+from silverair.llm.components import smallest_reachable
+from silverair.llm.queries import QUERIES
+
+
+def plain_fingerprint(text: str) -> int:
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(prints: list[int], ids: list) -> list:
+    """Smallest id that each row reaches."""
+    parent = list(range(len(ids)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(prints):
+        for j in range(i):
+            if (a ^ prints[j]).bit_count() <= 3:
+                parent[root(i)] = root(j)
+    smallest = defaultdict(list)
+    for i, x in enumerate(ids):
+        smallest[root(i)] += [] if x is None else [x]
+    return [min(smallest[root(i)], default=None) for i in range(len(ids))]
+
+
+def test_components_equal_brute_force(edge, documents):
+    for docs in (edge, documents):
+        rows = docs.select("doc_id", "text").collect()
+        prints = [plain_fingerprint(r.text or "") for r in rows]
+        want = Counter(zip((r.doc_id for r in rows), prints, plain_components(prints, [r.doc_id for r in rows]), strict=True))
+        got = simhash.components(docs).collect()
+        assert Counter((r.doc_id, r.fingerprint % 2**64, r.component_id) for r in got) == want
+
+
+def test_component_query(spark, folder):
+    got = QUERIES["op7_simhash"](spark, folder)
+    assert got.where("length(fingerprint) = 16 and fingerprint = lower(fingerprint)").count() == got.count()
+    assert simhash.components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_many_close_fingerprints_give_a_forest(spark):
+    prints = [0, *(1 << b for b in range(64)), *(1 << b | 1 << (b + 1) for b in range(63)), 2**64 - 1]
+    signed = [p - 2**64 if p >> 63 else p for p in prints]
+    nodes = spark.createDataFrame([(i, p) for i, p in enumerate(signed)], "node long, fingerprint long")
+    links = simhash.close_links(nodes, 3)
+    pairs = sum((a ^ b).bit_count() <= 3 for i, a in enumerate(prints) for b in prints[:i])
+    assert links.count() < pairs
+    roots = {r.node: r.root for r in smallest_reachable(links.distinct()).collect()}
+    assert {roots[i] for i in range(128)} == {0} and 128 not in roots
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 2**64 - 1), st.lists(st.integers(0, 63), max_size=3))
+def test_close_fingerprints_share_a_block(value, bits):
+    other = value
+    for b in set(bits):
+        other ^= 1 << b
+    masks = [m % 2**64 for m in simhash.block_masks(3)]
+    assert any(value & m == other & m for m in masks)
+
+
+def test_long_chains_reach_their_smallest_node(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(200, 150), (150, 200)], "a long, b long")
+    roots = {r.node: r.root for r in smallest_reachable(links).collect()}
+    assert roots == {**{i: 0 for i in range(101)}, 150: 150, 200: 150}
+    assert smallest_reachable(links.limit(0)).count() == 0
+
+
+def plain_cut(rows: list[tuple]) -> Counter:
+    seen: dict[bytes, int] = {}
+    for i, text in rows:
+        data = (text or "").encode()
+        for k in range(len(data) - 49) if i is not None else ():
+            part = data[k : k + 50]
+            seen[part] = min(seen.get(part, i), i)
+    want: Counter = Counter()
+    for i, text in rows:
+        data = (text or "").encode()
+        covered = np.zeros(len(data), bool)
+        for k in range(len(data) - 49) if i is not None else ():
+            if seen[data[k : k + 50]] < i:
+                covered[k : k + 50] = True
+        kept = bytes(b for b, c in zip(data, covered, strict=True) if not c)
+        spans = int((np.diff(np.append(0, covered.astype(int))) == 1).sum())
+        want[(i, len(data), spans, hashlib.sha256(kept).hexdigest())] += 1
+    return want
+
+
+def test_removed_strings_equal_brute_force(spark, edge, documents):
+    tied = "".join(chr(97 + i % 3) for i in range(700))
+    extra = spark.createDataFrame(
+        [(1, tied), (2, "zz" + tied[:49]), (2, "zz" + tied[5:55] + "yy"), (2, tied), (9, ""), (None, tied)], "doc_id long, text string"
+    )
+    for docs in (edge, documents, extra, extra.limit(0)):
+        rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+        got = suffix_dedup.cut_repeats(docs).collect()
+        assert Counter((r.doc_id, r.n_bytes, len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in got) == plain_cut(rows)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.binary(min_size=40, max_size=400), st.integers(0, 60))
+def test_equal_windows_have_equal_minimizers(data, shift):
+    def minimizers(raw: bytes) -> dict[bytes, set[int]]:
+        found = defaultdict(set)
+        for least, first, count in zip(*suffix_dedup.runs(np.frombuffer(raw, np.uint8)), strict=True):
+            for k in range(first, first + count):
+                found[raw[k : k + 50]].add(int(least))
+        return found
+
+    plain, moved = minimizers(data), minimizers(b"\x01" * shift + data)
+    assert all(plain[w] == moved[w] and len(plain[w]) == 1 for w in plain)
+    assert sum(c for c in suffix_dedup.runs(np.frombuffer(data, np.uint8))[2]) == max(0, len(data) - 49)
+
+
+def test_texts_keep_whole_characters_and_columns(edge):
+    got = suffix_dedup.without_repeats(edge)
+    assert got.columns == edge.columns and got.count() == edge.count()
+    cut = {r.doc_id: r.text for r in got.where("doc_id in (3, 4, 6, 7)").collect()}
+    whole = {r.doc_id: r.text for r in edge.where("doc_id in (3, 4, 6, 7)").collect()}
+    assert cut[3] == whole[3] and cut[4] == "" and cut[6] == whole[6]
+    assert cut[7].startswith("é") and "ß" in cut[7] and len(cut[7]) < len(whole[7])
+
+
+def tokens(text: str | None) -> list[str]:
+    return [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]
+
+
+def plain_leaks(docs: list[tuple], items: list[tuple]) -> dict:
+    found: dict = {}
+    for d, text in docs:
+        a = tokens(text)
+        for i, item in items:
+            b = tokens(item)
+            n = min(13, len(b))
+            allowed = 2 if n >= 13 else 1 if n >= 9 else 0
+            for p in range(len(a) - n + 1) if n >= 7 else ():
+                for q in range(len(b) - n + 1):
+                    same = sum(x == y for x, y in zip(a[p : p + n], b[q : q + n], strict=True))
+                    if same >= n - allowed:
+                        best, low, high = found.get((d, i), (0, p, p))
+                        found[(d, i)] = (max(best, same), min(low, p), max(high, p + n - 1))
+    return found
+
+
+def test_leaks_equal_brute_force(spark):
+    item = [f"w{i}" for i in range(40)]
+    changed = item.copy()
+    for k in range(3, 40, 6):
+        changed[k] = "other"
+    short = [f"s{i}" for i in range(10)]
+    items = [(1, " ".join(item)), (2, " ".join(short)), (3, "t0 t1 t2 t3 t4 t5 t6"), (4, "a b c"), (5, None), (6, ""), (1, " ".join(item))]
+    docs = [
+        (1, "x y " + ", ".join(item).upper()),
+        (2, " ".join(["z"] * 30 + changed)),
+        (3, " ".join(item[20:33])),
+        (4, " ".join(item[20:32])),
+        (5, " ".join([*item[:8], "q", *item[8:14], "q", *item[14:16]])),
+        (6, " ".join([*short[:4], "q", *short[5:]])),
+        (7, " ".join([*short[:4], "q", "q", *short[6:]])),
+        (8, "t0 t1 t2 t3 t4 t5 t6"),
+        (9, "t0 t1 t2 q t4 t5 t6"),
+        (10, "a b c"),
+        (11, None),
+        (12, ""),
+        (None, " ".join(item)),
+        (13, " ".join(item * 3)),
+    ]
+    frame = spark.createDataFrame([(*d, 1, 2) for d in docs], "doc_id long, text string, item_id long, seed long")
+    bench = spark.createDataFrame([(*i, "x") for i in items], "item_id long, text string, doc_id string")
+    got = decontamination.leaks(frame, bench)
+    assert {(r.doc_id, r.item_id): (r.matched, r.first_token, r.last_token) for r in got.collect()} == plain_leaks(docs, items)
+    assert got.columns == ["doc_id", "item_id", "matched", "window", "first_token", "last_token"]
+    assert decontamination.leaks(frame.limit(0), bench).count() == 0
+    assert decontamination.leaks(frame, bench.limit(0)).count() == 0
+
+
+def test_every_pair_of_changes_leaves_a_seed():
+    for n, changes in ((13, 2), (12, 1), (9, 1), (8, 0), (7, 0)):
+        spots = [(a, b) for a in range(n) for b in range(n)] if changes == 2 else [(a, a) for a in range(n)] if changes else [(n, n)]
+        for spot in spots:
+            assert any(
+                all(start + o not in spot for o in mask) for mask in decontamination.MASKS for start in range(n - mask[-1])
+            ), (n, spot)
+
+
+def test_leaks_of_the_tables_without_python(spark, folder):
+    got = QUERIES["op5_decontamination"](spark, folder)
+    docs = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    grams = {tuple(t[k : k + 5]) for _, x in items for t in [tokens(x)] for k in range(len(t) - 4)}
+    # 13 tokens with two changes hold five in a row or four on both sides of one; only near texts are compared in full.
+    near = [d for d in docs if sum(tuple(t[k : k + 5]) in grams for t in [tokens(d[1])] for k in range(len(t) - 4)) > 0]
+    found = {(r.doc_id, r.item_id): (r.matched, r.first_token, r.last_token) for r in got.collect()}
+    assert found and plain_leaks(near, items).items() <= found.items()
+    assert "Python" not in plan(got) and "Arrow" not in plan(got)
+
+
+@pytest.mark.parametrize("name", ["op4_suffix_dedup", "op7_simhash", "op5_decontamination"])
+def test_plans_have_no_cross_join(spark, folder, name):
+    text = plan(QUERIES[name](spark, folder))
+    assert "Cartesian" not in text and "NestedLoop" not in text
