@@ -5,7 +5,9 @@ a smaller id. Whether a string has an earlier match is read off a longest-previo
 factor array. One suffix array over all texts cannot be dealt out, so the suffixes
 are dealt out first:
 
-1. Every window of 50 bytes has a minimizer, the least hash of its 24-byte grams.
+0. Texts that equal one with a smaller id are covered wholly and add no string, so
+   a group of copies is one text from here on.
+1. Every window of 50 bytes has a minimizer, the least hash of its 20-byte grams.
    A run of windows with one minimizer is a candidate; equal windows have equal
    minimizers and so meet in one bucket, whatever documents they are in.
 2. Runs whose minimizer occurs in one document only are dropped, which leaves the
@@ -34,8 +36,9 @@ from pyspark.sql import functions as F
 from silverair.llm.batches import slices
 
 LENGTH = 50
-GRAM = 24
+GRAM = 20
 GRAMS = LENGTH - GRAM + 1
+USED = ("text", "ranges", "copied")
 LONGEST_RUN = 255  # longer runs of one minimizer are cut, so that a length fits a byte
 BUCKET_BYTES = 4_000_000
 ODD = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -54,7 +57,8 @@ def runs(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if len(data) < LENGTH:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     eight = eights(data)
-    gram = eight[:-16] * ODD[0] + (eight[8:-8] ^ (eight[8:-8] >> np.uint64(31))) * ODD[1] + eight[16:] * ODD[2]
+    # 20 bytes: two numbers, and the half of a third that the second does not hold.
+    gram = eight[:-12] * ODD[0] + (eight[8:-4] ^ (eight[8:-4] >> np.uint64(31))) * ODD[1] + eight[12:] * ODD[2]
     gram = (gram ^ (gram >> np.uint64(32))) * ODD[3]
     gram ^= gram >> np.uint64(29)
     # Minimum over GRAMS neighbours, by widths that double.
@@ -85,7 +89,9 @@ def emit_runs(buckets: int) -> Callable:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            known = batch.column("original").to_pylist()
+            ids = batch.column("doc").fill_null(0).to_numpy()
+            texts = [t if k else "" for t, k in zip(batch.column("text").to_pylist(), known, strict=True)]
             for low, high in slices(texts):
                 found = [runs(np.frombuffer(t.encode(), np.uint8)) for t in texts[low:high]]
                 doc = np.repeat(ids[low:high], [len(f[0]) for f in found])
@@ -141,7 +147,8 @@ def emit_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds, names = [pa.int32(), *[pa.binary()] * 5], ["bucket", "bytes", "sizes", "run", "doc", "at"]
     for batch in batches:
         docs, found = batch.column("doc"), batch.column("runs")
-        texts = [t if f.is_valid else "" for t, f in zip(batch.column("text").to_pylist(), found, strict=True)]
+        used = [f.is_valid and k for f, k in zip(found, batch.column("original").to_pylist(), strict=True)]
+        texts = [t if u else "" for t, u in zip(batch.column("text").to_pylist(), used, strict=True)]
         for low, high in slices(texts):
             gathered: dict[int, tuple[dict[bytes, int], list[tuple[int, int, int, int]]]] = {}
             for i in range(low, high):
@@ -230,30 +237,41 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def with_ranges(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """All rows of ``docs``: ``row`` (columns but the text), ``doc`` (the id), ``text`` and ``ranges`` (unmerged)."""
+    """All rows of ``docs``: ``row`` (columns but the text), ``text``, ``ranges`` (unmerged), ``copied`` (cut it all)."""
+    kept = [c for c in docs.columns if c != text_column]
     source = docs.select(
-        F.struct(*[c for c in docs.columns if c != text_column]).alias("row"),
+        F.struct(*kept).alias("row"),
         F.col(id_column).cast("long").alias("doc"),
         F.coalesce(F.col(text_column), F.lit("")).alias("text"),
     )
-    total = source.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    buckets = total // BUCKET_BYTES + 8
-    long_enough = source.where((F.octet_length("text") >= LENGTH) & F.col("doc").isNotNull()).select("doc", "text")
+    mark = F.struct(F.xxhash64("text").alias("a"), F.xxhash64("text", F.lit("b")).alias("b"))
+    compared = F.col("doc").isNotNull() & (F.octet_length("text") >= LENGTH)
+    marks = source.where(compared).select("doc", mark.alias("mark"), F.octet_length("text").cast("long").alias("size"))
+    firsts = marks.groupBy("mark").agg(F.min("doc").alias("doc"), F.first("size").alias("size"))
+    buckets = (firsts.agg(F.sum("size")).first()[0] or 0) // BUCKET_BYTES + 8
+    firsts = firsts.groupBy("doc").agg(F.collect_list("mark").alias("marks"))
+    # Outer joins of the same columns: all three steps read one shuffle of the texts.
+    marked = source.join(firsts, "doc", "left").select(
+        "row", "doc", "text", F.coalesce(F.array_contains("marks", mark), F.lit(False)).alias("original")
+    )
     packed = "bucket int, least binary, doc binary, first binary, count binary"
-    first = long_enough.mapInArrow(emit_runs(buckets), packed).repartition("bucket").sortWithinPartitions("bucket")
+    first = marked.mapInArrow(emit_runs(buckets), packed).repartition("bucket").sortWithinPartitions("bucket")
     shared = first.mapInArrow(shared_runs, "doc long, first long, count int, bucket int")
     wanted = shared.groupBy("doc").agg(F.collect_list(F.struct("first", "count", "bucket")).alias("runs"))
     packed = "bucket int, bytes binary, sizes binary, run binary, doc binary, at binary"
-    # Outer joins of the same columns, so that this one and the last one read one shuffle of the texts.
-    second = source.join(wanted, "doc", "left").select("row", "doc", "text", "runs").mapInArrow(emit_bytes, packed)
-    second = second.repartition("bucket").sortWithinPartitions("bucket")
+    second = marked.join(wanted, "doc", "left").select("row", "doc", "text", "original", "runs")
+    second = second.mapInArrow(emit_bytes, packed).repartition("bucket").sortWithinPartitions("bucket")
     ranges = second.mapInArrow(earlier_matches, "doc long, tag long, low long, high long")
     ranges = ranges.groupBy("doc").agg(F.collect_list(F.struct("tag", "low", "high")).alias("ranges"))
-    return source.join(ranges, "doc", "left").select("row", "doc", "text", "ranges")
+    return marked.join(ranges, "doc", "left").select(
+        "row", "doc", "text", "ranges", (compared & ~F.col("original")).alias("copied")
+    )
 
 
-def own_spans(data: bytes, ranges: list[dict] | None) -> list[tuple[int, int]]:
+def own_spans(data: bytes, ranges: list[dict] | None, copied: bool | None) -> list[tuple[int, int]]:
     """Merged ranges of this text; those of another text with the same id are left out."""
+    if copied:
+        return [(0, len(data))]
     if not ranges:
         return []
     tag = zlib.crc32(data)
@@ -293,22 +311,21 @@ def cut_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts, found = (batch.column(c) for c in (id_column, "text", "ranges"))
             kept, sizes, spans = [], [], []
-            for text, ranges in zip(texts.to_pylist(), found.to_pylist(), strict=True):
+            for text, ranges, copied in zip(*(batch.column(c).to_pylist() for c in USED), strict=True):
                 data = text.encode()
-                own = own_spans(data, ranges)
+                own = own_spans(data, ranges, copied)
                 kept.append(without(data, own))
                 sizes.append(len(data))
                 spans.append([{"low": a, "high": b} for a, b in own])
             kind = pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64())]))
-            arrays = [ids, pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()), pa.array(spans, kind)]
+            arrays = [batch.column(id_column), pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()), pa.array(spans, kind)]
             yield pa.RecordBatch.from_arrays(arrays, [id_column, "kept", "n_bytes", "spans"])
 
     found = with_ranges(docs.select(id_column, text_column), id_column, text_column)
     columns = f"{id_column} {docs.schema[id_column].dataType.simpleString()}"
     columns += ", kept binary, n_bytes long, spans array<struct<low:long,high:long>>"
-    return found.select(f"row.{id_column}", "text", "ranges").mapInArrow(cut, columns)
+    return found.select(f"row.{id_column}", *USED).mapInArrow(cut, columns)
 
 
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -316,12 +333,11 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, texts, found = (batch.column(c) for c in ("row", "text", "ranges"))
             kept = []
-            for text, ranges in zip(texts.to_pylist(), found.to_pylist(), strict=True):
+            for text, ranges, copied in zip(*(batch.column(c).to_pylist() for c in USED), strict=True):
                 data = text.encode()
-                kept.append(without(data, whole_characters(data, own_spans(data, ranges))).decode())
-            yield pa.RecordBatch.from_arrays([rows, pa.array(kept, pa.string())], ["row", "kept"])
+                kept.append(without(data, whole_characters(data, own_spans(data, ranges, copied))).decode())
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(kept, pa.string())], ["row", "kept"])
 
     found = with_ranges(docs, id_column, text_column)
     kind = found.schema["row"].dataType.simpleString()
