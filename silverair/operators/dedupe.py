@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from silverair.operators.ranking import slice_rows
+
 RANK = "__rank"
 
 
@@ -61,8 +63,6 @@ def distinct_sites(
     keys: Sequence[str] = ("country_name", "city_or_locality", "longitude", "latitude"),
     limit: int | None = None,
 ) -> DataFrame:
-    """Sites with coordinates, first of each key, in input order, at most ``limit``."""
+    """Sites with coordinates, first of each key; the first ``limit`` of them in input order if given."""
     sites = first_per_key(locations.na.drop("any", subset=list(required)), keys, ordinal)
-    if limit is None:
-        return sites
-    return sites.orderBy(*ordinal).limit(limit)
+    return sites if limit is None else slice_rows(sites, ordinal, 0, limit)

@@ -16,16 +16,16 @@ def insert_new(current: DataFrame, existing: DataFrame | None, key: str, prune_b
     """Rows of ``current`` whose ``key`` is not in ``existing``; rows without a key are dropped.
 
     ``existing`` is ``None`` on the first load. ``prune_by`` names a partition
-    column of ``existing``: only partitions in the range of the batch are read.
-    Materialise ``current`` before pruning, since its range is read as well.
+    column of ``existing``: only partitions that the batch has rows for are read,
+    and the one without a value. A late row adds its own partition, not the
+    range up to it. Materialise ``current`` before, since its values are read too.
     """
     keyed = current.filter(F.col(key).isNotNull())
     if existing is None:
         return keyed
     if prune_by:
-        low = keyed.agg(F.min(prune_by)).scalar()
-        high = keyed.agg(F.max(prune_by)).scalar()
-        existing = existing.filter(F.col(prune_by).between(low, high))
+        parts = keyed.agg(F.collect_set(prune_by)).scalar()
+        existing = existing.filter(F.array_contains(parts, F.col(prune_by)) | F.col(prune_by).isNull())
     return keyed.join(existing.select(key), key, "left_anti")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverair.operators.dedupe import top_per_key
+from silverair.operators.dedupe import remaining_order, top_per_key
 from silverair.operators.lookup import lookup_join
 from silverair.operators.nested import explode_where
 
@@ -19,7 +19,10 @@ def kept_pages(pages: DataFrame, request: str, page: str, results: str, count: s
     the number of results, where the landing has one; the search for ends then
     reads no results.
     """
-    filled = pages.filter((F.col(count) if count else F.size(results)) > 0)
+    # A page that was landed again after a retry counts once, the newest landing.
+    newest = F.col("called_at").desc_nulls_last() if "called_at" in pages.columns else F.lit(0)
+    landed = top_per_key(pages, [request, page], [newest, *remaining_order(pages, [request, page])], 1)
+    filled = landed.filter((F.col(count) if count else F.size(results)) > 0)
     numbers = filled.select(request, F.col(page).cast("bigint").alias("__page"))
     # Requests without a first page have no run at all and join nothing below.
     following = numbers.select(request, (F.col("__page") - 1).alias("__page"))

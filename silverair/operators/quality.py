@@ -16,20 +16,30 @@ class Rule:
     """A named count of violations; the rule passes when it is zero."""
 
     name: str
-    violations: Column | None = None
+    broken: Column | None = None
     unique: tuple[str, ...] = ()
 
+    @property
+    def violations(self) -> Column | None:
+        return None if self.broken is None else F.count_if(self.broken)
+
 
 def not_null(column: str) -> Rule:
-    return Rule(f"not_null({column})", F.count_if(F.col(column).isNull()))
+    return Rule(f"not_null({column})", F.col(column).isNull())
 
 
 def in_range(column: str, low: Any, high: Any) -> Rule:
-    return Rule(f"in_range({column})", F.count_if(~F.col(column).between(low, high)))
+    return Rule(f"in_range({column})", ~F.col(column).between(low, high))
 
 
 def accepted(column: str, values: Sequence[Any]) -> Rule:
-    return Rule(f"accepted({column})", F.count_if(~F.col(column).isin(*values)))
+    return Rule(f"accepted({column})", ~F.col(column).isin(*values))
+
+
+def broken_rules(rules: Sequence[Rule]) -> Column:
+    """Names of the row-local rules that a row breaks; unknown is not broken."""
+    names = [F.when(r.broken, F.lit(r.name)) for r in rules if r.broken is not None]
+    return F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
 
 
 def unique(*columns: str) -> Rule:

@@ -17,8 +17,6 @@ from silverair.session import materialise
 # monotonically_increasing_id() puts the partition above these bits and the
 # position inside the partition below them.
 POSITION_BITS = 33
-# Up to this many counted rows may pass through one task.
-SMALL_ROWS = 10_000
 
 
 def number_rows(df: DataFrame, order: Sequence[str | Column], name: str = "row_number", total: str | None = None) -> DataFrame:
@@ -73,8 +71,6 @@ def slice_rows(df: DataFrame, order: Sequence[str], start: int = 0, end: int | N
     """Rows ``start`` (included) to ``end`` (excluded) of the ordered table."""
     if end is not None and end <= start:
         return df.limit(0)
-    if end is not None and end <= SMALL_ROWS:
-        return df.orderBy(*order).offset(start).limit(end - start)
     numbered = number_rows(df, order, "__position")
     kept = numbered.filter(F.col("__position") > start)
     if end is not None:
@@ -82,17 +78,11 @@ def slice_rows(df: DataFrame, order: Sequence[str], start: int = 0, end: int | N
     return kept.drop("__position")
 
 
-def run_ids(df: DataFrame, order: Sequence[str], run_number: Column, name: str, limit: int | None = None) -> DataFrame:
-    """Run number followed by the ordinal of the row, at least three digits, as one number.
+def run_ids(df: DataFrame, order: Sequence[str], run_number: Column, name: str) -> DataFrame:
+    """Run number followed by the ordinal of the row, at least three digits, as one decimal number.
 
-    ``limit`` states that ``df`` was already cut to so many rows; a small limit
-    allows a plain window. Without one the ids may pass 19 digits and are decimals.
+    From 100,000 rows on an id has more digits than a 64-bit number.
     """
-    small = limit is not None and limit <= SMALL_ROWS
-    if small:
-        numbered = df.withColumn("__ordinal", F.row_number().over(Window.orderBy(*order)))
-    else:
-        numbered = number_rows(df, order, "__ordinal")
-    ordinal = F.col("__ordinal").cast("bigint")
-    text = F.format_string("%d%03d", run_number.cast("bigint"), ordinal)
-    return numbered.withColumn(name, text.cast("bigint" if small else "decimal(38,0)")).drop("__ordinal")
+    numbered = number_rows(df, order, "__ordinal")
+    text = F.format_string("%d%03d", run_number.cast("bigint"), F.col("__ordinal").cast("bigint"))
+    return numbered.withColumn(name, text.cast("decimal(38,0)")).drop("__ordinal")

@@ -13,17 +13,27 @@ from silverair.operators.lookup import lookup_join
 LAST = "last_timestamp"
 
 
-def next_windows(sensors: DataFrame, state: DataFrame, key: str, now: Column, lookback_days: int = 3) -> DataFrame:
+def next_windows(
+    sensors: DataFrame, state: DataFrame, key: str, now: Column, lookback_days: int = 3, catch_up: bool = False
+) -> DataFrame:
     """Add ``date_from`` and ``date_to`` to every sensor.
 
-    The window starts one second behind the last reading, but never earlier than
-    the lookback; without a state it starts at the lookback.
+    The window starts one second behind the last reading; without a state it
+    starts at the lookback. Unless ``catch_up``, it never starts before the lookback,
+    and a sensor that stopped earlier has a gap.
     """
     earliest = now - F.make_dt_interval(F.lit(lookback_days))
     resume = F.col(LAST) + F.expr("interval 1 second")
     joined = sensors.join(state.select(key, LAST), key, "left")
-    # greatest() skips NULLs, so a missing state leaves the lookback.
-    return joined.withColumns({"date_from": F.greatest(resume, earliest), "date_to": now}).drop(LAST)
+    # Both skip NULLs, so a missing state leaves the lookback.
+    first = F.coalesce(resume, earliest) if catch_up else F.greatest(resume, earliest)
+    return joined.withColumns({"date_from": first, "date_to": now}).drop(LAST)
+
+
+def stopped_before(sensors: DataFrame, state: DataFrame, key: str, earliest: Column) -> DataFrame:
+    """One row: ``sensors`` that stopped before ``earliest``, and the ``oldest`` of their watermarks."""
+    known = state.join(sensors.select(key).distinct(), key, "left_semi").where(F.col(LAST) < earliest)
+    return known.agg(F.count(F.lit(1)).alias("sensors"), F.min(LAST).alias("oldest"))
 
 
 def month_requests(sensors: DataFrame, start: Column, end: Column, month: str = "month") -> DataFrame:
@@ -50,6 +60,7 @@ def advance_state(state: DataFrame, batch: DataFrame, key: str) -> DataFrame:
 
 def within_window(rows: DataFrame, requests: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
     """Rows whose time lies in the request window of their key."""
-    windows = requests.select(*keys, "date_from", "date_to")
+    # A sensor that is listed twice is asked for once.
+    windows = requests.select(*keys, "date_from", "date_to").distinct()
     joined = lookup_join(rows, windows, keys, [at])
     return joined.filter(F.col(at).between(F.col("date_from"), F.col("date_to")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from silverair.functions.elements import NO_AREA, element_features
 from silverair.functions.scoring import DEFAULT_RADIUS_M
 from silverair.functions.text import first_present
 from silverair.operators import state as st
-from silverair.operators.dedupe import distinct_sites, last_per_key, top_per_key
+from silverair.operators.dedupe import distinct_sites, last_per_key, latest_per_key, remaining_order, top_per_key
 from silverair.operators.features import tag_features
 from silverair.operators.lookup import lookup_join
 from silverair.operators.nested import explode_where, wrap_envelope, zip_rows
@@ -25,7 +26,6 @@ from silverair.schemas import END_TIME_PATHS, WEATHER_METRICS
 # Fixed value: the source name in landed envelopes.
 ENVELOPE_SOURCE = "openaq_lambda"
 ORDINAL = ("file_ordinal", "row_ordinal")
-MAX_LOCATIONS = 200
 
 
 def sensors(locations: DataFrame, ordinal: Sequence[str] = ORDINAL) -> DataFrame:
@@ -81,10 +81,10 @@ def measurements(
 def sites(
     locations: DataFrame,
     ordinal: Sequence[str] = ORDINAL,
-    limit: int | None = MAX_LOCATIONS,
+    limit: int | None = None,
     required: Sequence[str] = ("location_id", "latitude", "longitude"),
 ) -> DataFrame:
-    """Distinct sites to ask weather or map features for, in input order."""
+    """Distinct sites to ask weather or map features for, all of them unless ``limit`` caps them."""
     flat = locations.select(
         F.col("id").alias("location_id"),
         F.col("country.name").alias("country_name"),
@@ -97,8 +97,15 @@ def sites(
 
 
 def answers(sites: DataFrame, payloads: DataFrame, called_at: Column) -> DataFrame:
-    """Sites with their response; ``__failure`` says why there is none."""
-    joined = sites.join(payloads.withColumn("__answered", F.lit(True)), "location_id", "left")
+    """Sites with their response; ``__failure`` says why there is none.
+
+    Of several responses for a site (a retry) the newest counts: that with the
+    greatest ``landed_at``, where the landing has it, and one without error first.
+    """
+    landed = payloads if "landed_at" in payloads.columns else payloads.withColumn("landed_at", F.lit(0))
+    tie = [F.col("error").asc_nulls_first(), *remaining_order(landed, ["location_id", "landed_at", "error"])]
+    newest = latest_per_key(landed, ["location_id"], "landed_at", tie).drop("landed_at")
+    joined = sites.join(newest.withColumn("__answered", F.lit(True)), "location_id", "left")
     failure = F.when(F.col("__answered").isNull(), F.lit("no response")).otherwise(F.col("error"))
     return joined.withColumns({"api_call_timestamp": called_at, "__failure": failure})
 
@@ -149,13 +156,9 @@ def site_features(
     called_at: Column,
     ordinal: Sequence[str] = ORDINAL,
     radius_m: int = DEFAULT_RADIUS_M,
-    limit: int | None = MAX_LOCATIONS,
 ) -> DataFrame:
-    """Element counts and area tag per site; failed sites keep their row without counts.
-
-    ``limit`` is the cap that ``sites`` was built with.
-    """
-    numbered = run_ids(sites, ordinal, times.run_number(called_at), "sys_primary_key", limit)
+    """Element counts and area tag per site; failed sites keep their row without counts."""
+    numbered = run_ids(sites, ordinal, times.run_number(called_at), "sys_primary_key")
     failed = F.col("__failure").isNotNull()
     text = F.date_format(called_at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
     answered = answers(numbered, payloads, text).withColumn(
@@ -209,10 +212,25 @@ def incremental_measurements(
     at: str,
     lookback_days: int = 3,
     max_per_sensor: int | None = None,
+    behind_since: Column | None = None,
 ) -> DataFrame:
-    """Readings behind the watermark of their sensor; ``at`` is their end time."""
-    requests = st.next_windows(sensors.select("sensor_id"), state, "sensor_id", now, lookback_days)
-    rows = st.within_window(readings, requests, ["sensor_id"], at).drop("date_from", "date_to")
+    """Readings behind the watermark of their sensor; ``at`` is their end time.
+
+    With ``behind_since``, no later than the oldest watermark, sensors that stopped
+    before the lookback go on where they stopped. They are read in a pass of
+    their own, so that they do not widen the scan for all others. Without it
+    their windows begin at the lookback.
+    """
+    earliest = now - F.make_dt_interval(F.lit(lookback_days))
+    requests = st.next_windows(sensors.select("sensor_id"), state, "sensor_id", now, lookback_days, behind_since is not None)
+    # Bounds of all windows reach the scan; those of single sensors apply to what is left.
+    passes = [(earliest, requests.where(F.col("date_from") >= earliest))]
+    if behind_since is not None:
+        passes.append((behind_since, requests.where(F.col("date_from") < earliest)))
+    found = [
+        st.within_window(readings.where(F.col(at).between(low, now)), asked, ["sensor_id"], at) for low, asked in passes
+    ]
+    rows = reduce(DataFrame.unionByName, found).drop("date_from", "date_to")
     return _capped(rows, ["sensor_id"], at, max_per_sensor)
 
 
@@ -221,7 +239,7 @@ def backfill_measurements(
 ) -> DataFrame:
     """Readings between ``start`` and ``end``, asked for by month and sensor."""
     requests = st.month_requests(sensors.select("sensor_id"), start, end)
-    rows = readings.withColumn("month", times.month_start(at))
+    rows = readings.where(F.col(at).between(start, end)).withColumn("month", times.month_start(at))
     rows = st.within_window(rows, requests, ["sensor_id", "month"], at).drop("date_from", "date_to")
     return _capped(rows, ["sensor_id", "month"], at, max_per_window).drop("month")
 
@@ -229,8 +247,7 @@ def backfill_measurements(
 def _capped(rows: DataFrame, keys: Sequence[str], at: str, n: int | None) -> DataFrame:
     if n is None:
         return rows
-    rest = [F.col(c) for c in rows.columns if c not in (*keys, at)]
-    return top_per_key(rows, keys, [F.col(at).asc(), *rest], n)
+    return top_per_key(rows, keys, [F.col(at).asc(), *remaining_order(rows, [*keys, at])], n)
 
 
 def landed(readings: DataFrame, loaded_at: Column, granularity: str) -> DataFrame:

@@ -1,21 +1,15 @@
-"""Jobs: one evaluation of the plan, a quality report, the write, the JDBC copy.
-
-Rows that are used more than once are written to the shared scratch folder
-first. Report, target and warehouse therefore see the same rows, which matters
-for increments: once appended, they would no longer count as new.
-"""
+"""Jobs: one evaluation of the plan, the quality rules, the write, the JDBC copy."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from datetime import UTC, date, datetime
+from datetime import UTC, date, datetime, timedelta
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverair.operators.quality import check, enforce
-from silverair.operators.increment import insert_new
 from silverair.plans import silver
 from silverair.schemas import (
     DIM_DATE,
@@ -25,9 +19,7 @@ from silverair.schemas import (
     FACT_WEATHER,
     Table,
 )
-from silverair.session import materialise
-from silverair.sinks import files, versions, warehouse
-from silverair.sources.tables import optional_scan
+from silverair.sinks import increments, versions, warehouse
 
 JdbcOptions = Mapping[str, str] | None
 
@@ -44,23 +36,17 @@ def insert_only(
     jdbc: JdbcOptions = None,
     gated: bool = True,
     catalog_table: str | None = None,
-) -> DataFrame:
-    """Append the rows of ``batch`` whose key is new; returns them.
+) -> dict[str, int]:
+    """Append the rows of ``batch`` whose key is new; returns the numbers of inserted and quarantined rows.
 
-    A gated job writes nothing if a constraint of ``table`` is violated.
+    A gated job keeps rows that break a constraint of ``table`` beside the target,
+    with the reason, and loads the rest. Repeated keys in one batch stop the load.
     """
-    spark = batch.sparkSession
-    prune_by = partition_by[0] if partition_by else None
-    if prune_by:
-        batch = materialise(batch, table.name)
-    new = table.conform(insert_new(batch, optional_scan(spark, path, table.ddl), table.key, prune_by))
-    new = materialise(new, f"{table.name}-new")
-    if gated:
-        enforce(check(new, table.rules))
-    files.append(new, path, partition_by, catalog_table)
-    if jdbc:
-        warehouse.append(new, table, jdbc)
-    return new
+    copy = (lambda rows: warehouse.append(rows, table, jdbc)) if jdbc else None
+    rules = table.rules if gated else ()
+    return increments.insert(
+        table.conform(batch), path, table.key, table.ddl, partition_by, rules, catalog_table, copy
+    )
 
 
 def full_refresh(
@@ -70,10 +56,11 @@ def full_refresh(
     jdbc: JdbcOptions = None,
     gated: bool = True,
     catalog_table: str | None = None,
-    keep: int = 1,
+    keep: int = 2,
+    grace: timedelta = timedelta(days=1),
     now: datetime | None = None,
 ) -> dict[str, Any]:
-    """Replace the published version of ``table``; old versions beyond ``keep`` are deleted.
+    """Replace the published version of ``table``; versions beyond ``keep`` go after ``grace``.
 
     A gated job publishes nothing if a constraint of ``table`` is violated.
     """
@@ -83,11 +70,11 @@ def full_refresh(
         versions.register(spark, root, catalog_table, table.ddl)
     if jdbc:
         warehouse.replace(versions.read_current(spark, root, table.ddl), table, jdbc)
-    result["deleted_files"] = versions.retain(spark, root, keep)
+    result["deleted_files"] = versions.retain(spark, root, keep, grace)
     return result
 
 
-def sensor_locations(locations: DataFrame, path: str, jdbc: JdbcOptions = None, **options: Any) -> DataFrame:
+def sensor_locations(locations: DataFrame, path: str, jdbc: JdbcOptions = None, **options: Any) -> dict[str, int]:
     return insert_only(silver.sensor_location(locations), DIM_SENSOR_LOCATION, path, jdbc=jdbc, **options)
 
 
@@ -97,7 +84,7 @@ def sensor_measures(
     return full_refresh(silver.sensor_measure(measurements, historical), FACT_SENSOR_MEASURE, root, jdbc, **options)
 
 
-def weather(raw: DataFrame, path: str, jdbc: JdbcOptions = None, **options: Any) -> DataFrame:
+def weather(raw: DataFrame, path: str, jdbc: JdbcOptions = None, **options: Any) -> dict[str, int]:
     return insert_only(silver.latest_weather(raw), FACT_WEATHER, path, ["date_id"], jdbc, **options)
 
 

@@ -15,7 +15,7 @@ from silverair.operators.quality import observed, run_counters
 from silverair.plans import bronze
 from silverair.plans.silver import PM25_ID
 from silverair.schemas import SENSOR_STATE
-from silverair.session import materialise
+from silverair.session import staged
 from silverair.sinks import files, versions
 
 
@@ -59,14 +59,11 @@ def site_features(
     now: datetime,
     ordinal: Sequence[str] = bronze.ORDINAL,
     radius_m: int = DEFAULT_RADIUS_M,
-    limit: int | None = bronze.MAX_LOCATIONS,
 ) -> dict[str, Any]:
-    """Publish the features of all sites as the only snapshot; returns the run log."""
-    rows = bronze.site_features(sites, payloads, F.lit(now), ordinal, radius_m, limit)
-    # The declared key is a 64-bit number: a run of more than 99,999 sites fails here.
-    rows = rows.withColumn("sys_primary_key", F.col("sys_primary_key").cast("bigint"))
-    log = versions.refresh(rows, root, {"radius_m": radius_m, "max_locations": limit}, run_counters(), now=now)
-    return {**log, "deleted_files": versions.retain(sites.sparkSession, root, 1)}
+    """Publish the features of all sites as the current snapshot; returns the run log."""
+    rows = bronze.site_features(sites, payloads, F.lit(now), ordinal, radius_m)
+    log = versions.refresh(rows, root, {"radius_m": radius_m}, run_counters(), now=now)
+    return {**log, "deleted_files": versions.retain(sites.sparkSession, root)}
 
 
 def read_state(spark: SparkSession, root: str) -> DataFrame:
@@ -80,11 +77,12 @@ def _land_readings(
     spark: SparkSession, rows: DataFrame, at: str, path: str, state_root: str, now: datetime, granularity: str
 ) -> dict[str, int]:
     # Landed rows and watermarks must agree, so the batch is fixed first.
-    batch = materialise(rows, "readings")
-    written = files.land(bronze.landed(batch, F.lit(now.isoformat()), granularity), path, F.lit(now), "json")
-    advanced = st.advance_state(read_state(spark, state_root), st.last_readings(batch, "sensor_id", F.col(at)), "sensor_id")
-    sensors = versions.refresh(advanced, state_root, now=now)["rows"]
-    versions.retain(spark, state_root, 2)
+    with staged(rows, "readings") as batch:
+        written = files.land(bronze.landed(batch, F.lit(now.isoformat()), granularity), path, F.lit(now), "json")
+        ends = st.last_readings(batch, "sensor_id", F.col(at))
+        advanced = st.advance_state(read_state(spark, state_root), ends, "sensor_id")
+        sensors = versions.refresh(advanced, state_root, now=now)["rows"]
+    versions.retain(spark, state_root)
     return {"written": written, "sensors": sensors}
 
 
@@ -97,16 +95,22 @@ def incremental_measurements(
     at: str,
     lookback_days: int = 3,
     max_per_sensor: int | None = None,
+    catch_up: bool = True,
 ) -> dict[str, int]:
     """Land the readings behind the watermarks as envelopes and advance the watermarks.
 
-    The state is written last: a run that fails before is repeated with the same
+    Sensors that stopped before the lookback are read from where they stopped,
+    unless ``catch_up`` is off; ``behind`` in the log counts them either way. The
+    state is written last: a run that fails before is repeated with the same
     windows.
     """
     spark = sensors.sparkSession
     state = read_state(spark, state_root)
-    rows = bronze.incremental_measurements(sensors, readings, state, F.lit(now), at, lookback_days, max_per_sensor)
-    return _land_readings(spark, rows, at, path, state_root, now, "day")
+    earliest = F.lit(now) - F.make_dt_interval(F.lit(lookback_days))
+    behind = st.stopped_before(sensors, state, "sensor_id", earliest).first()
+    since = F.lit(behind["oldest"]) if catch_up and behind["sensors"] else None
+    rows = bronze.incremental_measurements(sensors, readings, state, F.lit(now), at, lookback_days, max_per_sensor, since)
+    return {**_land_readings(spark, rows, at, path, state_root, now, "day"), "behind": behind["sensors"]}
 
 
 def backfill_measurements(

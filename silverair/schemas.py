@@ -202,7 +202,7 @@ WEATHER = (
 )
 
 SITE_FEATURES = """
-    sys_primary_key bigint, location_id bigint, api_call_timestamp string, country_name string,
+    sys_primary_key decimal(38,0), location_id bigint, api_call_timestamp string, country_name string,
     city_or_locality string, lat double, lon double, building_count_all bigint,
     main_building_count bigint, highway_count bigint, area_tag string, area_tag_source string,
     radius_m int, status string, error_message string

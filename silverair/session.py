@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -84,3 +86,15 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str = "stage") -> Iterator[DataFrame]:
+    """As ``materialise``, for the length of a ``with`` block: the written table is deleted behind it."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        df.write.mode("errorifexists").parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -36,7 +36,7 @@ def new_version() -> str:
 
 
 def manifest(spark: SparkSession, root: str) -> DataFrame:
-    """All published versions, one row each."""
+    """All versions that are kept, one row each."""
     return spark.read.schema(MANIFEST).json(_manifest_path(root))
 
 
@@ -110,15 +110,25 @@ def register(spark: SparkSession, root: str, table: str, schema: str) -> None:
         spark.catalog.createTable(table, path=pointer["path"], source="parquet", schema=columns)
 
 
-def retain(spark: SparkSession, root: str, versions: int = 1) -> int:
-    """Delete the data of all but the newest ``versions`` versions; returns the number of files.
+def retain(spark: SparkSession, root: str, versions: int = 2, grace: timedelta = timedelta(days=1)) -> int:
+    """Delete old versions and their pointers; returns the number of deleted data files.
 
-    The number of versions is bounded by the number of refreshes, not by data.
+    The newest ``versions`` stay, and whatever was replaced less than ``grace`` ago:
+    a reader that opened a version before a refresh can finish. Deleted versions
+    leave the manifest, so it holds what still exists and later calls look at that.
     """
-    published = [r.path for r in manifest(spark, root).orderBy(F.desc("version")).select("path").collect()]
+    listed = manifest(spark, root).select("*", "_metadata.file_path").orderBy(F.desc("version")).collect()
     deleted = 0
-    for path in published[versions:]:
-        if exists(spark, path):
-            deleted += list_files(spark, path).count()
-            delete_folder(spark, path)
+    # A version is as old as its successor, which replaced it.
+    for newer, old in zip(listed[versions - 1 :], listed[versions:], strict=False):
+        if datetime.now(UTC) - _made_at(newer["version"]) < grace:
+            continue
+        if exists(spark, old["path"]):
+            deleted += list_files(spark, old["path"]).count()
+            delete_folder(spark, old["path"])
+        delete_folder(spark, old["file_path"])
     return deleted
+
+
+def _made_at(version: str) -> datetime:
+    return datetime.strptime(version.partition("-")[0], "%Y%m%d%H%M%S%f").replace(tzinfo=UTC)

@@ -16,6 +16,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return filesystem.exists(target)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders directly below ``path``; none if it does not exist."""
+    filesystem, target = _filesystem(spark, path)
+    if not filesystem.exists(target):
+        return []
+    return [s.getPath().toString() for s in filesystem.listStatus(target) if s.isDirectory()]
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     """Stored size of all files below ``path``."""
     filesystem, target = _filesystem(spark, path)
@@ -55,7 +63,8 @@ def latest_file(spark: SparkSession, prefix: str, pattern: str = "*.parquet") ->
 
 
 def read_latest(spark: SparkSession, prefix: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).parquet(latest_file(spark, prefix))
+    """All files of the newest snapshot: those in the folder of the newest file."""
+    return spark.read.schema(schema).parquet(latest_file(spark, prefix).rpartition("/")[0])
 
 
 def with_ordinal(df: DataFrame, file: str = "file_ordinal", row: str = "row_ordinal") -> DataFrame:

@@ -13,26 +13,27 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from silverair.operators.increment import insert_new
-from silverair.session import materialise
-from silverair.sinks.files import append
-from silverair.sources.tables import optional_scan
+from silverair.operators.quality import Rule
+from silverair.sinks.increments import insert
 
 
 def insert_batches(
-    transform: Callable[[DataFrame], DataFrame], target: str, key: str, schema: str, partition_by: Sequence[str] = ()
+    transform: Callable[[DataFrame], DataFrame],
+    target: str,
+    key: str,
+    schema: str,
+    partition_by: Sequence[str] = (),
+    rules: Sequence[Rule] = (),
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that appends the new keys of every batch to ``target``."""
+    """A ``foreachBatch`` function that appends the new keys of every batch to ``target``.
+
+    Rows that break a rule are kept beside the target; see ``sinks.increments``.
+    """
 
-    def insert(batch: DataFrame, _: int) -> None:
-        existing = optional_scan(batch.sparkSession, target, schema)
-        rows = transform(batch)
-        prune_by = partition_by[0] if partition_by else None
-        if prune_by and existing is not None:
-            rows = materialise(rows, "batch")
-        append(insert_new(rows, existing, key, prune_by), target, partition_by)
+    def insert_batch(batch: DataFrame, _: int) -> None:
+        insert(transform(batch), target, key, schema, partition_by, rules)
 
-    return insert
+    return insert_batch
 
 
 def run_increment(
@@ -47,6 +48,7 @@ def run_increment(
     partition_by: Sequence[str] = (),
     format: str = "parquet",
     max_files: int | None = None,
+    rules: Sequence[Rule] = (),
 ) -> StreamingQuery:
     """Process all files that arrived since the last run, then stop."""
     reader = spark.readStream.schema(source_schema).format(format)
@@ -54,7 +56,7 @@ def run_increment(
         reader = reader.option("maxFilesPerTrigger", max_files)
     query = (
         reader.load(source)
-        .writeStream.foreachBatch(insert_batches(transform, target, key, target_schema, partition_by))
+        .writeStream.foreachBatch(insert_batches(transform, target, key, target_schema, partition_by, rules))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

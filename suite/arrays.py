@@ -180,7 +180,7 @@ def q_dedupe_first(t: Tables) -> DataFrame:
 """)
 def q_dedupe_first_all(t: Tables) -> DataFrame:
     """The same without a cap."""
-    flat = bronze.sites(locations(t).withColumn("ordinal", F.col("id")), ["ordinal"], limit=None)
+    flat = bronze.sites(locations(t).withColumn("ordinal", F.col("id")), ["ordinal"])
     return distinct_sites(flat, ["ordinal"], ["latitude"]).drop("ordinal")
 
 

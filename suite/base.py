@@ -17,8 +17,6 @@ from silverair.session import configure
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
-EVENT_DAYS = ("2024-01-01", "2024-01-30")
-
 
 class Tables:
     """The parquet tables of one folder as attributes."""

@@ -217,7 +217,7 @@ _SITES_SQL = f"""
 
 
 def sites(t: Tables) -> DataFrame:
-    return bronze.sites(locations(t).withColumn("ordinal", F.col("id")), ["ordinal"], limit=None)
+    return bronze.sites(locations(t).withColumn("ordinal", F.col("id")), ["ordinal"])
 
 
 def failure(label: Column) -> Column:
@@ -331,7 +331,7 @@ def q_bronze_features(t: Tables) -> DataFrame:
         failure(F.col("label")).alias("error"),
     )
     called_at = F.lit("2026-04-30 10:15:30").cast("timestamp")
-    rows = bronze.site_features(sites(t), payloads, called_at, ["ordinal"], limit=None)
+    rows = bronze.site_features(sites(t), payloads, called_at, ["ordinal"])
     counts = [F.col(c).cast("double").alias(c) for c in ("building_count_all", "main_building_count", "highway_count")]
     return rows.select(
         F.col("sys_primary_key").cast("string").alias("sys_primary_key"),

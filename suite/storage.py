@@ -5,7 +5,7 @@ Files go to a new folder under the shared scratch root of the session.
 
 from __future__ import annotations
 
-import time
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,7 +64,7 @@ def q_full_refresh(t: Tables) -> DataFrame:
     versions.refresh(rows.filter(before_middle()).drop("ts"), root)
     result = versions.refresh(rows.drop("ts"), root, details={"reason": "full refresh"})
     published = versions.manifest(t.spark, root).count()
-    versions.retain(t.spark, root, 1)
+    versions.retain(t.spark, root, 1, timedelta(0))
     current = versions.read_current(t.spark, root, "event_id bigint, user_id bigint, value double")
     return current.select(
         "*", F.lit(published).alias("versions"), F.lit(result["rows"]).cast("bigint").alias("published_rows")
@@ -107,13 +107,11 @@ def q_json_roundtrip(t: Tables) -> DataFrame:
     SELECT event_type, count(*) AS n, {money_sql("value")} AS total FROM events GROUP BY event_type
 """)
 def q_latest_file(t: Tables) -> DataFrame:
-    """Two snapshots per event type; only the newer file is read."""
+    """Two snapshots of several files; the newer one is read, all of it."""
     prefix = scratch_path(t.spark, "snapshots")
     for name, rows in (("a", t.events.filter(before_middle())), ("b", t.events)):
         summary = rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), money("value").alias("total"))
-        # One row per event type, so a single file is enough.
-        summary.coalesce(1).write.parquet(f"{prefix}/{name}")
-        time.sleep(0.05)
+        summary.repartition(3, "event_type").write.parquet(f"{prefix}/{name}")
     return read_latest(t.spark, prefix, "event_type string, n bigint, total double")
 
 

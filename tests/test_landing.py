@@ -57,13 +57,12 @@ def test_weather_replaces_days_and_logs_the_run(spark, tmp_path):
     ]
 
 
-@pytest.mark.parametrize("limit", [200, None])
-def test_site_features_keep_one_snapshot(spark, tmp_path, limit):
+def test_site_features_keep_two_snapshots(spark, tmp_path):
     root = str(tmp_path / "features")
     payloads = spark.createDataFrame([(1, [("way", 1, {"highway": "x"})], None), (2, None, "timeout")], schemas.ELEMENT_PAYLOADS)
-    logs = [landing.site_features(sites(spark, 1, 2), payloads, root, NOW, ["ordinal"], limit=limit) for _ in range(2)]
+    logs = [landing.site_features(sites(spark, 1, 2), payloads, root, NOW, ["ordinal"]) for _ in range(2)]
     assert [(log["processed"], log["succeeded"], log["failed"]) for log in logs] == [(2, 1, 1)] * 2
-    assert logs[0]["deleted_files"] == 0 and logs[1]["deleted_files"] > 0
+    assert [log["deleted_files"] for log in logs] == [0, 0] and versions.manifest(spark, root).count() == 2
     stored = versions.read_current(spark, root, schemas.SITE_FEATURES)
     assert rows(stored.select("sys_primary_key", "location_id", "highway_count"), "location_id") == [
         (20260430101530002, 1, 1), (20260430101530001, 2, None),
@@ -81,6 +80,7 @@ def test_incremental_runs_continue_from_the_written_state(spark, tmp_path):
         logs.append(landing.incremental_measurements(sensors, data, path, state, now, "at"))
     assert [log["written"] for log in logs] == [1, 1, 0, 2]
     assert [log["sensors"] for log in logs] == [1, 1, 1, 2]
+    assert [log.get("behind") for log in logs] == [None, 0, 0, 1]
     schema = (
         "data struct<at: timestamp>, sys struct<load_date: string, source: string, sensor_id: int, granularity: string>, "
         "year string, month string, day string"

@@ -63,5 +63,5 @@ def test_run_ids(spark):
     df = values(spark, "k", ["b", "a", "c"])
     run = F.lit(20260430101530)
     want = [("a", 20260430101530001), ("b", 20260430101530002), ("c", 20260430101530003)]
-    assert rows(run_ids(df, ["k"], run, "id", limit=200)) == want
+    assert rows(run_ids(df, ["k"], run, "id")) == want
     assert rows(run_ids(df, ["k"], run, "id").select("k", F.col("id").cast("bigint"))) == want

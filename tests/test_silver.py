@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from helpers import plan, rows
 from silverair import schemas
 from silverair.operators.quality import QualityError
 from silverair.plans import jobs, silver
-from silverair.sinks import versions
+from silverair.sinks import increments, versions
 from silverair.sources.tables import scan
 
 PM = ("2", "pm25", "ug/m3", "PM2.5")
@@ -181,7 +182,7 @@ def features(spark, data):
         (pk, loc, "t", "DE", "Bonn", 1.0, 2.0, main, main, highways, "a", "b", radius, status, "")
         for pk, loc, main, highways, radius, status in data
     ]
-    return spark.createDataFrame(full, schemas.SITE_FEATURES)
+    return spark.createDataFrame([(Decimal(key), *rest) for key, *rest in full], schemas.SITE_FEATURES)
 
 
 def test_urbanity(spark):
@@ -216,15 +217,15 @@ def test_date_dimension(spark):
 def test_jobs_end_to_end(spark, tmp_path):
     nested = locations(spark, location(1, [sensor(10), sensor(11)]), location(2, [sensor(12)]))
     path = str(tmp_path / "dim")
-    assert jobs.sensor_locations(nested.filter("id = 1"), path).count() == 2
-    assert jobs.sensor_locations(nested, path).count() == 1
-    assert jobs.sensor_locations(nested, path).count() == 0
+    assert jobs.sensor_locations(nested.filter("id = 1"), path)["inserted"] == 2
+    assert jobs.sensor_locations(nested, path)["inserted"] == 1
+    assert jobs.sensor_locations(nested, path)["inserted"] == 0
     assert scan(spark, path, schemas.DIM_SENSOR_LOCATION.ddl).count() == 3
 
     root = str(tmp_path / "fact")
     for value in ("1", "2"):
         result = jobs.sensor_measures(*sources(spark, [measurement(1, "2026-01-01", value)], []), root)
-    assert result["rows"] == 1 and result["deleted_files"] == 1
+    assert result["rows"] == 1 and result["deleted_files"] == 0
     stored = versions.read_current(spark, root, schemas.FACT_SENSOR_MEASURE.ddl)
     assert rows(stored.select("parameter_value")) == [(2.0,)]
 
@@ -258,11 +259,40 @@ def test_jdbc_copies_see_the_written_rows(spark, tmp_path, monkeypatch):
     ]
 
 
-def test_ungated_job_writes_what_it_gets(spark, tmp_path):
+def test_bad_rows_are_kept_beside_the_target(spark, tmp_path):
+    good, bad = weather(1, "2026-01-02", "2026-01-03T00:00:00+00:00"), weather(1, "no day", "2026-01-03T00:00:00+00:00")
+    raw = spark.createDataFrame([good, bad], schemas.WEATHER)
+    path = str(tmp_path / "w")
+    logs = [jobs.weather(raw, path) for _ in range(3)]
+    assert logs == [{"inserted": 1, "quarantined": 1}] + [{"inserted": 0, "quarantined": 0}] * 2
+    assert spark.read.parquet(path).count() == 1
+    aside = spark.read.parquet(increments.quarantine_path(path))
+    assert [r.broken_rules for r in aside.collect()] == [["not_null(date_id)"]]
+
+
+def test_ungated_job_writes_what_it_gets_once(spark, tmp_path):
     raw = spark.createDataFrame([weather(1, "no day", "2026-01-03T00:00:00+00:00")], schemas.WEATHER)
-    with pytest.raises(QualityError, match=r"not_null\(date_id\): 1"):
-        jobs.weather(raw, str(tmp_path / "w"))
-    assert jobs.weather(raw, str(tmp_path / "w"), gated=False).count() == 1
+    late = spark.createDataFrame([weather(1, "2020-01-01", "2026-01-03T00:00:00+00:00")], schemas.WEATHER)
+    got = [jobs.weather(df, str(tmp_path / "w"), gated=False)["inserted"] for df in (raw, raw, raw.union(late), late)]
+    assert got == [1, 0, 1, 0]
+
+
+def test_a_failed_copy_is_made_up_for(spark, tmp_path, monkeypatch):
+    raw = spark.createDataFrame([weather(1, "2026-01-02", "2026-01-03T00:00:00+00:00")], schemas.WEATHER)
+    more = spark.createDataFrame([weather(1, "2026-01-04", "2026-01-05T00:00:00+00:00")], schemas.WEATHER)
+    copied, path = [], str(tmp_path / "w")
+
+    def append(df, table, options):
+        if options["fail"]:
+            raise ConnectionError
+        copied.extend(r.date_id for r in df.collect())
+
+    monkeypatch.setattr(jobs.warehouse, "append", append)
+    with pytest.raises(ConnectionError):
+        jobs.weather(raw, path, {"fail": True})
+    assert spark.read.parquet(path).count() == 1 and copied == []
+    assert jobs.weather(more, path, {"fail": False})["inserted"] == 1
+    assert copied == ["20260102", "20260104"] and spark.read.parquet(path).count() == 2
 
 
 def test_catalog_tables_follow_the_jobs(spark, tmp_path):

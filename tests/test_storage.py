@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import json
 import os
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -182,8 +182,12 @@ def test_refresh_publishes_whole_versions(spark, tmp_path):
         versions.refresh(spark.range(9), root, validate=reject)
     assert versions.current(spark, root)["version"] == second["version"]
     old_files = len(parquet_files(first["path"]))
-    assert old_files and versions.retain(spark, root, 1) == old_files
-    assert not os.path.exists(first["path"]) and versions.retain(spark, root, 1) == 0
+    assert versions.retain(spark, root, 1) == 0 and versions.retain(spark, root, 2, timedelta(0)) == 0
+    opened = spark.read.parquet(first["path"])
+    assert opened.count() == 3
+    assert old_files and versions.retain(spark, root, 1, timedelta(0)) == old_files
+    assert not os.path.exists(first["path"]) and versions.retain(spark, root, 1, timedelta(0)) == 0
+    assert versions.manifest(spark, root).count() == 1
     assert versions.read_current(spark, root, "id bigint").count() == 3
 
 
