@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from silverair.functions import times
 from silverair.functions.elements import NO_AREA, element_features
@@ -57,24 +58,32 @@ def measurements(
 ) -> DataFrame:
     """Daily values of the landed pages with the columns of their sensor and request.
 
-    ``window`` is ``(load type, first day, last day)``.
+    ``window`` is ``(load type, first day, last day)``. Results are JSON text, or
+    structs that hold ``value`` and ``period``; ``record`` keeps all of a result.
     """
     load_type, date_from, date_to = window
     rows = concat_pages(pages, "request_id", "page", "results", "record", max_records)
+    if isinstance(rows.schema["record"].dataType, T.StringType):
+        record = F.col("record")
+        value = F.get_json_object("record", "$.value").try_cast("double")
+        period = F.from_json(F.get_json_object("record", "$.period"), "datetimeTo struct<utc: string>")
+    else:
+        record, value, period = F.to_json("record"), F.col("record.value"), F.col("record.period")
     described = sensors.select(
         "sensor_id", "sensor_name", "parameter_id", "parameter_name", "parameter_units", "parameter_display_name"
     )
     described_rows = lookup_join(rows, described, ["sensor_id"], ["page", "record_pos"])
     return described_rows.select(
         *described.columns,
-        F.col("record.value").alias("value"),
+        value.alias("value"),
         F.lit(load_type == "historical").alias("historical_load"),
         F.lit(True).alias("daily_average_load"),
         F.lit(date_from).alias("load_date_from"),
         F.lit(date_to).alias("load_date_to"),
         F.col("called_at").alias("api_call_timestamp"),
         F.col("url").alias("sys_source_from"),
-        F.col("record.period").alias("period"),
+        period.alias("period"),
+        record.alias("record"),
     )
 
 
@@ -197,11 +206,8 @@ def features_around(
 
 
 def end_time(record: str) -> Column:
-    """End of a reading: the first of its known end fields that is not empty.
-
-    The fields differ by case only; set ``spark.sql.caseSensitive`` to use this.
-    """
-    return times.iso_instant(first_present(*[F.col(f"{record}.{path}") for path in END_TIME_PATHS]))
+    """End of a reading (a column of JSON text): the first of its known end fields that is not empty."""
+    return times.iso_instant(first_present(*[F.get_json_object(record, f"$.{path}") for path in END_TIME_PATHS]))
 
 
 def incremental_measurements(

@@ -218,8 +218,7 @@ ELEMENT_PAYLOADS = (
     "location_id bigint, elements array<struct<type: string, id: bigint, tags: map<string, string>>>, error string"
 )
 
-# End times of a reading, in the order in which they are tried. Some names
-# differ by case only, so frames with them need spark.sql.caseSensitive=true.
+# End times of a reading, in the order in which they are tried.
 END_TIME_PATHS = (
     "date.utc",
     "datetime.utc",
@@ -231,11 +230,9 @@ END_TIME_PATHS = (
     "datetimeTo",
 )
 
-READING = """struct<value: double,
-    date: struct<utc: string>, datetime: struct<utc: string>,
-    period: struct<datetimeto: struct<utc: string>, datetimeTo: struct<utc: string>>,
-    coverage: struct<datetimeto: struct<utc: string>, datetimeTo: struct<utc: string>>,
-    datetimeto: struct<utc: string>, datetimeTo: string>"""
+# A reading stays the JSON text that was landed: all fields are kept, and names that
+# differ by case only are told apart in every session.
+READING = "string"
 
 MEASUREMENT_PAGES = f"request_id string, page int, sensor_id bigint, results array<{READING}>, url string, called_at string"
 

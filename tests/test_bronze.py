@@ -128,49 +128,36 @@ def test_features_around(spark):
     ]
 
 
-NESTED = {
-    "date.utc": ("date", ("{}",)),
-    "datetime.utc": ("datetime", ("{}",)),
-    "period.datetimeto.utc": ("period", (("{}",), None)),
-    "coverage.datetimeto.utc": ("coverage", (("{}",), None)),
-    "period.datetimeTo.utc": ("period", (None, ("{}",))),
-    "coverage.datetimeTo.utc": ("coverage", (None, ("{}",))),
-    "datetimeto.utc": ("datetimeto", ("{}",)),
-    "datetimeTo": ("datetimeTo", "{}"),
-}
-FIELDS = ("value", "date", "datetime", "period", "coverage", "datetimeto", "datetimeTo")
-
-
-def fill(shape, text):
-    return tuple(None if s is None else fill(s, text) for s in shape) if isinstance(shape, tuple) else shape.format(text)
-
-
-@pytest.fixture
-def case_sensitive(spark):
-    spark.conf.set("spark.sql.caseSensitive", "true")
-    yield
-    spark.conf.unset("spark.sql.caseSensitive")
-
-
 def record(**given):
-    return tuple(given.get(f) for f in FIELDS)
-
-
+    """JSON text of a reading; ``__`` in a name leads to a nested field."""
+    nested: dict = {}
+    for name, value in given.items():
+        *outer, last = name.split("__")
+        at = nested
+        for part in outer:
+            at = at.setdefault(part, {})
+        at[last] = value
+    return json.dumps(nested)
+
+
+@pytest.mark.parametrize("case_sensitive", ["false", "true"])
 def test_end_time_tries_all_paths_in_order(spark, case_sensitive):
-    assert tuple(NESTED) == schemas.END_TIME_PATHS
+    spark.conf.set("spark.sql.caseSensitive", case_sensitive)
     data, want = [], []
-    for hour, (name, (field, shape)) in enumerate(NESTED.items()):
-        text = f"2026-01-01T0{hour}:00:00Z"
-        later = {"datetimeTo": "2026-01-09T00:00:00Z"} if name != "datetimeTo" else {}
-        data.append((hour, record(**{**later, field: fill(shape, text)})))
+    for hour, path in enumerate(schemas.END_TIME_PATHS):
+        later = {p.replace(".", "__"): "2026-01-09T00:00:00Z" for p in schemas.END_TIME_PATHS[hour + 1 :]}
+        data.append((hour, record(**{path.replace(".", "__"): f"2026-01-01T0{hour}:00:00Z", **later})))
         want.append((hour, datetime(2026, 1, 1, hour)))
-    data += [(8, record(date=("",), datetimeTo="2026-01-02T00:00:00Z")), (9, record(value=1.0)), (10, record(date=("bad",)))]
+    data += [(8, record(date__utc="", datetimeTo="2026-01-02T00:00:00Z")), (9, record(value=1.0)), (10, record(date__utc="bad"))]
     want += [(8, datetime(2026, 1, 2)), (9, None), (10, None)]
     df = spark.createDataFrame(data, f"n int, record {schemas.READING}")
-    assert rows(df.select("n", bronze.end_time("record").alias("t")), "n") == want
+    try:
+        assert rows(df.select("n", bronze.end_time("record").alias("t")), "n") == want
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
 
 
-def test_landed_json_keeps_fields_that_differ_by_case(spark, case_sensitive, tmp_path):
+def test_landed_json_keeps_fields_that_differ_by_case(spark, tmp_path):
     records = [
         {"value": 1.5, "period": {"datetimeto": {"utc": "2026-01-01T01:00:00Z"}, "datetimeTo": {"utc": "2026-01-01T02:00:00Z"}}},
         {"value": 2.5, "period": {"datetimeTo": {"utc": "2026-01-01T03:00:00Z"}}, "datetimeTo": "2026-01-01T04:00:00Z"},
@@ -180,14 +167,15 @@ def test_landed_json_keeps_fields_that_differ_by_case(spark, case_sensitive, tmp
     sys = {"load_date": "2026-01-02", "source": "s", "sensor_id": 7, "granularity": "day"}
     (tmp_path / "landed.json").write_text("\n".join(json.dumps({"data": r, "sys": sys}) for r in records) + '\n{"data": {')
     landed = spark.read.schema(schemas.ENVELOPE).json(str(tmp_path / "landed.json")).filter("sys is not null")
-    ends = landed.select("data.value", bronze.end_time("data").alias("at"), F.col("sys.sensor_id").alias("s"))
+    value = F.get_json_object("data", "$.value").cast("double").alias("value")
+    ends = landed.select(value, bronze.end_time("data").alias("at"), F.col("sys.sensor_id").alias("s"))
     assert [(v, at and at.hour) for v, at, _ in rows(ends, "value")] == [(1.5, 1), (2.5, 3), (3.5, 5), (4.5, None)]
     assert rows(state.last_readings(ends, "s", F.col("at"))) == [(7, datetime(2026, 1, 1, 5))]
 
 
-def test_measurements(spark, case_sensitive):
+def test_measurements(spark):
     def value(v):
-        return record(value=v, period=(None, ("2026-01-02T00:00:00Z",)))
+        return record(value=v, period__datetimeto__utc="x", period__datetimeTo__utc="2026-01-02T00:00:00Z", coverage__n=v)
 
     pages = spark.createDataFrame(
         [
