@@ -23,6 +23,7 @@ from silverair.operators.ranking import run_ids
 from silverair.operators.spatial import radius_join
 from silverair.plans.silver import is_pm25
 from silverair.schemas import END_TIME_PATHS, WEATHER_METRICS
+from silverair.session import materialise
 
 # Fixed value: the source name in landed envelopes.
 ENVELOPE_SOURCE = "openaq_lambda"
@@ -198,7 +199,8 @@ def features_around(
     """
     near = radius_join(sites.select(site, "lat", "lon"), elements, radius_m)
     # Elements of a table have no order of their own: the nearest area comes first.
-    ordered = near.withColumn("pos", F.struct("distance_m", "type", "id"))
+    # Counts and areas both read the pairs, so these are written once.
+    ordered = materialise(near.select(site, "type", "id", "tags", F.struct("distance_m", "type", "id").alias("pos")), "near")
     found = sites.join(tag_features(ordered, site), site, "left")
     return found.na.fill(0, ["building_count_all", "main_building_count", "highway_count"]).na.fill(
         {"area_tag": NO_AREA[0], "area_tag_source": NO_AREA[1]}

@@ -113,7 +113,7 @@ def locations(t: Tables) -> DataFrame:
         F.struct(
             F.col("n_nationkey").cast("bigint").alias("id"),
             F.col("n_name").alias("name"),
-            F.substring("n_name", 8, 10).alias("code"),
+            F.expr("substring(n_name, 8)").alias("code"),
         ).alias("country"),
         F.struct(
             F.when(F.col("c_acctbal") >= 0, F.floor(F.col("c_acctbal") / 1000).cast("double")).alias("latitude"),

@@ -50,6 +50,16 @@ def q_pages(t: Tables) -> DataFrame:
     return rows.select("conv_id", "page", F.col("word_pos").alias("pos"), "word")
 
 
+@query(f"WITH {_PAGES_SQL} SELECT * FROM results")
+def q_pages_retried(t: Tables) -> DataFrame:
+    """Every page was landed twice, first with other results; the newer landing counts, once."""
+    landed = pages(t)
+    first = landed.withColumns({"results": F.reverse("results"), "called_at": F.lit("2024-01-01")})
+    both = first.unionByName(landed.withColumn("called_at", F.lit("2024-01-02")))
+    rows = concat_pages(both, "conv_id", "page", "results", "word")
+    return rows.select("conv_id", "page", F.col("word_pos").alias("pos"), "word")
+
+
 @query(f"""
     WITH {_PAGES_SQL} SELECT * FROM results
     QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY page, pos) <= 40

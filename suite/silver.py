@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from silverair.plans import bronze, jobs, silver
 from silverair.schemas import DIM_SENSOR_LOCATION, FACT_SENSOR_MEASURE, FACT_WEATHER, WEATHER_METRICS
 from silverair.session import scratch_path
-from silverair.sinks import versions
+from silverair.sinks import increments, versions
 from silverair.sources.files import with_ordinal
 from silverair.sources.tables import scan
 from suite.base import LOCATIONS_SQL, Tables, day_text, instant_sql, instant_text, locations, money, query
@@ -107,7 +107,7 @@ def q_measure_fact(t: Tables) -> DataFrame:
     )
 
 
-def weather_rows(t: Tables) -> DataFrame:
+def weather_rows(t: Tables, day: Column | None = None) -> DataFrame:
     """Events as landed weather: the user gives the coordinate, the event type the status."""
     code = F.get_json_object("props", "$.k").cast("int")
     return t.events.select(
@@ -115,7 +115,7 @@ def weather_rows(t: Tables) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("api_call_timestamp"),
         (F.col("user_id") * 0.5 - 40).alias("lat"),
         (F.col("user_id") * 0.25).alias("lon"),
-        day_text("ts").alias("record_date"),
+        (day_text("ts") if day is None else day).alias("record_date"),
         code.alias("weather_code"),
         *[
             (F.col("value") * factor).alias(name)
@@ -148,6 +148,26 @@ def q_weather_fact(t: Tables) -> DataFrame:
     return scan(t.spark, path, FACT_WEATHER.ddl).withColumn("sys_load_ts", instant_text("sys_load_ts"))
 
 
+@query("""
+    SELECT CAST(user_id * 0.5 - 40 AS DOUBLE)::VARCHAR || '-' || CAST(user_id * 0.25 AS DOUBLE)::VARCHAR || '-'
+               || strftime(ts, '%Y-%m-%d') AS dw_unique_key, strftime(ts, '%Y%m%d') AS date_id,
+           CAST(regexp_extract(props, ':\\s*(-?[0-9]+)', 1) AS INTEGER) AS weather_code,
+           (SELECT count(DISTINCT user_id) FROM events WHERE event_type <> 'error' AND event_id % 50 = 0) AS quarantined
+    FROM events WHERE event_type <> 'error' AND event_id % 50 <> 0
+    QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id) = 1
+""")
+def q_weather_quarantine(t: Tables) -> DataFrame:
+    """Some rows have no readable day: they are kept beside the fact, once, and the rest is loaded, once."""
+    path = scratch_path(t.spark, "weather-quarantine")
+    raw = weather_rows(t, F.when(F.col("event_id") % 50 == 0, "no day").otherwise(day_text("ts")))
+    for _ in range(2):
+        jobs.weather(raw, path)
+    aside = t.spark.read.parquet(increments.quarantine_path(path)).count()
+    return scan(t.spark, path, FACT_WEATHER.ddl).select(
+        "dw_unique_key", "date_id", "weather_code", F.lit(aside).cast("bigint").alias("quarantined")
+    )
+
+
 @query("""
     WITH features AS (
         SELECT c_custkey, count(o_orderkey) AS highways,

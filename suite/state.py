@@ -11,6 +11,7 @@ from silverair.functions import times
 from silverair.operators import state as st
 from silverair.operators.nested import unwrap_envelope
 from silverair.plans import bronze, landing
+from silverair.schemas import END_TIME_PATHS
 from silverair.session import scratch_path
 from silverair.sources.tables import scan
 from suite.base import Tables, instant_sql, instant_text, query
@@ -80,21 +81,20 @@ _ROUNDS_SQL = """
     last AS (SELECT user_id, max(ts) AS ts FROM first_round GROUP BY user_id),
     second_round AS (
         SELECT event_id, e.user_id, e.ts, value, '2024-01-31T00:00:00+00:00' AS load_date FROM events e LEFT JOIN last l ON l.user_id = e.user_id
-        WHERE e.ts BETWEEN greatest(coalesce(l.ts + INTERVAL 1 SECOND, TIMESTAMP '2024-01-11'), TIMESTAMP '2024-01-11')
-                       AND TIMESTAMP '2024-01-31'
+        WHERE e.ts BETWEEN coalesce(l.ts + INTERVAL 1 SECOND, TIMESTAMP '2024-01-11') AND TIMESTAMP '2024-01-31'
     ),
     rounds AS (SELECT * FROM first_round UNION ALL SELECT * FROM second_round)
 """
 
 
-def two_rounds(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Two incremental runs: landed envelopes, and the state after the second run."""
+def two_rounds(t: Tables, runs: tuple = ((16, 10), (31, 20)), catch_up: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Two incremental runs (day and lookback): landed envelopes, and the state after the second run."""
     rows = readings(t).drop("event_type")
     sensors = rows.select("sensor_id").distinct()
     path, state_root = scratch_path(t.spark, "envelopes"), scratch_path(t.spark, "state")
-    for day, lookback in ((16, 10), (31, 20)):
+    for day, lookback in runs:
         now = datetime(2024, 1, day, tzinfo=UTC)
-        landing.incremental_measurements(sensors, rows, path, state_root, now, "at", lookback)
+        landing.incremental_measurements(sensors, rows, path, state_root, now, "at", lookback, catch_up=catch_up)
     schema = (
         "data struct<event_id: bigint, value: double, at: timestamp>, "
         "sys struct<load_date: string, source: string, sensor_id: bigint, granularity: string>, "
@@ -140,3 +140,45 @@ def q_run_labels(t: Tables) -> DataFrame:
         F.date_format(times.next_month("ts"), "yyyy-MM-dd").alias("next_month"),
         F.date_format(times.days_before("ts", 2), "yyyy-MM-dd").alias("two_days_before"),
     )
+
+
+_GAP_SQL = """
+    WITH early AS (
+        SELECT event_id, user_id, ts FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-06'
+    ),
+    last AS (SELECT user_id, max(ts) AS ts FROM early GROUP BY user_id),
+    later AS (
+        SELECT event_id, e.user_id, e.ts FROM events e LEFT JOIN last l ON l.user_id = e.user_id
+        WHERE e.ts BETWEEN {start} AND TIMESTAMP '2024-01-31'
+    )
+    SELECT event_id, user_id AS sensor_id FROM early UNION ALL SELECT event_id, user_id FROM later
+"""
+
+
+@query(_GAP_SQL.format(start="coalesce(l.ts + INTERVAL 1 SECOND, TIMESTAMP '2024-01-28')"))
+def q_incremental_gap(t: Tables) -> DataFrame:
+    """An outage longer than the lookback: sensors go on where they stopped."""
+    landed, _ = two_rounds(t, ((6, 3), (31, 3)))
+    return landed.select("event_id", "sensor_id")
+
+
+@query(_GAP_SQL.format(start="greatest(coalesce(l.ts + INTERVAL 1 SECOND, TIMESTAMP '2024-01-28'), TIMESTAMP '2024-01-28')"))
+def q_incremental_lookback(t: Tables) -> DataFrame:
+    """The same with windows that never begin before the lookback."""
+    landed, _ = two_rounds(t, ((6, 3), (31, 3)), catch_up=False)
+    return landed.select("event_id", "sensor_id")
+
+
+@query(f"""
+    SELECT event_id, CASE WHEN event_id % 9 < 8 THEN {instant_sql("ts")} END AS ended FROM events
+""")
+def q_end_time(t: Tables) -> DataFrame:
+    """Readings as JSON text with their end under each of the known paths in turn, or under none."""
+    text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    shapes = []
+    for path in END_TIME_PATHS:
+        names = path.split(".")
+        head = "".join(f'{{"{name}":' for name in names)
+        shapes.append(F.concat(F.lit(f"{head}\""), text, F.lit('"' + "}" * len(names))))
+    record = F.get(F.array(*shapes, F.lit('{"value": 1}')), (F.col("event_id") % 9).cast("int"))
+    return t.events.select("event_id", instant_text(bronze.end_time(record)).alias("ended"))

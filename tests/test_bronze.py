@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from helpers import rows
+from helpers import plan, rows
 from silverair import schemas
 from silverair.operators import state
 from silverair.operators.nested import unwrap_envelope
@@ -242,3 +242,19 @@ def test_landed_envelopes_read_back(spark):
         "load_date": CALLED, "source": "openaq_lambda", "sensor_id": 1, "granularity": "day",
     }
     assert unwrap_envelope(wrapped).select("at").first()[0] == datetime(2026, 1, 9)
+
+
+def test_windows_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "readings")
+    readings(spark, (1, 8), (1, 9)).write.parquet(path)
+    stored = spark.read.parquet(path)
+    sensors = spark.createDataFrame([(1,), (1,)], "sensor_id int")
+    watermarks = spark.createDataFrame([], "sensor_id int, last_timestamp timestamp")
+    frames = [
+        bronze.incremental_measurements(sensors, stored, watermarks, F.lit(datetime(2026, 1, 10)), "at"),
+        bronze.backfill_measurements(sensors, stored, F.lit(datetime(2026, 1, 1)), F.lit(datetime(2026, 1, 31)), "at"),
+    ]
+    for frame in frames:
+        assert len(rows(frame)) == 2
+        text = plan(frame)
+        assert "GreaterThanOrEqual(at" in text and "LessThanOrEqual(at" in text

@@ -6,6 +6,7 @@ from helpers import rows
 from silverair import schemas
 from silverair.plans import silver
 from silverair.schemas import FACT_WEATHER
+from silverair.sinks.increments import quarantine_path
 from silverair.streaming.increment import insert_batches, run_increment
 from test_silver import weather
 
@@ -55,3 +56,13 @@ def test_repeated_batch_inserts_nothing(spark, tmp_path):
     for number in (0, 0, 1):
         insert(batch, number)
     assert spark.read.schema("k bigint, v int, day string").parquet(target).count() == 6
+
+
+def test_bad_and_late_days_come_in_once(spark, tmp_path):
+    data = [weather(1, d, "2026-01-02T00:00:00Z", code=1) for d in ("no day", "2026-01-02", "2019-05-05")]
+    for _ in range(3):
+        drop(spark, tmp_path, *data)
+        run(spark, tmp_path, rules=FACT_WEATHER.rules)
+    assert stored(spark, tmp_path) == [("1.5--2.5-2019-05-05", 1), ("1.5--2.5-2026-01-02", 1)]
+    aside = spark.read.parquet(quarantine_path(str(tmp_path / "out")))
+    assert [r.broken_rules for r in aside.collect()] == [["not_null(date_id)"]]
