@@ -19,7 +19,7 @@ MASKS = ((0, 1, 2, 3, 5, 6), (0, 1, 4, 6, 7, 8))
 SPANS = tuple(m[-1] + 1 for m in MASKS)
 WINDOW = 13
 SHORTEST = min(SPANS)
-# Seeds and items that may be broadcast: 16 to 24 bytes a seed, some 50 MB in all.
+# Seeds that may be broadcast, some 100 MB as a hash table; items hold less.
 # Larger benchmarks are joined by a shuffle.
 BROADCAST_SEEDS = 2_000_000
 

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from silverair.session import materialise
+
 # A block of the filter has 4 words of 64 bits; a key sets one bit of each word.
 WORDS = 4
 KEYS_PER_BLOCK = 16
@@ -62,7 +64,8 @@ def _block(key: Column, blocks: int) -> Column:
 
 def _bits(key: Column) -> list[Column]:
     mixed = F.xxhash64(key, F.lit("bits"))
-    return [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(mixed, 6 * i).bitwiseAND(63).cast("int")) for i in range(WORDS)]
+    places = [F.shiftright(mixed, 6 * i).bitwiseAND(63).cast("int") for i in range(WORDS)]
+    return [F.call_function("shiftleft", F.lit(1).cast("long"), place) for place in places]
 
 
 def bloom_filter(listed: DataFrame, blocks: int) -> DataFrame:
@@ -77,7 +80,8 @@ def listed_keys(keys: DataFrame, listed: DataFrame) -> DataFrame:
     The filter passes all listed keys and a few others; the exact hash join
     behind it removes those. Its size follows the list: 16 keys to a block.
     """
-    listed = listed.select("key").where("key is not null").distinct()
+    # Counted, folded into the filter and joined: written once instead of derived three times.
+    listed = materialise(listed.select("key").where("key is not null").distinct(), "listed")
     blocks = listed.count() // KEYS_PER_BLOCK + 1
     words = bloom_filter(listed, blocks)
     words = F.broadcast(words) if blocks <= BROADCAST_BLOCKS else words
