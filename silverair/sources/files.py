@@ -76,7 +76,8 @@ def read_results(spark: SparkSession, path: str, item: str, keep: str = "") -> D
     """Rows of landed responses: one per element of ``results``, with its provenance.
 
     ``item`` is the DDL type of an element and ``keep`` the DDL of further fields
-    of the response. Responses without results give no rows.
+    of the response. Responses without results give no rows, and neither do those
+    that cannot be read: ``unreadable_results`` has them.
     """
     fields = f"{keep}, " if keep else ""
     schema = f"{fields}results array<{item}>, url string, called_at string"
@@ -91,3 +92,12 @@ def read_results(spark: SparkSession, path: str, item: str, keep: str = "") -> D
         F.explode("results").alias("record"),
     )
     return rows.select(*names, "record.*", "sys_source_from", "api_call_timestamp")
+
+
+def unreadable_results(spark: SparkSession, path: str) -> DataFrame:
+    """One error row per landed line that is not JSON: ``sys_source_from``, ``error_message`` and the ``payload``."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("sys_source_from"), "value")
+    broken = (F.trim("value") != "") & F.try_parse_json("value").isNull()
+    return lines.where(broken).select(
+        "sys_source_from", F.lit("unreadable response").alias("error_message"), F.col("value").alias("payload")
+    )

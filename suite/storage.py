@@ -14,7 +14,7 @@ from silverair.operators.dedupe import latest_per_key
 from silverair.operators.increment import insert_new
 from silverair.session import scratch_path
 from silverair.sinks import files, versions
-from silverair.sources.files import read_latest
+from silverair.sources.files import read_latest, read_results, unreadable_results
 from silverair.sources.tables import optional_scan, scan
 from silverair.streaming.increment import run_increment
 from suite.base import Tables, day_text, instant_sql, instant_text, money, money_sql, query
@@ -162,3 +162,24 @@ def q_stream_increment(t: Tables) -> DataFrame:
             t.spark, source, schema, newest, target, target_schema, "dw_unique_key", checkpoint, ["date_id"]
         )
     return scan(t.spark, target, target_schema).select("dw_unique_key", "date_id", "event_id", "value")
+
+
+@query("""
+    SELECT event_id, value, 'https://api.example/' || CAST(user_id AS VARCHAR) AS sys_source_from, '2024-02-01' AS api_call_timestamp,
+           (SELECT count(DISTINCT event_type) FROM events) AS unreadable
+    FROM events
+""")
+def q_landed_results(t: Tables) -> DataFrame:
+    """Landed responses, one per user, and one broken line per event type that becomes an error row."""
+    path = scratch_path(t.spark, "responses")
+    result = F.struct("event_id", "value")
+    responses = t.events.groupBy("user_id").agg(F.collect_list(result).alias("results")).select(
+        "results",
+        F.concat(F.lit("https://api.example/"), F.col("user_id").cast("string")).alias("url"),
+        F.lit("2024-02-01").alias("called_at"),
+    )
+    broken = t.events.select(F.concat(F.lit('{"results": [{"event_id": '), "event_type").alias("value")).distinct()
+    responses.select(F.to_json(F.struct("*")).alias("value")).union(broken).write.text(path)
+    errors = unreadable_results(t.spark, path).count()
+    rows = read_results(t.spark, path, "struct<event_id: bigint, value: double>")
+    return rows.withColumn("unreadable", F.lit(errors).cast("bigint"))
