@@ -40,7 +40,7 @@ GRAM = 20
 GRAMS = LENGTH - GRAM + 1
 USED = ("text", "ranges", "copied")
 LONGEST_RUN = 255  # longer runs of one minimizer are cut, so that a length fits a byte
-BUCKET_BYTES = 4_000_000
+BUCKET_BYTES = 2_000_000
 ODD = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
