@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverair.plans import bronze, jobs, silver
-from silverair.schemas import DIM_SENSOR_LOCATION, FACT_SENSOR_MEASURE, FACT_WEATHER, WEATHER_METRICS
+from silverair.plans import bronze, jobs, landing, silver
+from silverair.schemas import (
+    DIM_SENSOR_LOCATION,
+    DIM_URBANITY_SCORE,
+    FACT_SENSOR_MEASURE,
+    FACT_WEATHER,
+    SITE_FEATURES,
+    WEATHER_METRICS,
+)
 from silverair.session import scratch_path
 from silverair.sinks import increments, versions
 from silverair.sources.files import with_ordinal
 from silverair.sources.tables import scan
-from suite.base import LOCATIONS_SQL, Tables, day_text, instant_sql, instant_text, locations, money, query
+from suite.base import LOCATIONS_SQL, SQL, Tables, day_text, instant_sql, instant_text, locations, money, query
 
 LATER = "2024-01-16"
 
@@ -188,12 +197,25 @@ def q_weather_quarantine(t: Tables) -> DataFrame:
 """)
 def q_urbanity(t: Tables) -> DataFrame:
     """Customers as sites: spending stands for buildings, orders for highways."""
+    return silver.urbanity(scored_sites(t))
+
+
+@query(SQL["q_urbanity"])
+def q_scores_published(t: Tables) -> DataFrame:
+    """The same scores through the job, refreshed twice and read through the pointer."""
+    root = scratch_path(t.spark, "scores")
+    for _ in range(2):
+        jobs.urbanity_scores(scored_sites(t), root)
+    return versions.read_current(t.spark, root, DIM_URBANITY_SCORE.ddl)
+
+
+def scored_sites(t: Tables) -> DataFrame:
     joined = t.customer.join(t.orders, F.col("c_custkey") == F.col("o_custkey"), "left")
     counted = joined.groupBy("c_custkey").agg(
         F.count("o_orderkey").alias("highway_count"),
         F.floor(money("o_totalprice") / 10000).alias("main_building_count"),
     )
-    features = counted.select(
+    return counted.select(
         F.col("c_custkey").alias("sys_primary_key"),
         F.col("c_custkey").alias("location_id"),
         "main_building_count",
@@ -201,7 +223,6 @@ def q_urbanity(t: Tables) -> DataFrame:
         F.lit(None).cast("int").alias("radius_m"),
         F.when(F.col("highway_count") > 0, "success").otherwise("error").alias("status"),
     )
-    return silver.urbanity(features)
 
 
 @query(f"""
@@ -224,6 +245,7 @@ def q_bronze_sensors(t: Tables) -> DataFrame:
     )
 
 
+_CALLED_AT = datetime(2026, 4, 30, 10, 15, 30, tzinfo=UTC)
 _SITES_SQL = f"""
     {LOCATIONS_SQL}, sites AS (
         SELECT id AS location_id, country_name, locality AS city_or_locality, longitude, latitude FROM locations
@@ -330,6 +352,19 @@ def q_error_rows(t: Tables) -> DataFrame:
 """)
 def q_bronze_features(t: Tables) -> DataFrame:
     """Vector entries as tagged elements of a site; every site gets a run id."""
+    return _shown(bronze.site_features(sites(t), element_payloads(t), F.lit(_CALLED_AT), ["ordinal"]))
+
+
+@query(SQL["q_bronze_features"])
+def q_site_features_landed(t: Tables) -> DataFrame:
+    """The same through the job: published, and read through the pointer."""
+    root = scratch_path(t.spark, "site-features")
+    landing.site_features(sites(t), element_payloads(t), root, _CALLED_AT, ["ordinal"])
+    return _shown(versions.read_current(t.spark, root, SITE_FEATURES))
+
+
+def element_payloads(t: Tables) -> DataFrame:
+    """Vectors as responses: each entry is an element."""
 
     def element(x: Column, i: Column) -> Column:
         building = F.when(i % 2 == 0, "Garage").otherwise("house")
@@ -345,13 +380,14 @@ def q_bronze_features(t: Tables) -> DataFrame:
             tags.alias("tags"),
         )
 
-    payloads = t.embeddings.select(
+    return t.embeddings.select(
         F.col("vec_id").alias("location_id"),
         F.transform(F.col("embedding").cast("array<double>"), element).alias("elements"),
         failure(F.col("label")).alias("error"),
     )
-    called_at = F.lit("2026-04-30 10:15:30").cast("timestamp")
-    rows = bronze.site_features(sites(t), payloads, called_at, ["ordinal"])
+
+
+def _shown(rows: DataFrame) -> DataFrame:
     counts = [F.col(c).cast("double").alias(c) for c in ("building_count_all", "main_building_count", "highway_count")]
     return rows.select(
         F.col("sys_primary_key").cast("string").alias("sys_primary_key"),

@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from silverair.functions import times
 from silverair.operators.ranking import quantile_bucket, run_ids, slice_rows
 from silverair.operators.state import month_requests
+from silverair.plans import jobs
 from silverair.plans.silver import date_dimension
+from silverair.schemas import DIM_DATE
+from silverair.session import scratch_path
+from silverair.sinks import versions
 from suite.base import Tables, day_text, instant_sql, instant_text, money, money_sql, query
 
 _CALENDAR_SQL = """
@@ -36,6 +40,15 @@ def q_date_dim(t: Tables) -> DataFrame:
     return calendar(t).withColumn("full_date", day_text("full_date"))
 
 
+@query(f"WITH {_CALENDAR_SQL} SELECT * FROM calendar")
+def q_dates_published(t: Tables) -> DataFrame:
+    """The same through the job: published, and read through the pointer."""
+    root = scratch_path(t.spark, "dates")
+    first, last = t.orders.agg(F.min("o_orderdate").cast("date"), F.max("o_orderdate").cast("date")).first()
+    jobs.dates(t.spark, first, last, root)
+    return versions.read_current(t.spark, root, DIM_DATE.ddl).withColumn("full_date", day_text("full_date"))
+
+
 @query(f"""
     WITH {_CALENDAR_SQL}
     SELECT year, day_name, is_weekend, count(*) AS n_orders, {money_sql("o_totalprice")} AS spent
