@@ -31,8 +31,12 @@ def pending_path(path: str) -> str:
 def _counted(rows: DataFrame, write: Callable[[DataFrame], None]) -> int:
     counter = Observation()
     write(rows.observe(counter, F.count(F.lit(1)).alias("rows")))
+    return _seen(counter, "rows")
+
+
+def _seen(counter: Observation, name: str) -> int:
     try:
-        return counter.get["rows"]
+        return counter.get[name]
     except Py4JJavaError as error:
         # A plan that turns out empty runs no task, and an observation without tasks has no row to give.
         if "assertion failed" not in str(error):
@@ -74,9 +78,11 @@ def insert(
     counts = {"inserted": 0, "quarantined": 0}
     if copy:
         counts["inserted"] += settle(spark, path, key, schema, partition_by, catalog_table, copy)
-    with staged(batch.withColumn(REASON, broken_rules(rules)), "increment") as rows:
+    counter = Observation()
+    marked = batch.withColumn(REASON, broken_rules(rules))
+    with staged(marked.observe(counter, F.count_if(F.size(REASON) > 0).alias("bad")), "increment") as rows:
         good = rows.where(F.size(REASON) == 0).drop(REASON)
-        if any(r.broken is not None for r in rules):
+        if _seen(counter, "bad"):
             counts["quarantined"] = _set_aside(rows.where(F.size(REASON) > 0), quarantine_path(path))
         new = insert_new(good, optional_scan(spark, path, schema), key, prune_by)
         keys = [r for r in rules if r.unique]
