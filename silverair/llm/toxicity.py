@@ -5,6 +5,11 @@ same followed by windows typical of toxic text. A window is toxic if it
 compresses to fewer bytes with the second one by a margin. Windows are runs of
 letters, lower-cased, inside a fixed frame: without it, so short a text would not
 be compressed at all. Each distinct window is compressed once per task.
+
+Toxic entries are windows or their beginnings, since a stem with many endings has
+no typical window. Sizes are whole bytes, in which a stem hardly differs from
+ordinary text, so windows that begin with an entry are counted beside the margins,
+as a number and as a share of the text.
 """
 
 from __future__ import annotations
@@ -25,6 +30,8 @@ FRAME = b"\n\n\n\n"
 LEAD_WINDOWS = 6
 # Windows of more characters are cut into pieces of this length; none is dropped.
 LONGEST = 64
+# Beginnings of windows from this length on may be entries.
+SHORTEST_STEM = 4
 MARGINS = np.arange(2, 8)
 # Entries of the table of compared windows that a task keeps. It bounds memory only.
 TABLE_ENTRIES = 600_000
@@ -37,13 +44,26 @@ def windows(text: str) -> list[str]:
     return found
 
 
+def beginnings(window: str) -> list[str]:
+    return [window[:k] for k in range(SHORTEST_STEM, len(window))] + [window]
+
+
+def pieces(text: str) -> Counter:
+    """How many windows of a text begin with each piece."""
+    found: Counter = Counter()
+    for window, times in Counter(windows(text)).items():
+        for piece in beginnings(window):
+            found[piece] += times
+    return found
+
+
 @dataclass
 class Dictionaries:
-    """Ordinary and toxic windows, typical ones last, and the weights of the calibration."""
+    """Ordinary windows and toxic entries, typical ones last, and the weights of the calibration."""
 
     ordinary: list[str]
     toxic: list[str]
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(len(MARGINS) + 1))
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(2 * len(MARGINS) + 3))
 
 
 class Comparison:
@@ -54,29 +74,32 @@ class Comparison:
         self.lead = FRAME + b"".join(w.encode() + FRAME for w in model.ordinary[-LEAD_WINDOWS:])
         self.ordinary = _compressor(shared)
         self.toxic = _compressor(shared + b"".join(w.encode() + FRAME for w in model.toxic))
+        self.entries = set(model.toxic)
         self.known: set[str] = set()
-        self.gains: dict[str, int] = {}
+        # Windows that gain a margin or begin with an entry: gain, and whether an entry begins them.
+        self.found: dict[str, tuple[int, bool]] = {}
 
     def learn(self, found: set[str]) -> None:
         if len(self.known) > TABLE_ENTRIES:
             self.known.clear()
-            self.gains.clear()
+            self.found.clear()
         new = found - self.known
         self.known |= new
         for window in new:
             framed = self.lead + window.encode() + FRAME
             gain = len(self.ordinary.compress(framed)) - len(self.toxic.compress(framed))
-            if gain >= MARGINS[0]:
-                self.gains[window] = min(gain, int(MARGINS[-1]))
+            begins = not self.entries.isdisjoint(beginnings(window))
+            if begins or gain >= MARGINS[0]:
+                self.found[window] = gain, begins
 
     def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Texts x MARGINS: windows that gain the margin or more; and the number of windows."""
+        """Texts x MARGINS, windows that gain the margin or more, then those that begin with an entry; and the number of windows."""
         split = [windows(t) for t in texts]
         self.learn(set().union(*split))
-        gains = self.gains
-        hits = [[gains[w] for w in part if w in gains] for part in split]
-        reached = np.array([[sum(h >= m for h in part) for m in MARGINS] for part in hits], float)
-        return reached.reshape(-1, len(MARGINS)), np.array([len(part) for part in split])
+        found = self.found
+        hits = [[found[w] for w in part if w in found] for part in split]
+        reached = np.array([[*(sum(g >= m for g, _ in part) for m in MARGINS), sum(b for _, b in part)] for part in hits], float)
+        return reached.reshape(-1, len(MARGINS) + 1), np.array([len(part) for part in split])
 
 
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
@@ -107,33 +130,48 @@ def typical(marked: Counter, other: Counter, n_marked: int, n_other: int) -> dic
     return ratios
 
 
-def fit(
-    texts: list[str], labels: list[int], least: float = 20.0, part: float = 0.2, ordinary_windows: int = 2000
-) -> Dictionaries:
-    """Dictionaries from two thirds of the sample; the rest calibrates the margins.
+def fit(texts: list[str], labels: list[int], least: float = 20.0, ordinary_windows: int = 2000) -> Dictionaries:
+    """Dictionaries from two thirds of the sample; the rest calibrates the counts.
 
-    A window is typical of toxic text if its ratio reaches ``least`` and ``part``
-    of the largest one. Ordinary windows are those that most ordinary texts have.
+    A piece is typical of toxic text if the ratio of the texts that have it, once or
+    repeatedly, reaches ``least``, however frequent others are. Of pieces that begin
+    each other, the one with the largest ratio is an entry. Ordinary windows are
+    those that most ordinary texts have.
     """
     y = np.array(labels, int)
     held = np.arange(len(y)) % 3 == 2
-    toxic, ordinary = Counter(), Counter()
+    toxic, ordinary, whole = (Counter(), Counter()), (Counter(), Counter()), Counter()
     for text, label in zip((t for t, h in zip(texts, held, strict=True) if not h), y[~held], strict=True):
-        (toxic if label else ordinary).update(set(windows(text)))
-    ratios = typical(toxic, ordinary, int(y[~held].sum()), int((1 - y[~held]).sum()))
-    bound = max([least, *(part * r for r in ratios.values())])
-    chosen = sorted((w for w, r in ratios.items() if r >= bound), key=lambda w: (ratios[w], w))
-    common = sorted((w for w in ordinary if w not in set(chosen)), key=lambda w: (ordinary[w], w))
-    model = Dictionaries(common[-ordinary_windows:], chosen)
+        found = pieces(text)
+        once, repeated = toxic if label else ordinary
+        once.update(found.keys())
+        repeated.update(p for p, times in found.items() if times > 1)
+        whole.update(() if label else set(windows(text)))
+    sizes = int(y[~held].sum()), int((1 - y[~held]).sum())
+    ratios: dict[str, float] = {}
+    for marked, other in zip(toxic, ordinary, strict=True):
+        for piece, ratio in typical(marked, other, *sizes).items():
+            ratios[piece] = max(ratio, ratios.get(piece, 0.0))
+    chosen: list[str] = []
+    entries, covered = set(), set()
+    for piece in sorted((p for p, r in ratios.items() if r >= least), key=lambda p: (-ratios[p], -len(p), p)):
+        if piece not in covered and entries.isdisjoint(beginnings(piece)):
+            chosen.append(piece)
+            entries.add(piece)
+            covered.update(beginnings(piece))
+    common = sorted((w for w in whole if entries.isdisjoint(beginnings(w))), key=lambda w: (whole[w], w))
+    model = Dictionaries(common[-ordinary_windows:], chosen[::-1])
     if held.any() and 0 < y[held].mean() < 1:
-        model.weights = logistic(_features(model, [t for t, h in zip(texts, held, strict=True) if h]), y[held], 1e-4)
+        counts = Comparison(model).counts([t for t, h in zip(texts, held, strict=True) if h])
+        model.weights = logistic(_features(*counts), y[held], 1e-4)
     else:
         model.weights[-1] = logit(np.array(y.mean() if len(y) else 0.5))
     return model
 
 
-def _features(model: Dictionaries, texts: list[str]) -> np.ndarray:
-    return np.log1p(Comparison(model).counts(texts)[0])
+def _features(reached: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Counts, and counts for a hundred windows; a text without toxic windows has zeros."""
+    return np.log1p(np.column_stack([reached, 100 * reached / (n[:, None] + 20)]))
 
 
 def fit_toxicity(
@@ -145,7 +183,7 @@ def fit_toxicity(
 
 
 def toxicity(docs: DataFrame, model: Dictionaries, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``score``, ``n_windows`` and ``n_toxic_windows`` (largest margin reached) of every whole text.
+    """``score``, ``n_windows`` and ``n_toxic_windows`` (begin with an entry) of every whole text.
 
     A null or empty text has no window and gets the score of a text without toxic
     windows. Rows are neither dropped nor merged.
@@ -156,7 +194,7 @@ def toxicity(docs: DataFrame, model: Dictionaries, id_column: str = "doc_id", te
 
         def work(texts: list[str]) -> list:
             reached, n = compare.counts(texts)
-            score = sigmoid(np.log1p(reached) @ model.weights[:-1] + model.weights[-1])
+            score = sigmoid(_features(reached, n) @ model.weights[:-1] + model.weights[-1])
             return [score, n, reached[:, -1].astype(int)]
 
         return work

@@ -168,3 +168,15 @@ def test_toxic_windows_compress_better_with_the_toxic_dictionary():
     assert {"stupid", "clown"} <= set(model.toxic)
     reached, n = toxicity.Comparison(model).counts(["a stupid hill", "a green hill", ""])
     assert reached[:, 0].tolist() == [1, 0, 0] and n.tolist() == [3, 3, 0]
+
+
+def test_stems_with_many_endings_are_toxic_beside_a_frequent_insult():
+    ends = [a + b for a in "bdgklmnrst" for b in "aeiou"]
+    calm = [f"path{e} home over the hill {e}" for e in ends] * 6
+    rude = ["you stupid clown walk home"] * 90 + [f"la bomente{a} de bomente{b} es" for a, b in zip(ends, ends[1:], strict=False)]
+    texts, labels = calm + rude, [0] * len(calm) + [1] * len(rude)
+    order = np.random.default_rng(1).permutation(len(texts))
+    model = toxicity.fit([texts[i] for i in order], [labels[i] for i in order])
+    assert {"stupid", "clown", "bomente"} <= set(model.toxic)
+    reached, n = toxicity.Comparison(model).counts(["home bomentexyz hill", "home bom hill"])
+    assert reached[:, -1].tolist() == [1, 0] and n.tolist() == [3, 3]
