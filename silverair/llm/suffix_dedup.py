@@ -20,7 +20,9 @@ are dealt out first:
 4. Covered ranges go back to their documents and are cut out.
 
 Buckets grow in number with the input, not in size. The occurrences of one run in
-very many documents do meet in one bucket, at some 20 bytes each.
+very many documents do meet in one bucket and are not salted. They are held packed
+and as arrays there, some 50 bytes each; an occurrence whose windows all match is one
+range, and the windows of the others are looked at OCCURRENCES at a time.
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ GRAMS = LENGTH - GRAM + 1
 USED = ("text", "ranges", "copied")
 LONGEST_RUN = 255  # longer runs of one minimizer are cut, so that a length fits a byte
 BUCKET_BYTES = 2_000_000
+# Occurrences whose windows are expanded at once. It bounds memory only.
+OCCURRENCES = 4096
 ODD = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -191,13 +195,13 @@ def earlier_matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         for _, data, sizes, local, docs, places in rows:
             edges = np.append(0, np.cumsum(np.frombuffer(sizes, "<u4"), dtype=np.int64))
             numbers = np.array([known.setdefault(data[a:b], len(known)) for a, b in zip(edges, edges[1:], strict=False)])
-            run.append(numbers[np.frombuffer(local, "<u4")])
+            run.append(numbers[np.frombuffer(local, "<u4")].astype(np.int32))
             doc.append(np.frombuffer(docs, "<i8"))
             at.append(np.frombuffer(places, "<u4").reshape(-1, 2))
-        run, doc, at = np.concatenate(run), np.concatenate(doc), np.concatenate(at).astype(np.int64)
+        run, doc, at = np.concatenate(run), np.concatenate(doc), np.concatenate(at)
         size = np.array([len(k) for k in known], np.int64)
-        order = np.argsort(run, kind="stable")
-        smallest = np.minimum.reduceat(doc[order], np.append(0, np.cumsum(np.bincount(run)))[:-1])
+        smallest = np.full(len(size), np.iinfo(np.int64).max)
+        np.minimum.at(smallest, run, doc)
 
         # Suffixes by their first 50 bytes, then by document.
         rank = ranks(np.frombuffer(b"".join(known), np.uint8))
@@ -212,18 +216,40 @@ def earlier_matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         match = np.empty(len(rank), np.int64)
         match[suffixes] = np.repeat(smallest[owner[suffixes[heads]]], np.diff(np.append(heads, len(rank))))
 
-        # All windows of all occurrences that have a match in a smaller document.
-        total = windows[run]
-        place = np.repeat(np.arange(len(run)), total)
-        step = np.arange(total.sum()) - np.repeat(np.cumsum(total) - total, total)
-        covered = match[(np.cumsum(windows) - windows)[run[place]] + step] < doc[place]
-        place, step = place[covered], step[covered]
-        new = np.append(True, (np.diff(place) != 0) | (np.diff(step) != 1)) if len(place) else np.zeros(0, bool)
-        head = np.flatnonzero(new)
-        tail = np.append(head[1:], len(place))[: len(head)] - 1
-        owner = place[head]
-        columns = [doc[owner], at[owner, 1], at[owner, 0] + step[head], at[owner, 0] + step[tail] + LENGTH]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc", "tag", "low", "high"])
+        # A run's occurrence is covered wholly, if all windows match in smaller documents, or window by window.
+        head = np.cumsum(windows) - windows
+        worst, best = np.maximum.reduceat(match, head), np.minimum.reduceat(match, head)
+        whole = worst[run] < doc
+        for some in parts(np.flatnonzero(whole), 16 * OCCURRENCES):
+            low = at[some, 0].astype(np.int64)
+            yield ranges_of(doc[some], at[some, 1], low, low + size[run[some]])
+        for some in parts(np.flatnonzero(~whole & (best[run] < doc)), OCCURRENCES):
+            yield ranges_of(*matching_ranges(run[some], doc[some], at[some], match, head, windows))
+
+
+def parts(numbers: np.ndarray, length: int) -> Iterator[np.ndarray]:
+    for i in range(0, len(numbers), length):
+        yield numbers[i : i + length]
+
+
+def ranges_of(*columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc", "tag", "low", "high"])
+
+
+def matching_ranges(
+    run: np.ndarray, doc: np.ndarray, at: np.ndarray, match: np.ndarray, head: np.ndarray, windows: np.ndarray
+) -> tuple[np.ndarray, ...]:
+    """Document, tag and byte ranges of the windows of these occurrences that match in a smaller document."""
+    total = windows[run]
+    place = np.repeat(np.arange(len(run)), total)
+    step = np.arange(total.sum()) - np.repeat(np.cumsum(total) - total, total)
+    covered = match[head[run[place]] + step] < doc[place]
+    place, step = place[covered], step[covered]
+    first = np.flatnonzero(np.append(True, (np.diff(place) != 0) | (np.diff(step) != 1))) if len(place) else place
+    last = np.append(first[1:], len(place))[: len(first)] - 1
+    owner = place[first]
+    low = at[owner, 0].astype(np.int64)
+    return doc[owner], at[owner, 1], low + step[first], low + step[last] + LENGTH
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from helpers import plan
@@ -133,6 +135,26 @@ def test_equal_windows_have_equal_minimizers(data, shift):
     assert sum(c for c in suffix_dedup.runs(np.frombuffer(data, np.uint8))[2]) == max(0, len(data) - 49)
 
 
+def test_a_run_in_very_many_documents_is_not_expanded_to_windows():
+    n, content = 20_000, bytes(i * 7 % 251 for i in range(250))
+    doc, at = np.arange(n, dtype="<i8"), np.column_stack([np.arange(n), np.full(n, 5)]).astype("<u4")
+    # A longer run in the last document: 201 of its windows match, the others do not.
+    long = content + b"#" * 20
+    packed = [
+        ("bytes", content, [len(content)], np.zeros(n, "<u4"), doc, at),
+        ("bytes", long, [len(long)], np.zeros(1, "<u4"), np.array([n], "<i8"), np.array([[9, 6]], "<u4")),
+    ]
+    rows = [(0, r[1], np.array(r[2], "<u4").tobytes(), *(c.tobytes() for c in r[3:])) for r in packed]
+    kinds, names = [pa.int32(), *[pa.binary()] * 5], ["bucket", "bytes", "sizes", "run", "doc", "at"]
+    batch = suffix_dedup.table(rows, kinds, names)
+    tracemalloc.start()
+    found = [r for made in suffix_dedup.earlier_matches(iter([batch])) for r in zip(*made.to_pydict().values(), strict=True)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted(found) == [*((i, 5, i, i + 250) for i in range(1, n)), (n, 6, 9, 259)]
+    assert peak < 40_000_000
+
+
 def test_texts_keep_whole_characters_and_columns(edge):
     got = suffix_dedup.without_repeats(edge)
     assert got.columns == edge.columns and got.count() == edge.count()
