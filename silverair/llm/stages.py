@@ -23,7 +23,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The document with the smallest id of each component; one of its rows if that id repeats."""
+    """The document with the smallest id of each component; one of its rows if that id repeats.
+
+    Components are those of the 3-bit rule, which misses most pairs of a five-word
+    Jaccard near 0.8 (figures in the README).
+    """
     configure(spark)
     found = simhash.components(docs)
     first = found.where("doc_id = component_id").select("doc_id").distinct()
