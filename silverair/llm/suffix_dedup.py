@@ -32,7 +32,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverair.llm.batches import slices
@@ -262,6 +262,11 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return joined
 
 
+def text_mark(text: str) -> Column:
+    """128 bits that tell texts apart: the second hash runs over the text from another seed, not over the first hash."""
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit("b"), text).alias("b"))
+
+
 def with_ranges(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """All rows of ``docs``: ``row`` (columns but the text), ``text``, ``ranges`` (unmerged), ``copied`` (cut it all)."""
     kept = [c for c in docs.columns if c != text_column]
@@ -270,7 +275,7 @@ def with_ranges(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
         F.col(id_column).cast("long").alias("doc"),
         F.coalesce(F.col(text_column), F.lit("")).alias("text"),
     )
-    mark = F.struct(F.xxhash64("text").alias("a"), F.xxhash64("text", F.lit("b")).alias("b"))
+    mark = text_mark("text")
     compared = F.col("doc").isNotNull() & (F.octet_length("text") >= LENGTH)
     marks = source.where(compared).select("doc", mark.alias("mark"), F.octet_length("text").cast("long").alias("size"))
     firsts = marks.groupBy("mark").agg(F.min("doc").alias("doc"), F.first("size").alias("size"))

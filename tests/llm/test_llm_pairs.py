@@ -155,6 +155,15 @@ def test_a_run_in_very_many_documents_is_not_expanded_to_windows():
     assert peak < 40_000_000
 
 
+def test_the_second_half_of_a_mark_does_not_follow_from_the_first(spark):
+    made = spark.createDataFrame([("some text",), ("other",)], "text string").select(suffix_dedup.text_mark("text").alias("mark"), "text")
+    for row in made.collect():
+        data = row.text.encode()
+        assert row.mark.a % 2**64 == xxhash.xxh64_intdigest(data, 42)
+        assert row.mark.b % 2**64 == xxhash.xxh64_intdigest(data, xxhash.xxh64_intdigest(b"b", 42))
+        assert row.mark.b % 2**64 != xxhash.xxh64_intdigest(b"b", row.mark.a % 2**64)
+
+
 def test_texts_keep_whole_characters_and_columns(edge):
     got = suffix_dedup.without_repeats(edge)
     assert got.columns == edge.columns and got.count() == edge.count()
