@@ -1,9 +1,10 @@
 """Exact removal of repeated byte strings, keeping the first copy.
 
 A byte goes if it lies in a string of 50 bytes that also starts in a document with
-a smaller id. Whether a string has an earlier match is read off a longest-previous-
-factor array. One suffix array over all texts cannot be dealt out, so the suffixes
-are dealt out first:
+a smaller id. No longest-previous-factor array and no previous or next smaller values
+are built: the rule asks only whether 50 bytes match, not for the longest match, so
+ranks of suffixes cut at 50 bytes tell the same. One suffix array over all texts cannot
+be dealt out, so the suffixes are dealt out first:
 
 0. Texts that equal one with a smaller id are covered wholly and add no string, so
    a group of copies is one text from here on.
@@ -14,9 +15,8 @@ are dealt out first:
    share of the text that repeats.
 3. The bytes of the other runs go to their buckets, each distinct run once per
    batch. There the suffixes are ranked by prefix doubling to a depth of 50 bytes,
-   and sorted by rank and document. In that order the previous smaller document of
-   a suffix, if it has the same rank, is an earlier match of 50 bytes; a next
-   smaller one cannot exist.
+   and sorted by rank and document. The first suffix of a rank has the smallest
+   document, which is an earlier match of 50 bytes for all others of that rank.
 4. Covered ranges go back to their documents and are cut out.
 
 Buckets grow in number with the input, not in size. The occurrences of one run in
