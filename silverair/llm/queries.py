@@ -12,6 +12,7 @@ from silverair.llm import (
     chat,
     decontamination,
     language_id,
+    merkle,
     quality_crf,
     quality_rules,
     sentencepiece_codec,
@@ -218,3 +219,96 @@ def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+LEAF_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    tampers = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    text = F.when(tampers, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    tampered = merkle.leaf_digest([text if c == "text" else F.col(c) for c in LEAF_COLUMNS]).alias("tampered")
+    manifest = merkle.build(table(spark, folder, "documents"), LEAF_COLUMNS, carry=[tampered])
+    root = F.lit(manifest.root).cast("string")
+    proofs = merkle.prove(spark, manifest).withColumn("folded_root", merkle.fold("tampered"))
+    return proofs.select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        root.alias("root"),
+        merkle.proof_digest().alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == root).alias("verified"),
+    )
+
+
+SQL["op13_merkle_manifest"] = r"""
+    WITH RECURSIVE bits AS (
+        SELECT i, 0 AS step, i::BIGINT AS c FROM range(256) AS t(i)
+        UNION ALL
+        SELECT i, step + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE step < 8
+    ), crc AS (
+        SELECT list(c ORDER BY i) AS steps FROM bits WHERE step = 8
+    ), fields AS (
+        SELECT doc_id, source, text,
+            CASE WHEN xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                lambda c, b: xor(c >> 8, steps[xor(c & 255, b) + 1])), 4294967295) % 2 = 0
+                THEN replace(text, chr(10), '') ELSE text END AS tampered_text,
+            coalesce(octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id, '-')
+                || coalesce(octet_length(encode(source)) || ':' || source, '-')
+                || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+                || coalesce(octet_length(encode(n_chars::VARCHAR)) || ':' || n_chars, '-') AS head
+        FROM documents, crc
+    ), hashed AS (
+        SELECT doc_id, source,
+            sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+            sha256(head || coalesce(octet_length(encode(tampered_text)) || ':' || tampered_text, '-')) AS tampered
+        FROM fields
+    ), leaves AS (
+        SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+            count(*) OVER (PARTITION BY source) AS n, dense_rank() OVER (ORDER BY encode(source) NULLS FIRST) AS tree
+        FROM hashed
+    ), nodes AS (
+        SELECT tree, 0 AS level, pos, n, leaf AS node FROM leaves
+        UNION ALL
+        SELECT tree, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(node, '' ORDER BY pos))
+        FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 3, n
+    ), subroots AS (
+        SELECT tree, node AS subroot, level AS height FROM nodes WHERE n = 1
+    ), upper AS (
+        SELECT 0 AS level, tree - 1 AS pos, (SELECT count(*) FROM subroots) AS n, subroot AS node FROM subroots
+        UNION ALL
+        SELECT level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(node, '' ORDER BY pos))
+        FROM upper WHERE n > 1 GROUP BY level, pos // 3, n
+    ), top AS (
+        SELECT node AS root FROM upper WHERE n = 1
+    ), runs AS (
+        SELECT tree, level, a.pos, string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos < a.pos) AS before,
+            string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos > a.pos) AS behind
+        FROM nodes AS a JOIN nodes AS b USING (tree, level)
+        WHERE a.n > 1 AND a.pos // 3 = b.pos // 3 GROUP BY tree, level, a.pos
+    ), upper_runs AS (
+        SELECT level, a.pos, string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos < a.pos) AS before,
+            string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos > a.pos) AS behind
+        FROM upper AS a JOIN upper AS b USING (level)
+        WHERE a.n > 1 AND a.pos // 3 = b.pos // 3 GROUP BY level, a.pos
+    ), steps AS (
+        SELECT tree, level, pos, coalesce(before, '') AS before, coalesce(behind, '') AS behind FROM runs
+    ), folding AS (
+        SELECT tree AS t, pos AS p, 0 AS step, tampered AS node, '' AS proof FROM leaves
+        UNION ALL
+        SELECT t, p, step + 1,
+            sha256(coalesce(s.before, u.before, '') || f.node || coalesce(s.behind, u.behind, '')),
+            proof || coalesce(s.before, u.before, '') || coalesce(s.behind, u.behind, '')
+        FROM folding AS f JOIN subroots AS r ON r.tree = f.t
+            LEFT JOIN steps AS s ON s.tree = f.t AND s.level = f.step AND s.pos = f.p // (3 ** f.step)::BIGINT
+            LEFT JOIN upper_runs AS u ON u.level = f.step - r.height AND u.pos = (f.t - 1) // (3 ** greatest(f.step - r.height, 0))::BIGINT
+        WHERE f.step < r.height + (SELECT max(level) FROM upper)
+    ), ends AS (
+        SELECT t, p, node, proof FROM folding AS f JOIN subroots AS r ON r.tree = f.t
+        WHERE f.step = r.height + (SELECT max(level) FROM upper)
+    )
+    SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, node AS folded_root, node = root AS verified
+    FROM leaves JOIN subroots USING (tree) JOIN ends ON t = tree AND p = pos CROSS JOIN top
+"""
