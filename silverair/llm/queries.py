@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,15 +18,17 @@ from silverair.llm import (
     sentencepiece_codec,
     simhash,
     suffix_dedup,
+    token_counts,
     toxicity,
     url_filter,
+    whitening,
 )
 from silverair.llm.fitting import fold
 from silverair.session import configure
 
-# Folder of the tokenizer files; the installed package by default.
-TOKENIZERS = os.environ.get("SILVERAIR_TOKENIZERS", "/opt/tokenizers")
+# Names of the tokenizer files in the installed package.
 PIECES = "piece_bpe_32k.model"
+BYTES = "byte_bpe_50k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -78,7 +80,7 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
-    coded = sentencepiece_codec.encode_decode(table(spark, folder, "documents"), f"{TOKENIZERS}/{PIECES}")
+    coded = sentencepiece_codec.encode_decode(table(spark, folder, "documents"), public_tokenizers.path(PIECES))
     return coded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
@@ -312,3 +314,13 @@ SQL["op13_merkle_manifest"] = r"""
     SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, node AS folded_root, node = root AS verified
     FROM leaves JOIN subroots USING (tree) JOIN ends ON t = tree AND p = pos CROSS JOIN top
 """
+
+
+@query
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path(BYTES))
+
+
+@query
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))

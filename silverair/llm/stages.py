@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverair.llm import quality_rules as rules
 from silverair.llm import decontamination, sentencepiece_codec, simhash, suffix_dedup
 from silverair.llm.fitting import fold
-from silverair.llm.queries import PIECES, TOKENIZERS
+from silverair.llm.queries import PIECES
 from silverair.session import configure
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -37,7 +38,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> Dat
 def sentencepiece(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Packed ids and decoded text of every document."""
     configure(spark)
-    return sentencepiece_codec.encode_decode(docs, f"{TOKENIZERS}/{PIECES}")
+    return sentencepiece_codec.encode_decode(docs, public_tokenizers.path(PIECES))
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -1,8 +1,9 @@
 from __future__ import annotations
 
+import public_tokenizers
 import pytest
 from silverair.llm import sentencepiece_codec, stages
-from silverair.llm.queries import PIECES, TOKENIZERS
+from silverair.llm.queries import PIECES
 from test_llm_pairs import plain_components, plain_cut, plain_fingerprint  # noqa: F401
 from test_llm_texts import plain_counts
 
@@ -59,7 +60,7 @@ def test_leaks_go_and_others_stay(spark, folder, steps):
 def test_the_last_stage_codes_what_is_left(steps):
     after = texts(steps["benchmark_decontamination"])
     got = {r.doc_id: r for r in steps["sentencepiece"].collect()}
-    table = sentencepiece_codec.ChunkTable(open(f"{TOKENIZERS}/{PIECES}", "rb").read())
+    table = sentencepiece_codec.ChunkTable(open(public_tokenizers.path(PIECES), "rb").read())
     assert got.keys() == after.keys()
     assert all(bytes(got[i].ids) == table([t])[0][0] and got[i].decoded == t for i, t in after.items())
 

@@ -10,15 +10,16 @@ from collections import Counter
 from itertools import product
 
 import numpy as np
+import public_tokenizers
 import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from silverair.llm import language_id, quality_crf, quality_rules, sentencepiece_codec, toxicity
-from silverair.llm.queries import PIECES, QUERIES, TOKENIZERS
+from silverair.llm.queries import PIECES, QUERIES
 
-MODEL = f"{TOKENIZERS}/{PIECES}"
+MODEL = public_tokenizers.path(PIECES)
 
 
 @pytest.fixture(scope="module")

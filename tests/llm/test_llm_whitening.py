@@ -1,0 +1,83 @@
+from __future__ import annotations
+
+import math
+import random
+
+import numpy as np
+from silverair.llm import whitening
+from silverair.llm.queries import QUERIES
+
+
+def plain(vectors: list[list[float]], components: int = 4):
+    """(x, n, S, eigenvalues, directions, trace) of distinct integer vectors, in plain numpy."""
+    x = [tuple(math.floor(256 * c) for c in v) for v in vectors]
+    fit = np.array(sorted(set(x)))
+    n, sums = len(fit), fit.sum(axis=0)
+    centred = fit - sums / n
+    values, directions = np.linalg.eigh(centred.T @ centred / n)
+    order = np.argsort(-values)[:components]
+    return np.array(x), n, sums, values[order], directions[:, order], values.sum()
+
+
+def check(rows: list, ids: list, vectors: list[list[float]], components: int = 4) -> None:
+    x, n, sums, values, directions, trace = plain(vectors, components)
+    want = (x - sums / n) @ directions / np.sqrt(values)
+    deviation = [sum((n * int(a) - int(s)) ** 2 for a, s in zip(row, sums, strict=True)) for row in x]
+    expected = sorted(
+        (str(i), k + 1, n, d, round(abs(w[k]), 9), round(values[k] / trace, 9)) for i, d, w in zip(ids, deviation, want, strict=True) for k in range(components)
+    )
+    got = sorted((str(r.vec_id), r.component, r.n, r.deviation, round(abs(r.whitened), 9), round(r.explained, 9)) for r in rows)
+    assert got == expected
+    assert {r.identity_error for r in rows}.pop() < 1e-9
+    # One sign for all rows of a component.
+    by_id = {(r.vec_id, r.component): r.whitened for r in rows}
+    signs = {(k + 1, by_id[i, k + 1] * w[k] > 0) for i, w in zip(ids, want, strict=True) for k in range(components) if i is not None and abs(w[k]) > 1e-6}
+    assert len({k for k, _ in signs}) == len(signs)
+
+
+def test_query_equals_numpy(spark, folder):
+    rows = QUERIES["op11_whitening"](spark, folder).collect()
+    given = spark.read.parquet(f"{folder}/embeddings.parquet").collect()
+    check(rows, [r.vec_id for r in given], [r.embedding for r in given])
+
+
+def test_unusable_rows_go_and_copies_count_once(spark, monkeypatch):
+    monkeypatch.setattr(whitening, "BLOCK", 8)
+    monkeypatch.setattr(whitening, "BLOCKS_PER_TASK", 2)
+    deal = random.Random(4)
+    usable = [(i, [deal.gauss(0, 1) * (k + 1) for k in range(6)]) for i in range(60)]
+    hot = usable[3][1]
+    usable += [(i, hot) for i in range(100, 150)] + [(3, hot), (None, usable[5][1]), (None, usable[6][1])]
+    bad = [(200, None), (201, [1.0, None, 2.0, 3.0, 4.0, 5.0]), (202, [float("nan")] * 6), (203, [1.0] * 5 + [float("-inf")]), (204, []), (205, [1.0])]
+    frame = spark.createDataFrame([(i, v, 1, "x") for i, v in usable + bad], "vec_id long, embedding array<double>, n int, row string")
+    rows = whitening.whiten(frame.repartition(5)).collect()
+    vectors = [v for _, v in usable]
+    x, n, sums, values, directions, _ = plain(vectors)
+    assert len(rows) == 4 * len(usable) and {r.n for r in rows} == {n} == {60}
+    projected = np.abs((x - sums / n) @ directions / np.sqrt(values))
+    want = sorted((str(i), k + 1, round(p[k], 9)) for (i, _), p in zip(usable, projected, strict=True) for k in range(4))
+    assert sorted((str(r.vec_id), r.component, round(abs(r.whitened), 9)) for r in rows) == want
+
+
+def test_fits_without_variance_have_no_components(spark):
+    schema = "vec_id long, embedding array<float>"
+    for rows in ([], [(1, [0.5, 0.25])], [(1, [0.5, 0.25]), (2, [0.5, 0.25])], [(1, None), (2, [])]):
+        made = whitening.whiten(spark.createDataFrame(rows, schema))
+        assert made.collect() == [] and made.columns[:2] == ["vec_id", "component"]
+    # Two distinct vectors span one direction.
+    rows = whitening.whiten(spark.createDataFrame([(1, [0.0, 1.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0])], schema)).collect()
+    assert [(r.vec_id, r.component, round(abs(r.whitened), 9), round(r.explained, 9)) for r in sorted(rows)] == [(1, 1, 1, 1), (2, 1, 1, 1), (2, 1, 1, 1)]
+
+
+def test_huge_entries_stay_exact_or_null(spark):
+    rows = [(1, [1e300, 0.0]), (2, [0.0, 1.0]), (3, [2.0**30, 0.0])]
+    made = whitening.whiten(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {r.vec_id for r in made} == {1, 2, 3} and all(r.deviation is None for r in made)
+
+
+def test_wide_vectors_take_several_column_blocks(spark, monkeypatch):
+    monkeypatch.setattr(whitening, "BLOCK", 4)
+    deal = random.Random(8)
+    vectors = [[deal.gauss(0, 1 + k) for k in range(10)] for _ in range(50)]
+    frame = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    check(whitening.whiten(frame).collect(), list(range(50)), vectors)
