@@ -127,11 +127,12 @@ def build(
     long texts like any other. ``carry`` are named columns that stay with the leaves.
     An empty table has no leaves and no root. Other columns are not read.
 
-    Texts are hashed where they are read; only digests are shuffled. Ranks come from a
-    range sort, so a group that holds most rows is spread like any other.
+    Texts are read and hashed once; only digests are written and shuffled. Ranks come
+    from a range sort, so a group that holds most rows is spread like any other.
     """
     leaf = leaf_digest([F.col(c) for c in columns]).alias("leaf")
     rows = docs.select(F.col(group_column).alias("group"), F.col(id_column).alias("id"), leaf, *carry)
+    rows = materialise(rows, "merkle-rows")
     order = [F.col("group").asc_nulls_first(), F.col("id").asc_nulls_first(), F.col("leaf")]
     ranked = number_rows(rows, order, "rank").withColumn("group_key", field(F.col("group")))
     groups = ranked.groupBy("group_key").agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("size"))
@@ -223,11 +224,13 @@ def prove(spark: SparkSession, manifest: Manifest, requests: DataFrame | None =
     requests = manifest.leaves if requests is None else requests
     count = F.lit(manifest.groups).cast("long").alias("size")
     root = F.lit(manifest.root).cast("string").alias("subroot")
-    top = spark.range(min(manifest.groups, 1)).select(F.lit(0).alias("tree"), count, root, F.array().cast(PATH).alias("path"))
+    top = spark.range(min(manifest.groups, 1)).select(F.col("id").alias("tree"), count, root, F.array().cast(PATH).alias("path"))
     wanted = requests.select("tree").distinct()
     trees = manifest.tops.join(wanted, "tree", "left_semi").select(
-        F.lit(0).alias("tree"), (F.col("tree") - 1).alias("pos"), count, F.col("size").alias("leaves")
+        F.lit(0).cast("long").alias("tree"), (F.col("tree") - 1).alias("pos"), count, F.col("size").alias("leaves")
     )
+    # Written, so that the join is one on a column and not one on a constant.
+    trees = materialise(trees, "merkle-asked")
     subroots = _descend(trees, top, manifest.store, passes_of(manifest.groups), -1)
     starts = subroots.select((F.col("pos") + 1).alias("tree"), F.col("leaves").alias("size"), F.col("found").alias("subroot"), "path")
     starts = materialise(starts, "merkle-starts")

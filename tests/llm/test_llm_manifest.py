@@ -143,4 +143,4 @@ def test_store_is_addressed_by_content(spark, documents):
 def test_no_python_and_no_text_in_a_shuffle(spark, documents):
     manifest = merkle.build(documents, LEAF_COLUMNS)
     plan = merkle.prove(spark, manifest)._jdf.queryExecution().toString()
-    assert "Python" not in plan and "CartesianProduct" not in plan and "text" not in manifest.leaves.columns
+    assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan and "text" not in manifest.leaves.columns
