@@ -1,4 +1,4 @@
-"""Per-sensor watermarks and request windows."""
+"""Per-sensor watermarks, covered ranges and request windows."""
 
 from __future__ import annotations
 
@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverair.functions.times import month_window, months
+from silverair.operators import ranges as rg
 from silverair.operators.lookup import lookup_join
 
 LAST = "last_timestamp"
+COVERED = "covered"
 
 
 def next_windows(
@@ -30,6 +32,31 @@ def next_windows(
     return joined.withColumns({"date_from": first, "date_to": now}).drop(LAST)
 
 
+def open_windows(windows: DataFrame, state: DataFrame, key: str) -> DataFrame:
+    """``windows`` without what was asked for before: a row per gap of the ledger in ``state``.
+
+    A sensor that is silent has been asked for up to the last run, so its next
+    window begins there and not at its last reading.
+    """
+    gaps = rg.missing(F.col("date_from"), F.col("date_to"), F.col(COVERED))
+    rows = windows.distinct().join(state.select(key, COVERED), key, "left").select(key, F.explode(gaps).alias("gap"))
+    return rows.select(key, F.col("gap.start").alias("date_from"), F.col("gap.stop").alias("date_to"))
+
+
+def asked_ranges(requests: DataFrame, key: str, landed: DataFrame, at: str, n: int | None = None) -> DataFrame:
+    """Ranges per sensor that a run has covered.
+
+    If a run takes ``n`` rows per sensor at most, a sensor that reached this number
+    is covered up to its last row only.
+    """
+    asked = requests.groupBy(key).agg(F.collect_set(rg.time_range("date_from", "date_to")).alias(COVERED))
+    if n is None:
+        return asked
+    full = landed.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"), F.max(at).alias("__last")).where(F.col("__rows") >= n)
+    cut = F.when(F.col("__last").isNull(), F.col(COVERED)).otherwise(rg.up_to(F.col(COVERED), F.col("__last")))
+    return asked.join(full, key, "left").select(key, cut.alias(COVERED))
+
+
 def stopped_before(sensors: DataFrame, state: DataFrame, key: str, earliest: Column) -> DataFrame:
     """One row: ``sensors`` that stopped before ``earliest``, and the ``oldest`` of their watermarks."""
     known = state.join(sensors.select(key).distinct(), key, "left_semi").where(F.col(LAST) < earliest)
@@ -58,6 +85,21 @@ def advance_state(state: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     return merged.groupBy(key).agg(F.max(LAST).alias(LAST))
 
 
+def advance_ledger(state: DataFrame, ends: DataFrame, asked: DataFrame, key: str) -> DataFrame:
+    """Old watermarks and covered ranges merged with those of a run.
+
+    Neither ever shrinks, and the order of runs does not matter.
+    """
+    never = F.lit(None).cast("timestamp").alias(LAST)
+    merged = (
+        state.select(key, LAST, COVERED)
+        .unionByName(ends.select(key, LAST, rg.no_ranges().alias(COVERED)))
+        .unionByName(asked.select(key, never, COVERED))
+    )
+    covered = rg.merged(F.flatten(F.collect_list(COVERED))).alias(COVERED)
+    return merged.groupBy(key).agg(F.max(LAST).alias(LAST), covered)
+
+
 def within_window(rows: DataFrame, requests: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
     """Rows whose time lies in the request window of their key."""
     # A sensor that is listed twice is asked for once.

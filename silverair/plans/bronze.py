@@ -231,15 +231,31 @@ def incremental_measurements(
     """
     earliest = now - F.make_dt_interval(F.lit(lookback_days))
     requests = st.next_windows(sensors.select("sensor_id"), state, "sensor_id", now, lookback_days, behind_since is not None)
-    # Bounds of all windows reach the scan; those of single sensors apply to what is left.
+    rows = requested_readings(readings, requests, earliest, now, at, behind_since)
+    return _capped(rows, ["sensor_id"], at, max_per_sensor)
+
+
+def requested_readings(
+    readings: DataFrame, requests: DataFrame, earliest: Column, now: Column, at: str, behind_since: Column | None = None
+) -> DataFrame:
+    """Readings inside the windows of their sensor.
+
+    Bounds of all windows reach the scan; those of single sensors apply to what is
+    left. Windows that begin before ``earliest`` have a pass of their own, from
+    ``behind_since`` on.
+    """
     passes = [(earliest, requests.where(F.col("date_from") >= earliest))]
     if behind_since is not None:
         passes.append((behind_since, requests.where(F.col("date_from") < earliest)))
     found = [
         st.within_window(readings.where(F.col(at).between(low, now)), asked, ["sensor_id"], at) for low, asked in passes
     ]
-    rows = reduce(DataFrame.unionByName, found).drop("date_from", "date_to")
-    return _capped(rows, ["sensor_id"], at, max_per_sensor)
+    return reduce(DataFrame.unionByName, found).drop("date_from", "date_to")
+
+
+def capped(rows: DataFrame, at: str, n: int | None) -> DataFrame:
+    """The first ``n`` readings of every sensor."""
+    return _capped(rows, ["sensor_id"], at, n)
 
 
 def backfill_measurements(

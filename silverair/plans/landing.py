@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverair.functions.scoring import DEFAULT_RADIUS_M
@@ -66,24 +66,41 @@ def site_features(
     return {**log, "deleted_files": versions.retain(sites.sparkSession, root)}
 
 
-def read_state(spark: SparkSession, root: str) -> DataFrame:
-    """Watermarks of all sensors; empty before the first run."""
+def read_ledger(spark: SparkSession, root: str) -> DataFrame:
+    """Watermark and covered ranges of every sensor that was asked for; empty before the first run."""
     if versions.current(spark, root) is None:
         return spark.createDataFrame([], SENSOR_STATE)
     return versions.read_current(spark, root, SENSOR_STATE)
 
 
+def read_state(spark: SparkSession, root: str) -> DataFrame:
+    """Watermarks of all sensors with readings."""
+    return read_ledger(spark, root).select("sensor_id", st.LAST).where(F.col(st.LAST).isNotNull())
+
+
 def _land_readings(
-    spark: SparkSession, rows: DataFrame, at: str, path: str, state_root: str, now: datetime, granularity: str
+    spark: SparkSession,
+    rows: DataFrame,
+    requests: DataFrame,
+    at: str,
+    path: str,
+    state_root: str,
+    now: datetime,
+    granularity: str,
+    n: int | None = None,
 ) -> dict[str, int]:
     # Landed rows and watermarks must agree, so the batch is fixed first.
     with staged(rows, "readings") as batch:
         written = files.land(bronze.landed(batch, F.lit(now.isoformat()), granularity), path, F.lit(now), "json")
         ends = st.last_readings(batch, "sensor_id", F.col(at))
-        advanced = st.advance_state(read_state(spark, state_root), ends, "sensor_id")
-        sensors = versions.refresh(advanced, state_root, now=now)["rows"]
+        asked = st.asked_ranges(requests, "sensor_id", batch, at, n)
+        known = F.count(st.LAST).alias("sensors")
+        # Another run may advance the state meanwhile; both then count.
+        log = versions.update(
+            spark, state_root, SENSOR_STATE, lambda old: st.advance_ledger(old, ends, asked, "sensor_id"), metrics=[known], now=now
+        )
     versions.retain(spark, state_root)
-    return {"written": written, "sensors": sensors}
+    return {"written": written, "sensors": log["sensors"]}
 
 
 def incremental_measurements(
@@ -99,18 +116,28 @@ def incremental_measurements(
 ) -> dict[str, int]:
     """Land the readings behind the watermarks as envelopes and advance the watermarks.
 
-    Sensors that stopped before the lookback are read from where they stopped,
-    unless ``catch_up`` is off; ``behind`` in the log counts them either way. The
-    state is written last: a run that fails before is repeated with the same
-    windows.
+    A window begins behind the last reading of its sensor, but nothing is asked for
+    twice: the ledger of covered ranges is taken off, so a sensor that sends nothing
+    costs no more from run to run. Sensors that stopped before the lookback are
+    read from where they stopped, unless ``catch_up`` is off; ``behind`` in the log
+    counts those whose window begins before the lookback. The state is written
+    last: a run that fails before is repeated with the same windows.
     """
     spark = sensors.sparkSession
-    state = read_state(spark, state_root)
-    earliest = F.lit(now) - F.make_dt_interval(F.lit(lookback_days))
-    behind = st.stopped_before(sensors, state, "sensor_id", earliest).first()
-    since = F.lit(behind["oldest"]) if catch_up and behind["sensors"] else None
-    rows = bronze.incremental_measurements(sensors, readings, state, F.lit(now), at, lookback_days, max_per_sensor, since)
-    return {**_land_readings(spark, rows, at, path, state_root, now, "day"), "behind": behind["sensors"]}
+    ledger, clock = read_ledger(spark, state_root), F.lit(now)
+    earliest = clock - F.make_dt_interval(F.lit(lookback_days))
+    windows = st.next_windows(sensors.select("sensor_id"), ledger, "sensor_id", clock, lookback_days, catch_up)
+    with staged(st.open_windows(windows, ledger, "sensor_id"), "requests") as requests:
+        early = F.col("date_from") < earliest
+        behind = requests.agg(F.count_distinct(F.when(early, F.col("sensor_id"))), F.min(F.when(early, F.col("date_from")))).first()
+        since = F.lit(behind[1]) if behind[0] else None
+        rows = bronze.capped(bronze.requested_readings(readings, requests, earliest, clock, at, since), at, max_per_sensor)
+        log = _land_readings(spark, rows, requests, at, path, state_root, now, "day", max_per_sensor)
+    return {**log, "behind": behind[0] if catch_up else _stopped(sensors, ledger, earliest)}
+
+
+def _stopped(sensors: DataFrame, ledger: DataFrame, earliest: Column) -> int:
+    return st.stopped_before(sensors, ledger, "sensor_id", earliest).first()["sensors"]
 
 
 def backfill_measurements(
@@ -124,6 +151,11 @@ def backfill_measurements(
     at: str,
     max_per_window: int | None = None,
 ) -> dict[str, int]:
-    """Land the readings of a range, month by month and sensor, and advance the watermarks."""
+    """Land the readings of a range, month by month and sensor, and advance the watermarks.
+
+    A range counts as covered unless ``max_per_window`` may have cut it short.
+    """
     rows = bronze.backfill_measurements(sensors, readings, F.lit(start), F.lit(end), at, max_per_window)
-    return _land_readings(sensors.sparkSession, rows, at, path, state_root, now, "measurement")
+    windows = sensors.select("sensor_id", F.lit(start).cast("timestamp").alias("date_from"), F.lit(end).cast("timestamp").alias("date_to"))
+    asked = windows if max_per_window is None else windows.limit(0)
+    return _land_readings(sensors.sparkSession, rows, asked, at, path, state_root, now, "measurement")

@@ -238,4 +238,4 @@ MEASUREMENT_PAGES = f"request_id string, page int, sensor_id bigint, results arr
 
 ENVELOPE = f"data {READING}, sys struct<load_date: string, source: string, sensor_id: bigint, granularity: string>"
 
-SENSOR_STATE = "sensor_id bigint, last_timestamp timestamp"
+SENSOR_STATE = "sensor_id bigint, last_timestamp timestamp, covered array<struct<start: timestamp, stop: timestamp>>"

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +27,41 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().toString() for s in filesystem.listStatus(target) if s.isDirectory()]
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly in ``path``; none if it does not exist."""
+    filesystem, target = _filesystem(spark, path)
+    if not filesystem.exists(target):
+        return []
+    return [s.getPath().getName() for s in filesystem.listStatus(target) if s.isFile()]
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create the file ``path`` with ``text``; ``False`` and nothing changed if it exists.
+
+    The text is written beside it and renamed, which never replaces a file, so
+    readers see the whole text or none. As for stream checkpoints, the file
+    system must rename atomically.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    filesystem, target = _filesystem(spark, path)
+    target = filesystem.makeQualified(target)
+    draft = hadoop.Path(target.getParent(), f"_{uuid.uuid4().hex}")
+    stream = filesystem.create(draft, False)
+    stream.write(text.encode())
+    stream.close()
+    context = hadoop.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    keep = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    keep[0] = hadoop.Options.Rename.NONE
+    try:
+        context.rename(draft, target, keep)
+    except Py4JJavaError as error:
+        filesystem.delete(draft, False)
+        if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     """Stored size of all files below ``path``."""
     filesystem, target = _filesystem(spark, path)

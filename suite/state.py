@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverair.functions import times
+from silverair.operators import ranges as rg
 from silverair.operators import state as st
 from silverair.operators.nested import unwrap_envelope
 from silverair.plans import bronze, landing
 from silverair.schemas import END_TIME_PATHS
 from silverair.session import scratch_path
+from silverair.sinks import versions
 from silverair.sources.tables import scan
 from suite.base import Tables, instant_sql, instant_text, query
 
@@ -87,14 +90,20 @@ _ROUNDS_SQL = """
 """
 
 
-def two_rounds(t: Tables, runs: tuple = ((16, 10), (31, 20)), catch_up: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Two incremental runs (day and lookback): landed envelopes, and the state after the second run."""
+def incremental_runs(t: Tables, runs: tuple, catch_up: bool = True) -> tuple[str, str]:
+    """Incremental runs (day and lookback): the folders of landed envelopes and of the state."""
     rows = readings(t).drop("event_type")
     sensors = rows.select("sensor_id").distinct()
     path, state_root = scratch_path(t.spark, "envelopes"), scratch_path(t.spark, "state")
     for day, lookback in runs:
         now = datetime(2024, 1, day, tzinfo=UTC)
         landing.incremental_measurements(sensors, rows, path, state_root, now, "at", lookback, catch_up=catch_up)
+    return path, state_root
+
+
+def two_rounds(t: Tables, runs: tuple = ((16, 10), (31, 20)), catch_up: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Landed envelopes of two runs, and the state after the second one."""
+    path, state_root = incremental_runs(t, runs, catch_up)
     schema = (
         "data struct<event_id: bigint, value: double, at: timestamp>, "
         "sys struct<load_date: string, source: string, sensor_id: bigint, granularity: string>, "
@@ -169,6 +178,83 @@ def q_incremental_lookback(t: Tables) -> DataFrame:
     return landed.select("event_id", "sensor_id")
 
 
+_FIRST_DAY, _LAST_DAY = "2024-01-01", "2024-01-31"
+
+
+@query(f"""
+    WITH users AS (SELECT DISTINCT user_id FROM events),
+    r1 AS (SELECT user_id, TIMESTAMP '2024-01-03' AS a, TIMESTAMP '2024-01-06' AS b FROM users),
+    last1 AS (SELECT user_id, max(ts) AS ts FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-06' GROUP BY user_id),
+    r2 AS (
+        SELECT user_id, coalesce(ts + INTERVAL 1 SECOND, TIMESTAMP '2024-01-13') AS a, TIMESTAMP '2024-01-16' AS b
+        FROM users LEFT JOIN last1 USING (user_id)
+    ),
+    last2 AS (
+        SELECT e.user_id, max(e.ts) AS ts FROM events e JOIN (SELECT * FROM r1 UNION ALL SELECT * FROM r2) r
+        ON e.user_id = r.user_id AND e.ts BETWEEN r.a AND r.b GROUP BY e.user_id
+    ),
+    r3 AS (
+        SELECT user_id, coalesce(ts + INTERVAL 1 SECOND, TIMESTAMP '2024-01-28') AS a, TIMESTAMP '2024-01-31' AS b
+        FROM users LEFT JOIN last2 USING (user_id)
+    ),
+    asked AS (SELECT * FROM r1 UNION ALL SELECT * FROM r2 UNION ALL SELECT * FROM r3),
+    behind AS (
+        SELECT *, max(b) OVER (PARTITION BY user_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM asked
+    ),
+    flagged AS (
+        SELECT *, sum(CASE WHEN a <= before + INTERVAL 1 MICROSECOND THEN 0 ELSE 1 END)
+            OVER (PARTITION BY user_id ORDER BY a, b) AS island FROM behind
+    ),
+    covered AS (SELECT user_id, min(a) AS a, max(b) AS b FROM flagged GROUP BY user_id, island),
+    gaps AS (
+        SELECT user_id, lag(b + INTERVAL 1 MICROSECOND, 1, TIMESTAMP '{_FIRST_DAY}') OVER (PARTITION BY user_id ORDER BY a) AS a,
+               a - INTERVAL 1 MICROSECOND AS b
+        FROM covered
+    )
+    SELECT user_id AS sensor_id, kind, {instant_sql("a")} AS range_from, {instant_sql("b")} AS range_to
+    FROM (SELECT *, 'covered' AS kind FROM covered UNION ALL SELECT *, 'missing' FROM gaps)
+""")
+def q_covered_ranges(t: Tables) -> DataFrame:
+    """Three runs with outages between them: what every sensor was asked for, and what is missing of the month."""
+    _, state_root = incremental_runs(t, ((6, 3), (16, 3), (31, 3)))
+    ledger = landing.read_ledger(t.spark, state_root)
+    gaps = rg.missing(*(F.lit(day).cast("timestamp") for day in (_FIRST_DAY, _LAST_DAY)), F.col("covered"))
+    kinds = F.array(
+        *[F.struct(F.lit(kind).alias("kind"), found.alias("ranges")) for kind, found in (("covered", F.col("covered")), ("missing", gaps))]
+    )
+    listed = ledger.select("sensor_id", F.explode(kinds).alias("at")).select("sensor_id", "at.kind", F.explode("at.ranges").alias("range"))
+    return listed.select(
+        "sensor_id", "kind", instant_text("range.start").alias("range_from"), instant_text("range.stop").alias("range_to")
+    )
+
+
+@query(f"""
+    SELECT user_id AS sensor_id, {instant_sql("max(ts)")} AS last_timestamp FROM events
+    WHERE event_type IN ('purchase', 'click', 'view') GROUP BY user_id
+""")
+def q_concurrent_state(t: Tables) -> DataFrame:
+    """Two runs that start from the same state and overlap: the watermarks of both survive."""
+    root, rows = scratch_path(t.spark, "shared-state"), readings(t)
+
+    def ends(kind: str) -> DataFrame:
+        return st.last_readings(rows.filter(F.col("event_type") == kind), "sensor_id", F.col("at"))
+
+    def advance(kind: str, meanwhile: Callable[[], None] = lambda: None) -> None:
+        def change(old: DataFrame) -> DataFrame:
+            made = st.advance_state(old, ends(kind), "sensor_id")
+            meanwhile()
+            return made
+
+        versions.update(t.spark, root, "sensor_id bigint, last_timestamp timestamp", change)
+
+    other_runs = [lambda: advance("click")]
+    advance("purchase")
+    # The first attempt of this run is overtaken by another run, the second is not.
+    advance("view", lambda: other_runs.pop()() if other_runs else None)
+    state = versions.read_current(t.spark, root, "sensor_id bigint, last_timestamp timestamp")
+    return state.select("sensor_id", instant_text("last_timestamp").alias("last_timestamp"))
+
+
 @query(f"""
     SELECT event_id, CASE WHEN event_id % 9 < 8 THEN {instant_sql("ts")} END AS ended FROM events
 """)

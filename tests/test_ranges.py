@@ -1,0 +1,184 @@
+from __future__ import annotations
+
+import random
+import re
+from datetime import UTC, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import plan, rows
+from silverair.operators import ranges as rg
+from silverair.operators import state as st
+from silverair.plans import bronze, landing
+from silverair.sinks import versions
+
+START = datetime(2026, 1, 1)
+SCHEMA = f"s int, ranges {rg.RANGES}, a timestamp, b timestamp"
+
+
+def at(microseconds: int) -> datetime:
+    return START + timedelta(microseconds=microseconds)
+
+
+def as_sets(found: list) -> list[tuple[int, int]]:
+    micro = timedelta(microseconds=1)
+    return [((r.start - START) // micro, (r.stop - START) // micro) for r in found]
+
+
+def plain_islands(points: set[int]) -> list[tuple[int, int]]:
+    islands: list[list[int]] = []
+    for p in sorted(points):
+        if islands and islands[-1][1] == p - 1:
+            islands[-1][1] = p
+        else:
+            islands.append([p, p])
+    return [tuple(i) for i in islands]
+
+
+def test_islands_and_gaps_equal_sets_of_points(spark):
+    deal = random.Random(1)
+    cases = []
+    for i in range(300):
+        found = [(low, low + deal.randint(-2, 6)) for low in (deal.randint(0, 40) for _ in range(deal.randint(0, 7)))]
+        low = deal.randint(0, 40)
+        cases.append((i, found, low, low + deal.randint(-1, 25)))
+    data = [(i, [(at(a), at(b)) for a, b in found], at(low), at(high)) for i, found, low, high in cases]
+    frame = spark.createDataFrame(data, SCHEMA)
+    islands = rg.merged(F.col("ranges"))
+    got = {
+        r.s: r
+        for r in frame.select(
+            "s",
+            islands.alias("islands"),
+            rg.missing(F.col("a"), F.col("b"), islands).alias("gaps"),
+            rg.up_to(islands, F.col("b")).alias("cut"),
+        ).collect()
+    }
+    for i, found, low, high in cases:
+        covered = {p for a, b in found for p in range(a, b + 1)}
+        assert as_sets(got[i].islands) == plain_islands(covered)
+        assert as_sets(got[i].gaps) == plain_islands(set(range(low, high + 1)) - covered)
+        assert as_sets(got[i].cut) == plain_islands({p for p in covered if p <= high})
+
+
+def test_no_ranges(spark):
+    frame = spark.createDataFrame([(1, None, at(0), at(5)), (2, [], at(0), at(5)), (3, [(None, at(1))], at(0), at(5))], SCHEMA)
+    got = frame.select(rg.merged(F.col("ranges")).alias("m"), rg.missing(F.col("a"), F.col("b"), rg.merged(F.col("ranges"))).alias("g"))
+    assert [(r.m, as_sets(r.g)) for r in got.collect()] == [([], [(0, 5)])] * 3
+
+
+def test_the_order_of_runs_does_not_matter(spark):
+    empty = spark.createDataFrame([], "sensor_id int, last_timestamp timestamp, covered " + rg.RANGES)
+    ends = [spark.createDataFrame([(1, at(k))], "sensor_id int, last_timestamp timestamp") for k in (5, 3)]
+    asked = [spark.createDataFrame([(1, [(at(k), at(k + 9))]), (2, [(at(k), at(k))])], f"sensor_id int, covered {rg.RANGES}") for k in (0, 10)]
+    one = st.advance_ledger(st.advance_ledger(empty, ends[0], asked[0], "sensor_id"), ends[1], asked[1], "sensor_id")
+    two = st.advance_ledger(st.advance_ledger(empty, ends[1], asked[1], "sensor_id"), ends[0], asked[0], "sensor_id")
+    assert rows(one) == rows(two)
+    assert [(r.sensor_id, r.last_timestamp, as_sets(r.covered)) for r in sorted(one.collect())] == [
+        (1, at(5), [(0, 19)]), (2, None, [(0, 0), (10, 10)]),
+    ]
+
+
+DAYS = "sensor_id int, at timestamp"
+
+
+def run(spark, sensors, data, tmp_path, now, **options):
+    return landing.incremental_measurements(sensors, data, str(tmp_path / "landed"), str(tmp_path / "state"), now, "at", **options)
+
+
+def test_a_dead_sensor_costs_nothing_after_it_was_asked_for(spark, tmp_path):
+    """Sensor 2 stopped a year ago. Once its year was asked for, runs read the lookback only."""
+    sensors = spark.createDataFrame([(1,), (2,)], "sensor_id int")
+    now = datetime(2026, 1, 10, tzinfo=UTC)
+    data = [(1, datetime(2026, 1, d, 12)) for d in range(5, 15)] + [(2, datetime(2025, 1, 3, 12))]
+    path = str(tmp_path / "readings")
+    spark.createDataFrame(data, DAYS).write.parquet(path)
+    readings = spark.read.schema(DAYS).parquet(path)
+    begin = datetime(2025, 1, 2, tzinfo=UTC)
+    landing.backfill_measurements(sensors, readings, str(tmp_path / "landed"), str(tmp_path / "state"), begin, begin + timedelta(days=2), begin, "at")
+    logs = [run(spark, sensors, readings, tmp_path, now + timedelta(days=k)) for k in range(3)]
+    assert [(log["behind"], log["written"]) for log in logs] == [(1, 3), (0, 1), (0, 1)]
+
+    # The windows of the next run, and the bounds that reach its scan.
+    clock = F.lit(now + timedelta(days=3))
+    ledger = landing.read_ledger(spark, str(tmp_path / "state"))
+    windows = st.open_windows(st.next_windows(sensors, ledger, "sensor_id", clock, 3, True), ledger, "sensor_id")
+    assert {(r.sensor_id, r.date_from.day) for r in windows.collect()} == {(1, 12), (2, 12)}
+    found = bronze.requested_readings(readings, windows, clock - F.expr("interval 3 days"), clock, "at")
+    bounds = re.findall(r"GreaterThanOrEqual\(at,([\d-]+)", plan(found))
+    assert bounds == ["2026-01-10"]
+
+
+def test_outages_are_closed_and_late_runs_ask_for_the_rest(spark, tmp_path):
+    sensors = spark.createDataFrame([(1,), (2,)], "sensor_id int")
+    data = spark.createDataFrame([(1, datetime(2026, 1, d, 12)) for d in range(1, 30)], DAYS)
+    days = [datetime(2026, 1, d, tzinfo=UTC) for d in (4, 20, 20)]
+    logs = [run(spark, sensors, data, tmp_path, day, catch_up=False) for day in days]
+    assert [log["written"] for log in logs] == [3, 3, 0]
+    ledger = {r.sensor_id: [(x.start.day, x.stop.day) for x in r.covered] for r in landing.read_ledger(spark, str(tmp_path / "state")).collect()}
+    assert ledger == {1: [(1, 4), (17, 20)], 2: [(1, 4), (17, 20)]}
+
+
+def test_a_cap_covers_what_was_landed(spark, tmp_path):
+    sensors = spark.createDataFrame([(1,), (2,)], "sensor_id int")
+    data = spark.createDataFrame([(1, datetime(2026, 1, d, 12)) for d in range(1, 9)], DAYS)
+    now = datetime(2026, 1, 9, tzinfo=UTC)
+    logs = [run(spark, sensors, data, tmp_path, now, lookback_days=9, max_per_sensor=3) for _ in range(4)]
+    assert [log["written"] for log in logs] == [3, 3, 2, 0]
+    (one, two) = sorted(landing.read_ledger(spark, str(tmp_path / "state")).collect())
+    assert one.covered[-1].stop == two.covered[-1].stop == datetime(2026, 1, 9)
+
+
+STATE = "sensor_id int, last_timestamp timestamp"
+
+
+def batch(spark, sensor: int, second: int):
+    return spark.createDataFrame([(sensor, at(second))], STATE)
+
+
+def test_overlapping_updates_both_survive(spark, tmp_path):
+    root = str(tmp_path / "state")
+    versions.update(spark, root, STATE, lambda old: st.advance_state(old, batch(spark, 1, 1), "sensor_id"))
+    tries = []
+
+    def slow(old):
+        tries.append(old.count())
+        if len(tries) < 3:
+            # Another run starts later and ends first, twice.
+            versions.update(spark, root, STATE, lambda o: st.advance_state(o, batch(spark, 10 + len(tries), 7), "sensor_id"))
+        return st.advance_state(old, batch(spark, 2, 2), "sensor_id")
+
+    entry = versions.update(spark, root, STATE, slow)
+    assert tries == [1, 2, 3]
+    assert rows(versions.read_current(spark, root, STATE)) == [(1, at(1)), (11, at(7)), (12, at(7)), (2, at(2))]
+    # Lost attempts leave neither a pointer nor data.
+    assert [r.number for r in versions.manifest(spark, root).orderBy("number").collect()] == [1, 2, 3, 4]
+    assert len(list((tmp_path / "state" / "data").iterdir())) == 4 and entry["rows"] == 4
+
+
+def test_a_refresh_that_commits_last_counts(spark, tmp_path):
+    """The one that started first commits last: its number is the newest, whatever its folder is called."""
+    root = str(tmp_path / "table")
+
+    def validate(_):
+        versions.refresh(spark.range(5), root)
+
+    versions.refresh(spark.range(3), root, validate=validate)
+    assert versions.current(spark, root)["number"] == 2
+    assert versions.read_current(spark, root, "id long").count() == 3
+
+
+def test_a_number_is_given_once(spark, tmp_path):
+    root, now = str(tmp_path / "t"), datetime.now(UTC)
+    first = versions.commit(spark, root, None, "a", "p", 0, {}, now)
+    assert first["number"] == 1 and versions.commit(spark, root, None, "b", "q", 0, {}, now) is None
+    assert versions.current(spark, root)["version"] == "a"
+    assert versions.commit(spark, root, first, "b", "q", 0, {}, now)["number"] == 2
+
+
+def test_endless_conflicts_are_an_error(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(versions, "ATTEMPTS", 2)
+    monkeypatch.setattr(versions, "create_once", lambda *_: False)
+    with pytest.raises(versions.Conflict):
+        versions.update(spark, str(tmp_path / "t"), STATE, lambda old: old)
