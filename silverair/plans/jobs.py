@@ -17,9 +17,12 @@ from silverair.schemas import (
     DIM_URBANITY_SCORE,
     FACT_SENSOR_MEASURE,
     FACT_WEATHER,
+    MEASURE_PARTS,
     Table,
 )
-from silverair.sinks import increments, versions, warehouse
+from silverair.session import staged
+from silverair.sinks import files, increments, partitions, versions, warehouse
+from silverair.sources.tables import scan
 
 JdbcOptions = Mapping[str, str] | None
 
@@ -84,6 +87,45 @@ def sensor_measures(
     return full_refresh(silver.sensor_measure(measurements, historical), FACT_SENSOR_MEASURE, root, jdbc, **options)
 
 
+def merge_measures(
+    measurements: DataFrame,
+    historical: DataFrame,
+    root: str,
+    batch: str,
+    gated: bool = True,
+    keep: int = 2,
+    grace: timedelta = timedelta(days=1),
+    now: datetime | None = None,
+    **options: Any,
+) -> dict[str, Any]:
+    """Add a batch of API rows and readings to the measure fact; returns the pointer.
+
+    Aggregates of the batch are kept by day under ``root/parts``. Only the days that
+    the batch has rows for are merged again and published, so late readings cost
+    what their days hold and history is not read. A batch that is loaded again
+    under its name replaces itself. ``measures`` reads the result.
+    """
+    spark = historical.sparkSession
+    with staged(silver.measure_parts(measurements, historical, **options), "measure-parts") as parts:
+        files.replace_partitions(parts.withColumn("batch", F.lit(batch)), f"{root}/parts", ["load_date", "batch"])
+        # As many as the batch has days.
+        days = [r[0] for r in parts.select("load_date").distinct().collect()]
+
+    def build() -> DataFrame:
+        stored = scan(spark, f"{root}/parts", MEASURE_PARTS)
+        day = F.col("load_date")
+        touched = day.isin([d for d in days if d]) | (day.isNull() if None in days else F.lit(False))
+        return FACT_SENSOR_MEASURE.conform(silver.merged_measures(stored.where(touched).drop("batch")))
+
+    published = partitions.replace(spark, f"{root}/fact", "load_date", build, _gate(FACT_SENSOR_MEASURE, gated), now)
+    return {**published, "deleted_partitions": partitions.retain(spark, f"{root}/fact", keep, grace)}
+
+
+def measures(spark: SparkSession, root: str) -> DataFrame:
+    """The measure fact that ``merge_measures`` keeps."""
+    return partitions.read(spark, f"{root}/fact", FACT_SENSOR_MEASURE.ddl)
+
+
 def weather(raw: DataFrame, path: str, jdbc: JdbcOptions = None, **options: Any) -> dict[str, int]:
     return insert_only(silver.latest_weather(raw), FACT_WEATHER, path, ["date_id"], jdbc, **options)
 

@@ -150,6 +150,61 @@ def sensor_measure(
     return priority_union(sources, ["sensor_id", "load_date"], "sys_load_ts")
 
 
+# What a part of the measure fact has in common with the parts that it is merged with.
+_PART_KEYS = (
+    "sys_unique_key", "sensor_id", "sensor_name", "parameter_name", "parameter_units", "load_date", "date_id", "sys_source_from",
+)
+
+
+def measure_parts(
+    measurements: DataFrame, historical: DataFrame, date_basis: str = "request", zone: Column | str | None = None
+) -> DataFrame:
+    """What a batch adds to the measure fact, in a form that merges with other batches.
+
+    API rows: the one that wins per sensor and day. Readings: sum, count and first
+    time per sensor, parameter, unit and day.
+    """
+    none = {"value_sum": F.lit(None).cast("double"), "value_count": F.lit(None).cast("bigint")}
+    api = priority_union([current_measures(measurements, date_basis)], ["sensor_id", "load_date"], "sys_load_ts")
+    usable_at = F.when(F.col("value").isNotNull(), F.col("read_at"))
+    sums = (
+        clean_readings(historical, zone)
+        .groupBy("sensor", "parameter", "units", "day")
+        .agg(F.sum("value").alias("value_sum"), F.count("value").alias("value_count"), F.min(usable_at).alias("read_at"))
+        .filter(F.col("read_at").isNotNull())
+    )
+    readings = sums.select(
+        *_measure_columns(
+            natural_key("-", "sensor", "day"),
+            F.col("sensor"),
+            natural_key(" ", "parameter", "units"),
+            F.col("parameter"),
+            F.col("units"),
+            F.lit(None),
+            F.col("day"),
+            F.col("read_at"),
+            F.lit(HISTORICAL_SOURCE),
+        ),
+        "value_sum",
+        "value_count",
+    )
+    return api.withColumns({**none, "source_priority": F.lit(1)}).unionByName(readings.withColumn("source_priority", F.lit(2)))
+
+
+def merged_measures(parts: DataFrame) -> DataFrame:
+    """The measure fact of all batches that ``parts`` come from, equal to ``sensor_measure`` over all their rows."""
+    api = parts.filter(F.col("source_priority") == 1).drop("value_sum", "value_count", "source_priority")
+    readings = (
+        parts.filter(F.col("source_priority") == 2)
+        .groupBy(*_PART_KEYS)
+        .agg(
+            (F.sum("value_sum") / F.sum("value_count")).alias("parameter_value"),
+            F.min("sys_load_ts").alias("sys_load_ts"),
+        )
+    )
+    return priority_union([api, readings.select(*api.columns)], ["sensor_id", "load_date"], "sys_load_ts")
+
+
 def latest_weather(weather: DataFrame) -> DataFrame:
     """Newest successful load per coordinate and day."""
     usable = weather.filter(

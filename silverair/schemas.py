@@ -238,4 +238,7 @@ MEASUREMENT_PAGES = f"request_id string, page int, sensor_id bigint, results arr
 
 ENVELOPE = f"data {READING}, sys struct<load_date: string, source: string, sensor_id: bigint, granularity: string>"
 
+# Aggregates of loaded batches, from which the measure fact is merged.
+MEASURE_PARTS = f"{FACT_SENSOR_MEASURE.ddl}, value_sum double, value_count bigint, source_priority int, batch string"
+
 SENSOR_STATE = "sensor_id bigint, last_timestamp timestamp, covered array<struct<start: timestamp, stop: timestamp>>"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import UTC, datetime
+from types import SimpleNamespace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,7 +81,7 @@ def measurement_sources(t: Tables) -> tuple[DataFrame, DataFrame]:
     return current, historical
 
 
-@query(f"""
+_MEASURE_SQL = f"""
     WITH current_rows AS (
         SELECT user_id, 'user ' || CAST(user_id AS VARCHAR) AS sensor_name, event_type AS parameter_name, 'ug' AS units, value,
                CAST(ts AS DATE) AS day, CASE WHEN event_type = 'signup' THEN date_trunc('second', ts) ELSE ts END AS ts,
@@ -101,12 +102,18 @@ def measurement_sources(t: Tables) -> tuple[DataFrame, DataFrame]:
            source AS sys_source_from
     FROM (SELECT * FROM current_rows UNION ALL SELECT * FROM historical)
     QUALIFY row_number() OVER (PARTITION BY user_id, day ORDER BY priority, ts DESC, sensor_name, parameter_name, units, value) = 1
-""")
+"""
+
+
+@query(_MEASURE_SQL)
 def q_measure_fact(t: Tables) -> DataFrame:
     """Quote cleaning, daily averages, source priority and the versioned refresh."""
     root = scratch_path(t.spark, "measure-fact")
     jobs.sensor_measures(*measurement_sources(t), root)
-    stored = versions.read_current(t.spark, root, FACT_SENSOR_MEASURE.ddl)
+    return printed_measures(versions.read_current(t.spark, root, FACT_SENSOR_MEASURE.ddl))
+
+
+def printed_measures(stored: DataFrame) -> DataFrame:
     return stored.withColumns(
         {
             "parameter_value": F.round("parameter_value", 8),
@@ -116,6 +123,16 @@ def q_measure_fact(t: Tables) -> DataFrame:
     )
 
 
+@query(_MEASURE_SQL)
+def q_measure_merge(t: Tables) -> DataFrame:
+    """The same fact from three batches: readings of all days come late, and the second batch comes twice."""
+    root, late = scratch_path(t.spark, "measure-merge"), F.col("event_id") % 3
+    for number in (0, 1, 1, 2):
+        batch = SimpleNamespace(events=t.events.filter(late == number))
+        jobs.merge_measures(*measurement_sources(batch), root, f"batch-{number}")
+    return printed_measures(jobs.measures(t.spark, root))
+
+
 def weather_rows(t: Tables, day: Column | None = None) -> DataFrame:
     """Events as landed weather: the user gives the coordinate, the event type the status."""
     code = F.get_json_object("props", "$.k").cast("int")

@@ -1,0 +1,164 @@
+from __future__ import annotations
+
+import json
+import random
+import re
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import plan, rows
+from silverair.plans import jobs, silver
+from silverair.schemas import FACT_SENSOR_MEASURE, MEASURE_PARTS
+from silverair.sinks import partitions, versions
+from silverair.sources.tables import scan
+
+API = "sensor_id string, sensor_name string, parameter_display_name string, parameter_units string, value string, load_date_from string, api_call_timestamp string, sys_source_from string"
+RAW = "sensors_id string, parameter string, units string, value string, datetime string"
+
+
+def api_row(sensor, value, day, hour=1):
+    return (str(sensor), f"s{sensor}", "PM", "ug", str(value), f"2026-01-{day:02}", f"2026-02-01T{hour:02}:00:00+00:00", "u")
+
+
+def reading(sensor, value, day, hour):
+    return (f'"{sensor}"', '"pm25"', '"ug"', f'"{value}"', f'"2026-01-{day:02}T{hour:02}:00:00Z"')
+
+
+def batches(seed: int) -> list[tuple[list, list]]:
+    """Three batches of API rows and readings; all of them have rows of the same days, some have others of their own."""
+    deal = random.Random(seed)
+    made = []
+    for number in range(3):
+        raw = [reading(deal.randint(1, 4), deal.choice([deal.random() * 9, "n/a"]), deal.choice([3, 4, 10 + number]), deal.randint(0, 23)) for _ in range(40)]
+        api = [api_row(deal.randint(3, 6), deal.random(), deal.choice([3, 10 + number]), deal.randint(0, 5)) for _ in range(6)]
+        made.append((api, raw))
+    return made
+
+
+def frames(spark, batch):
+    return spark.createDataFrame(batch[0], API), spark.createDataFrame(batch[1], RAW)
+
+
+def comparable(df):
+    return rows(df.withColumn("parameter_value", F.round("parameter_value", 9)), "sys_unique_key", "sensor_name")
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 0, 1, 0)])
+def test_batches_in_any_order_equal_the_full_refresh(spark, tmp_path, order):
+    made, root = batches(1), str(tmp_path / "m")
+    for number in order:
+        jobs.merge_measures(*frames(spark, made[number]), root, f"b{number}")
+    everything = frames(spark, tuple([row for b in made for row in b[k]] for k in (0, 1)))
+    want = FACT_SENSOR_MEASURE.conform(silver.sensor_measure(*everything))
+    got = jobs.measures(spark, root)
+    assert comparable(got) == comparable(want) and got.columns == want.columns
+
+
+def test_only_touched_days_are_read_and_published(spark, tmp_path):
+    root = str(tmp_path / "m")
+    days = [reading(1, 2.0, d, 1) for d in range(1, 21)]
+    empty = spark.createDataFrame([], API)
+    first = jobs.merge_measures(empty, spark.createDataFrame(days, RAW), root, "a")
+    late = jobs.merge_measures(empty, spark.createDataFrame([reading(1, 4.0, 7, 2), reading(2, 1.0, 9, 2)], RAW), root, "b")
+    assert (first["partitions"], late["partitions"], late["rows"]) == (20, 2, 3)
+    now = partitions.layout(versions.current(spark, f"{root}/fact"))
+    assert {name for name, folder in now.items() if folder == late["path"]} == {"load_date=2026-01-07", "load_date=2026-01-09"}
+    assert {r.load_date.day: r.parameter_value for r in jobs.measures(spark, root).where("sensor_id = 1").collect()}[7] == 3.0
+
+    # The scan of the parts prunes all other days.
+    touched = scan(spark, f"{root}/parts", MEASURE_PARTS).where(F.col("load_date").isin([datetime(2026, 1, 7).date()]))
+    merged = silver.merged_measures(touched.drop("batch"))
+    assert len(merged.collect()) == 1
+    assert re.search(r"PartitionFilters: \[[^\]]*load_date", plan(merged))
+    files = touched.select("_metadata.file_path").distinct().collect()
+    assert len(files) == 2 and all("load_date=2026-01-07" in f[0] for f in files)
+    assert "PartitionFilters: [isnotnull(load_date" in plan(jobs.measures(spark, root).where("load_date = date'2026-01-07'"))
+
+
+def test_days_without_a_date_are_merged_too(spark, tmp_path):
+    root = str(tmp_path / "m")
+    row = (*api_row(1, 5, 1)[:5], "no day", *api_row(1, 5, 1)[6:])
+    for name in ("a", "b"):
+        jobs.merge_measures(spark.createDataFrame([row], API), spark.createDataFrame([], RAW), root, name)
+    assert [(r.sensor_id, r.load_date, r.parameter_value) for r in jobs.measures(spark, root).collect()] == [(1, None, 5.0)]
+
+
+def test_broken_rules_publish_nothing(spark, tmp_path):
+    root = str(tmp_path / "m")
+    api = spark.createDataFrame([api_row("x", 1, 2), api_row("y", 1, 2)], API)
+    # Two sensors without a number share the missing id, and one of them wins the day.
+    jobs.merge_measures(api, spark.createDataFrame([], RAW), root, "a")
+    assert jobs.measures(spark, root).count() == 1
+
+    def reject(_):
+        raise ValueError("no")
+
+    with pytest.raises(ValueError):
+        partitions.replace(spark, f"{root}/fact", "load_date", lambda: jobs.measures(spark, root), reject)
+    assert versions.manifest(spark, f"{root}/fact").count() == 1
+
+
+SMALL = "id int, day string"
+
+
+def put(spark, root, day, ids, meanwhile=None, calls=None):
+    def build():
+        if calls is not None:
+            calls.append(day)
+        if meanwhile:
+            meanwhile.pop()() if meanwhile else None
+        return spark.createDataFrame([(i, day) for i in ids], SMALL)
+
+    return partitions.replace(spark, root, "day", build)
+
+
+def test_overlapping_writers_of_other_days_do_not_build_again(spark, tmp_path):
+    root, calls = str(tmp_path / "t"), []
+    put(spark, root, "a", [1])
+    put(spark, root, "b", [2], [lambda: put(spark, root, "c", [3])], calls)
+    assert calls == ["b"] and rows(partitions.read(spark, root, SMALL)) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_overlapping_writers_of_one_day_build_again(spark, tmp_path):
+    root, calls = str(tmp_path / "t"), []
+    put(spark, root, "a", [1])
+    put(spark, root, "a", [2], [lambda: put(spark, root, "a", [3])], calls)
+    assert calls == ["a", "a"] and rows(partitions.read(spark, root, SMALL)) == [(2, "a")]
+    assert versions.current(spark, root)["number"] == 3
+
+
+def test_overlapping_batches_of_one_day_both_count(spark, tmp_path, monkeypatch):
+    """The second batch is merged while the first one has read the parts but not published."""
+    root, empty = str(tmp_path / "m"), spark.createDataFrame([], API)
+    merge = lambda name, value, hour: jobs.merge_measures(empty, spark.createDataFrame([reading(1, value, 3, hour)], RAW), root, name)
+    merge("a", 1.0, 1)
+    real, others = silver.merged_measures, [lambda: merge("c", 6.0, 3)]
+
+    def slow(parts):
+        made = real(parts).cache()
+        made.count()
+        if others:
+            others.pop()()
+        return made
+
+    monkeypatch.setattr(silver, "merged_measures", slow)
+    merge("b", 2.0, 2)
+    assert [(r.parameter_value) for r in jobs.measures(spark, root).collect()] == [3.0]
+
+
+def test_readers_go_on_and_old_partitions_go_after_their_time(spark, tmp_path):
+    root = str(tmp_path / "t")
+    put(spark, root, "a", [1])
+    put(spark, root, "b", [2])
+    opened = partitions.read(spark, root, SMALL)
+    put(spark, root, "a", [3, 4])
+    put(spark, root, "a", [5])
+    assert partitions.retain(spark, root) == 0
+    assert rows(opened) == [(1, "a"), (2, "b")]
+    # Both older versions go; of their partitions only those that nothing refers to.
+    assert partitions.retain(spark, root, keep=1, grace=timedelta(0)) == 2
+    assert rows(partitions.read(spark, root, SMALL)) == [(2, "b"), (5, "a")]
+    assert versions.manifest(spark, root).count() == 1
+    assert json.loads(versions.current(spark, root)["details"])["by"] == "day"
