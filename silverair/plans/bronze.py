@@ -277,3 +277,9 @@ def _capped(rows: DataFrame, keys: Sequence[str], at: str, n: int | None) -> Dat
 def landed(readings: DataFrame, loaded_at: Column, granularity: str) -> DataFrame:
     """Readings as landed envelopes."""
     return wrap_envelope(readings, loaded_at, ENVELOPE_SOURCE, "sensor_id", granularity)
+
+
+def ended_readings(rows: DataFrame, at: str = "at") -> DataFrame:
+    """Daily values with the end time of their record as ``at``; records without one are not readings."""
+    timed = rows.withColumn(at, end_time("record"))
+    return timed.select("sensor_id", "value", "record", at).where(F.col(at).isNotNull())

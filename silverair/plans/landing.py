@@ -12,11 +12,35 @@ from pyspark.sql import functions as F
 from silverair.functions.scoring import DEFAULT_RADIUS_M
 from silverair.operators import state as st
 from silverair.operators.quality import observed, run_counters
+from silverair.operators.ranking import slice_rows
 from silverair.plans import bronze
 from silverair.plans.silver import PM25_ID
-from silverair.schemas import SENSOR_STATE
+from silverair.schemas import LOCATION, SENSOR_STATE, SENSORS
 from silverair.session import staged
 from silverair.sinks import files, versions
+from silverair.sources.files import list_files, read_results, result_errors
+
+
+def locations(
+    spark: SparkSession, responses: str, root: str, now: datetime, batch: tuple[int, int | None] = (0, None)
+) -> tuple[DataFrame, dict[str, Any]]:
+    """Land the locations of a run and their fine-dust sensors; returns the sensors of ``batch`` and the run log.
+
+    ``responses`` is the folder of landed answers. Those that cannot be read, and
+    elements of another shape, are landed as error rows. A sensor that several
+    locations list counts once, for the one with the greatest id. ``batch`` are the
+    first and last (excluded) place of a sensor in the order of ids.
+    """
+    version = versions.new_version()
+    with staged(read_results(spark, responses, LOCATION), "locations") as found:
+        landed = files.land(found, f"{root}/locations", F.lit(now), run=version)
+        known = files.land(bronze.sensors(found, ["id"]), f"{root}/sensors", F.lit(now), run=version)
+    errors = files.land(result_errors(spark, responses, LOCATION), f"{root}/errors", F.lit(now), run=version)
+    asked = spark.createDataFrame([], SENSORS)
+    if known:
+        day = f"year={now:%Y}/month={now:%m}/day={now:%d}/run={version}"
+        asked = slice_rows(spark.read.schema(SENSORS).parquet(f"{root}/sensors/{day}"), ["sensor_id"], *batch)
+    return asked, {"locations": landed, "sensors": known, "errors": errors}
 
 
 def measurements(
@@ -52,6 +76,17 @@ def weather(sites: DataFrame, payloads: DataFrame, start_date: str, path: str, n
     return log.get
 
 
+def weather_run(sites: DataFrame, payloads: DataFrame, start_date: str, path: str, now: datetime) -> dict[str, int]:
+    """``weather`` with the sites in its log: how many were asked for, how many failed, and the days and files written."""
+    with staged(sites, "sites") as asked, staged(payloads, "answers") as given:
+        log = weather(asked, given, start_date, path, now)
+        called = F.lit(now.isoformat())
+        failed = F.count_if(F.col("__failure").isNotNull()).alias("sites_failed")
+        counts = bronze.answers(asked, given, called).agg(F.count(F.lit(1)).alias("sites_requested"), failed).first()
+    files_now = list_files(asked.sparkSession, path).count()
+    return {**log, **counts.asDict(), "files": files_now}
+
+
 def site_features(
     sites: DataFrame,
     payloads: DataFrame,

@@ -238,6 +238,21 @@ MEASUREMENT_PAGES = f"request_id string, page int, sensor_id bigint, results arr
 
 ENVELOPE = f"data {READING}, sys struct<load_date: string, source: string, sensor_id: bigint, granularity: string>"
 
+# A location in a response.
+LOCATION = (
+    "struct<id: bigint, name: string, locality: string, timezone: string, "
+    "country: struct<id: bigint, name: string, code: string>, coordinates: struct<latitude: double, longitude: double>, "
+    "sensors: array<struct<id: bigint, name: string, "
+    "parameter: struct<id: string, name: string, units: string, displayName: string>>>>"
+)
+
+# Sensors as the landing of locations finds them.
+SENSORS = (
+    "sensor_id bigint, sensor_name string, parameter_id int, parameter_name string, parameter_units string, "
+    "parameter_display_name string, location_id bigint, location_name string, locality string, timezone string, "
+    "country_id bigint, country_code string, country_name string, location_latitude double, location_longitude double"
+)
+
 # Aggregates of loaded batches, from which the measure fact is merged.
 MEASURE_PARTS = f"{FACT_SENSOR_MEASURE.ddl}, value_sum double, value_count bigint, source_priority int, batch string"
 

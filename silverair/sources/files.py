@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -115,7 +115,7 @@ def read_results(spark: SparkSession, path: str, item: str, keep: str = "") -> D
 
     ``item`` is the DDL type of an element and ``keep`` the DDL of further fields
     of the response. Responses without results give no rows, and neither do those
-    that cannot be read: ``unreadable_results`` has them.
+    that cannot be read: ``result_errors`` has them, and elements of another type.
     """
     fields = f"{keep}, " if keep else ""
     schema = f"{fields}results array<{item}>, url string, called_at string"
@@ -132,6 +132,50 @@ def read_results(spark: SparkSession, path: str, item: str, keep: str = "") -> D
     return rows.select(*names, "record.*", "sys_source_from", "api_call_timestamp")
 
 
+def result_errors(spark: SparkSession, path: str, item: str) -> DataFrame:
+    """One error row per landed line, or element of its results, that ``read_results`` cannot give as ``item``.
+
+    ``sys_source_from``, ``error_message`` and the ``payload``: the line if it is not JSON
+    or has no list of results, the element if a field of it has another type. Lines
+    are parsed to VARIANT, so fields that nobody asked for do not matter.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value").where(F.trim("value") != "")
+    parsed = lines.select("file", "value", F.try_parse_json("value").alias("response"))
+    results = F.try_variant_get("response", "$.results", "array<variant>")
+    marked = parsed.select(
+        F.coalesce(F.try_variant_get("response", "$.url", "string"), F.col("file")).alias("sys_source_from"),
+        F.when(F.col("response").isNull(), "unreadable response")
+        .when(results.isNull(), F.concat(F.lit("unexpected response: "), F.schema_of_variant("response")))
+        .alias("error_message"),
+        F.col("value").alias("payload"),
+        results.alias("results"),
+    )
+    whole = marked.where(F.col("error_message").isNotNull()).drop("results")
+    elements = marked.where(F.col("error_message").isNull()).select("sys_source_from", F.explode("results").alias("element"))
+    read = elements.withColumn("read", F.from_json(F.to_json("element"), item))
+    wrong = [F.when(_unread("element", "read", name), F.lit(name)) for name in read.schema["read"].dataType.names]
+    failed = read.withColumn("fields", F.array_compact(F.array(*wrong))).where(F.size("fields") > 0)
+    return whole.unionByName(
+        failed.select(
+            "sys_source_from",
+            F.concat(F.lit("unexpected type: "), F.array_join("fields", ", ")).alias("error_message"),
+            F.to_json("element").alias("payload"),
+        )
+    )
+
+
+def _unread(element: str, read: str, name: str) -> Column:
+    """Whether a field is there but was read as NULL."""
+    given = F.try_variant_get(element, f"$.{name}", "variant")
+    return given.isNotNull() & ~F.is_variant_null(given) & F.col(f"{read}.{name}").isNull()
+
+
+def response_shape(spark: SparkSession, path: str) -> DataFrame:
+    """One row: the ``shape`` that all landed responses have in common, as a VARIANT schema, and their number."""
+    parsed = spark.read.text(path).select(F.try_parse_json("value").alias("response")).where(F.col("response").isNotNull())
+    return parsed.agg(F.schema_of_variant_agg("response").alias("shape"), F.count(F.lit(1)).alias("responses"))
+
+
 def unreadable_results(spark: SparkSession, path: str) -> DataFrame:
     """One error row per landed line that is not JSON: ``sys_source_from``, ``error_message`` and the ``payload``."""
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("sys_source_from"), "value")

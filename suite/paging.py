@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverair.operators.paging import concat_pages
-from silverair.plans import bronze
+from silverair.plans import bronze, landing
+from silverair.schemas import MEASUREMENTS
+from silverair.session import scratch_path
+from silverair.sinks import versions
 from suite.base import Tables, query
 
 _PAGES_SQL = """
     pages AS (
-        SELECT conv_id, turn + 1 AS page, string_split(text, ' ') AS words, contains(text, 'q') AS is_blank
-        FROM conversations WHERE NOT contains(text, 'x')
+        SELECT conv_id, turn + CASE WHEN contains(text, 'x') THEN 1001 ELSE 1 END AS page,
+               string_split(text, ' ') AS words, contains(text, 'q') AS is_blank
+        FROM conversations
     ),
     stops AS (
         SELECT conv_id, min(page) AS stop FROM (
@@ -32,13 +38,13 @@ _PAGES_SQL = """
 
 
 def pages(t: Tables) -> DataFrame:
-    """Turns with an ``x`` are missing pages, turns with a ``q`` are empty ones."""
-    landed = t.conversations.filter(~F.contains("text", F.lit("x")))
+    """Turns with an ``x`` are landed far behind, which leaves a gap; turns with a ``q`` are empty pages."""
+    far = F.when(F.contains("text", F.lit("x")), 1001).otherwise(1)
     words = F.split("text", " ")
     none = F.array().cast("array<string>")
-    return landed.select(
+    return t.conversations.select(
         "conv_id",
-        (F.col("turn") + 1).alias("page"),
+        (F.col("turn") + far).alias("page"),
         F.when(F.contains("text", F.lit("q")), none).otherwise(words).alias("results"),
     )
 
@@ -70,17 +76,20 @@ def q_pages_capped(t: Tables) -> DataFrame:
     return rows.select("conv_id", "page", F.col("word_pos").alias("pos"), "word")
 
 
-@query(f"""
+_WINDOW = ("daily", "2024-01-29", "2024-01-30")
+_MEASUREMENTS_SQL = f"""
     WITH {_PAGES_SQL}
     SELECT conv_id AS sensor_id, c_name AS sensor_name, CAST(2 AS INTEGER) AS parameter_id, CAST(length(word) AS DOUBLE) AS value,
            FALSE AS historical_load, TRUE AS daily_average_load, '2024-01-29' AS load_date_from, '2024-01-30' AS load_date_to,
            'page ' || CAST(page AS VARCHAR) AS api_call_timestamp,
            'https://api.example/' || CAST(conv_id AS VARCHAR) AS sys_source_from, word AS period_end
-    FROM results JOIN customer ON c_custkey = conv_id WHERE c_acctbal >= 0
-""")
-def q_bronze_measurements(t: Tables) -> DataFrame:
-    """Pages to flat rows with the columns of sensor and request; customers are the sensors."""
-    landed = pages(t).select(
+    FROM results JOIN customer ON c_custkey = conv_id
+"""
+
+
+def measurement_pages(t: Tables) -> DataFrame:
+    """Words as results with a value and a period."""
+    return pages(t).select(
         F.col("conv_id").cast("string").alias("request_id"),
         "page",
         F.col("conv_id").alias("sensor_id"),
@@ -94,7 +103,10 @@ def q_bronze_measurements(t: Tables) -> DataFrame:
         F.concat(F.lit("https://api.example/"), F.col("conv_id").cast("string")).alias("url"),
         F.concat(F.lit("page "), F.col("page").cast("string")).alias("called_at"),
     )
-    sensors = t.customer.filter(F.col("c_acctbal") >= 0).select(
+
+
+def customer_sensors(t: Tables) -> DataFrame:
+    return t.customer.select(
         F.col("c_custkey").alias("sensor_id"),
         F.col("c_name").alias("sensor_name"),
         F.lit(2).alias("parameter_id"),
@@ -102,9 +114,26 @@ def q_bronze_measurements(t: Tables) -> DataFrame:
         F.lit("ug/m3").alias("parameter_units"),
         F.lit("PM2.5").alias("parameter_display_name"),
     )
-    rows = bronze.measurements(landed, sensors, ("daily", "2024-01-29", "2024-01-30"))
+
+
+def printed_rows(rows: DataFrame) -> DataFrame:
     return rows.select(
         "sensor_id", "sensor_name", "parameter_id", "value", "historical_load", "daily_average_load",
         "load_date_from", "load_date_to", "api_call_timestamp", "sys_source_from",
         F.col("period.datetimeTo.utc").alias("period_end"),
     )
+
+
+@query(_MEASUREMENTS_SQL)
+def q_bronze_measurements(t: Tables) -> DataFrame:
+    """Pages to flat rows with the columns of sensor and request; customers are the sensors."""
+    return printed_rows(bronze.measurements(measurement_pages(t), customer_sensors(t), _WINDOW))
+
+
+@query(_MEASUREMENTS_SQL)
+def q_landed_measurements(t: Tables) -> DataFrame:
+    """The same through the job: landed under its run, and read where the pointer leads."""
+    root = scratch_path(t.spark, "measurements")
+    now = datetime(2024, 1, 30, 8, tzinfo=UTC)
+    landing.measurements(measurement_pages(t), customer_sensors(t), _WINDOW, root, now)
+    return printed_rows(versions.read_current(t.spark, root, MEASUREMENTS.replace("value string", "value double")))

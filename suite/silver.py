@@ -15,6 +15,7 @@ from silverair.schemas import (
     FACT_SENSOR_MEASURE,
     FACT_WEATHER,
     SITE_FEATURES,
+    WEATHER,
     WEATHER_METRICS,
 )
 from silverair.session import scratch_path
@@ -283,7 +284,7 @@ def failure(label: Column) -> Column:
     return F.when(label == 3, "timeout")
 
 
-@query(f"""
+_WEATHER_SQL = f"""
     WITH {_SITES_SQL}, days AS (
         SELECT a.*, i, strftime(DATE '2024-01-01' + CAST(i AS INTEGER), '%Y-%m-%d') AS record_date
         FROM answers a, unnest(range(0, len(embedding))) AS r(i) WHERE failure IS NULL AND label <> 4
@@ -297,9 +298,11 @@ def failure(label: Column) -> Column:
     UNION ALL
     SELECT location_id, latitude, longitude, country_name, '2024-01-01', NULL, NULL, NULL, NULL, 'error', failure
     FROM answers WHERE failure IS NOT NULL
-""")
-def q_bronze_weather(t: Tables) -> DataFrame:
-    """Vectors as daily arrays; sites without a vector and failed calls become error rows."""
+"""
+
+
+def weather_payloads(t: Tables) -> DataFrame:
+    """Vectors as daily arrays."""
     values = F.col("embedding").cast("array<double>")
     day = F.transform(
         F.sequence(F.lit(0), F.size("embedding") - 1),
@@ -316,18 +319,61 @@ def q_bronze_weather(t: Tables) -> DataFrame:
             if name not in ("weather_code", "precipitation_sum", "rain_sum")
         ],
     )
-    payloads = t.embeddings.select(
+    return t.embeddings.select(
         F.col("vec_id").alias("location_id"),
         F.when(F.col("label") != 4, daily).alias("daily"),
         failure(F.col("label")).alias("error"),
     )
-    rows = bronze.weather(sites(t), payloads, "2024-01-01", F.lit("2024-02-01T00:00:00+00:00"))
+
+
+def printed_weather(rows: DataFrame) -> DataFrame:
     return rows.select(
         "location_id", "lat", "lon", "country_name", "record_date", F.col("weather_code").cast("double").alias("weather_code"),
         "precipitation_sum", "rain_sum", "snowfall_sum", "status", F.coalesce("error_message", F.lit("none")).alias("error_message"),
     )
 
 
+@query(_WEATHER_SQL)
+def q_bronze_weather(t: Tables) -> DataFrame:
+    """Vectors as daily arrays; sites without a vector and failed calls become error rows."""
+    return printed_weather(bronze.weather(sites(t), weather_payloads(t), "2024-01-01", F.lit("2024-02-01T00:00:00+00:00")))
+
+
+@query(_WEATHER_SQL)
+def q_landed_weather(t: Tables) -> DataFrame:
+    """The same through the job, which lands the days twice: the second run replaces those of the first."""
+    path, now = scratch_path(t.spark, "weather"), datetime(2024, 2, 1, tzinfo=UTC)
+    for _ in range(2):
+        landing.weather_run(sites(t), weather_payloads(t), "2024-01-01", path, now)
+    return printed_weather(scan(t.spark, path, f"{WEATHER}, year string, month string"))
+
+
+@query(f"""
+    WITH {LOCATIONS_SQL}, known AS (
+        SELECT sensor_id, sensor_name, id AS location_id, upper(country_name) AS country_name FROM location_sensors WHERE parameter_id = '2'
+        QUALIFY row_number() OVER (PARTITION BY sensor_id ORDER BY id DESC, pos DESC) = 1
+    )
+    SELECT *, (SELECT count(*) FROM locations) AS n_locations, (SELECT count(*) FROM known) AS n_sensors,
+           (SELECT count(*) FROM customer WHERE c_nationkey = 7) + 2 AS n_errors
+    FROM known QUALIFY row_number() OVER (ORDER BY sensor_id) BETWEEN 6 AND 250
+""")
+def q_landed_sensors(t: Tables) -> DataFrame:
+    """Landed answers, one per location, to the sensors of one batch; misshapen answers and elements become error rows."""
+    path, root = scratch_path(t.spark, "responses"), scratch_path(t.spark, "locations")
+    fields = ("id", "name", "locality", "timezone", "country", "coordinates", "sensors")
+    named = locations(t).withColumn("country", F.col("country").withField("name", F.upper("country.name")))
+    answers = named.select(F.to_json(F.struct(F.array(F.struct(*fields)).alias("results"), F.lit("u").alias("url"))).alias("value"))
+    # One nation answers once more with an object instead of a list, and two elements are no locations.
+    objects = t.customer.where("c_nationkey = 7").select(F.lit('{"results": {"id": 1}}').alias("value"))
+    wrong = t.spark.range(2).select(F.lit('{"results": [{"id": "none", "sensors": []}]}').alias("value"))
+    answers.union(objects).union(wrong).write.text(path)
+    batch, log = landing.locations(t.spark, path, root, datetime(2024, 2, 1, tzinfo=UTC), (5, 250))
+    # A location without a readable id is landed too, as it came.
+    return batch.select("sensor_id", "sensor_name", "location_id", "country_name").withColumns(
+        {"n_locations": F.lit(log["locations"] - 2), "n_sensors": F.lit(log["sensors"]), "n_errors": F.lit(log["errors"])}
+    ).withColumns({name: F.col(name).cast("bigint") for name in ("n_locations", "n_sensors", "n_errors")})
+
+
 @query(f"""
     WITH {_SITES_SQL}
     SELECT location_id, coalesce(failure, 'none') AS error_message, failure IS NULL AS succeeded FROM answers
