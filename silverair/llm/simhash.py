@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -38,13 +38,17 @@ def fingerprint(text: str, words: int) -> int:
 def fingerprints(docs: DataFrame, words: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Id and ``fingerprint`` (64 bits as a signed long) of every row."""
 
+    return map_texts(docs, id_column, text_column, "fingerprint long", _prints(words))
+
+
+def _prints(words: int) -> Callable:
     def worker():
         def work(texts: list[str]) -> list[np.ndarray]:
             return [np.array([fingerprint(t, words) for t in texts], "<u8").view("<i8")]
 
         return work
 
-    return map_texts(docs, id_column, text_column, "fingerprint long", worker)
+    return worker
 
 
 def block_masks(distance: int) -> list[int]:
@@ -125,14 +129,46 @@ def components(
     repeated results.
     """
     prints = materialise(fingerprints(docs, words, id_column, text_column), "simhash")
-    nodes = prints.groupBy("fingerprint").agg(F.min(id_column).alias("smallest"))
-    nodes = materialise(nodes, "simhash-nodes")
+    nodes = materialise(prints.groupBy("fingerprint").agg(F.min(id_column).alias("smallest")), "simhash-nodes")
+    grouped = nodes.join(roots(nodes, distance), "fingerprint")
+    smallest = grouped.groupBy("root").agg(F.min("smallest").alias("component_id"))
+    known = grouped.join(smallest, "root").select("fingerprint", "component_id")
+    return prints.join(known, "fingerprint").select(id_column, "fingerprint", "component_id")
+
+
+def roots(nodes: DataFrame, distance: int) -> DataFrame:
+    """``root`` of every distinct ``fingerprint``: the smallest one that links lead to."""
     # Fingerprints are the nodes of the graph: they exist for rows without id too.
     linked = nodes.select(F.col("fingerprint").alias("node"), "fingerprint")
     labels = smallest_reachable(materialise(close_links(linked, distance).distinct(), "simhash-links"))
-    grouped = nodes.join(labels.select(F.col("node").alias("fingerprint"), "root"), "fingerprint", "left").select(
-        "fingerprint", "smallest", F.coalesce("root", "fingerprint").alias("root")
+    labels = labels.select(F.col("node").alias("fingerprint"), "root")
+    return nodes.select("fingerprint").join(labels, "fingerprint", "left").select(
+        "fingerprint", F.coalesce("root", "fingerprint").alias("root")
     )
-    smallest = grouped.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    known = grouped.join(smallest, "root").select("fingerprint", "component_id")
-    return prints.join(known, "fingerprint").select(id_column, "fingerprint", "component_id")
+
+
+def first_of_each(
+    docs: DataFrame,
+    words: int = 3,
+    distance: int = 3,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """One row of each component, with its ``columns`` (all by default).
+
+    It is the row with the smallest id; rows without id come last, and rows of one
+    id go by a digest of all columns. Ids need be neither unique nor there: rows that are not
+    linked all stay, whatever their ids. Of equal rows one stays.
+    """
+    columns = list(columns or docs.columns)
+    row = F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+    marked = docs.select(*columns, row.alias("row_digest"))
+    printed = map_texts(marked, id_column, text_column, "row_print long", _prints(words), carry=[*columns, "row_digest"])
+    # Written with a place per row, so that the choice reads short columns only.
+    rows = materialise(printed.withColumn("row_place", F.monotonically_increasing_id()), "simhash-rows")
+    nodes = materialise(rows.select(F.col("row_print").alias("fingerprint")).distinct(), "simhash-nodes")
+    keyed = rows.join(roots(nodes, distance).withColumnRenamed("fingerprint", "row_print"), "row_print")
+    order = F.struct(F.col(id_column).isNull(), F.col(id_column), F.col("row_digest"), F.col("row_place"))
+    kept = keyed.groupBy("root").agg(F.min_by("row_place", order).alias("row_place")).select("row_place")
+    return rows.join(kept, "row_place", "left_semi").select(*columns)

@@ -10,6 +10,7 @@ from silverair.llm import quality_rules as rules
 from silverair.llm import decontamination, sentencepiece_codec, simhash, suffix_dedup
 from silverair.llm.fitting import fold
 from silverair.llm.queries import PIECES
+from silverair.operators.lookup import lookup_join
 from silverair.session import configure
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -24,15 +25,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The document with the smallest id of each component; one of its rows if that id repeats.
+    """One document of each component: that with the smallest id, null ids last, those of one id by a digest of the row.
 
-    Components are those of the 3-bit rule, which misses most pairs of a five-word
-    Jaccard near 0.8 (figures in the README).
+    Components are those of the 3-bit rule of the operator's contract, which misses most
+    pairs of a five-word Jaccard near 0.8 (figures in the README). Documents that no link
+    joins all stay, also where they share an id or have none.
     """
     configure(spark)
-    found = simhash.components(docs)
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    return simhash.first_of_each(docs, columns=COLUMNS)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -51,7 +51,15 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> Dat
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that share no window with an item of ``benchmark``."""
+    """Documents that share no window with an item of ``benchmark``.
+
+    Rows are told apart by a digest of all their columns, not by id, so a leak goes
+    whatever its id, and no other text goes with it.
+    """
     configure(spark)
-    found = decontamination.leaks(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    marked = docs.select(*COLUMNS).withColumn("row_digest", F.sha2(F.to_json(F.struct(*COLUMNS), {"ignoreNullFields": "false"}), 256))
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    found = decontamination.leaks(marked, benchmark, id_column="row_digest").select("row_digest").distinct()
+    # Broadcast if it is measured to be small, else joined by salted digests.
+    leaked = lookup_join(marked, found.withColumn("leaked", F.lit(True)), ["row_digest"], ["row_digest"], "left")
+    return leaked.where(F.col("leaked").isNull()).select(*COLUMNS)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import time
 import tracemalloc
 from collections import Counter, defaultdict
 
@@ -18,6 +20,7 @@ from hypothesis import strategies as st
 from silverair.llm import decontamination, simhash, suffix_dedup
 from silverair.llm.components import smallest_reachable
 from silverair.llm.queries import QUERIES
+from silverair.session import materialise
 
 
 def plain_fingerprint(text: str) -> int:
@@ -194,7 +197,10 @@ def plain_leaks(docs: list[tuple], items: list[tuple]) -> dict:
     return found
 
 
-def test_leaks_equal_brute_force(spark):
+@pytest.mark.parametrize("bound", [decontamination.BROADCAST_SEEDS, 0])
+def test_leaks_equal_brute_force(spark, bound, monkeypatch):
+    """Both joins, and pieces shorter than the texts."""
+    monkeypatch.setattr(decontamination, "PIECE", 5 if bound else 16)
     item = [f"w{i}" for i in range(40)]
     changed = item.copy()
     for k in range(3, 40, 6):
@@ -219,13 +225,29 @@ def test_leaks_equal_brute_force(spark):
     ]
     frame = spark.createDataFrame([(*d, 1, 2) for d in docs], "doc_id long, text string, item_id long, seed long")
     bench = spark.createDataFrame([(*i, "x") for i in items], "item_id long, text string, doc_id string")
-    got = decontamination.leaks(frame, bench)
+    got = decontamination.leaks(frame, bench, broadcast_seeds=bound)
     assert {(r.doc_id, r.item_id): (r.matched, r.first_token, r.last_token) for r in got.collect()} == plain_leaks(docs, items)
     assert got.columns == ["doc_id", "item_id", "matched", "window", "first_token", "last_token"]
     assert decontamination.leaks(frame.limit(0), bench).count() == 0
     assert decontamination.leaks(frame, bench.limit(0)).count() == 0
 
 
+def test_a_long_text_costs_what_its_tokens_cost_in_many_texts(spark, documents):
+    """The same 200,000 tokens in 2,000 texts and in one."""
+    deal = random.Random(9)
+    words = [f"w{deal.randrange(50_000)}" for _ in range(200_000)]
+    many = [(i, " ".join(words[i * 100 : i * 100 + 100])) for i in range(2_000)]
+    bench = spark.createDataFrame([(1, " ".join(words[500:540]))], "item_id long, text string")
+    times = []
+    for rows in (many, many, [(0, " ".join(words))]):
+        frame = materialise(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+        start = time.perf_counter()
+        found = decontamination.leaks(frame, bench).collect()
+        times.append(time.perf_counter() - start)
+        assert found
+    assert times[2] < 3 * times[1]
+
+
 def test_every_pair_of_changes_leaves_a_seed():
     for n, changes in ((13, 2), (12, 1), (9, 1), (8, 0), (7, 0)):
         spots = [(a, b) for a in range(n) for b in range(n)] if changes == 2 else [(a, a) for a in range(n)] if changes else [(n, n)]

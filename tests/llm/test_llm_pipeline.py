@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import public_tokenizers
 import pytest
 from silverair.llm import sentencepiece_codec, stages
@@ -76,3 +78,41 @@ def test_stages_take_empty_and_odd_tables(spark, folder, edge):
             made = stage(spark, docs, folder)
             assert made.columns == list(stages.COLUMNS), name
             assert made.count() <= docs.count()
+
+
+def words(seed: int, n: int) -> str:
+    deal = random.Random(seed)
+    return " ".join("".join(deal.choice("abdeilmnorstu") for _ in range(deal.randint(3, 9))) for _ in range(n))
+
+
+def as_documents(spark, rows):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    return spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], schema)
+
+
+def test_ids_decide_nothing_about_unlinked_documents(spark, folder):
+    """Null ids and one id for different texts: every text stays, of copies one."""
+    texts = [words(40 + i, 80) for i in range(5)]
+    rows = [*zip((None, None, 5, 5, 6), texts, strict=True), (None, texts[2]), (7, texts[0]), (9, texts[4]), (9, texts[4])]
+    kept = stages.simhash_near_dedup(spark, as_documents(spark, rows), folder).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted(
+        [("7", texts[0]), ("None", texts[1]), ("5", texts[2]), ("5", texts[3]), ("6", texts[4])]
+    )
+    assert all(r.n_chars == len(r.text) for r in kept)
+
+
+def test_leaks_go_whatever_their_id_and_nothing_goes_with_them(spark, folder):
+    item = spark.read.parquet(f"{folder}/benchmark.parquet").orderBy("item_id").first().text
+    clean = [words(60 + i, 40) for i in range(3)]
+    rows = [(None, f"{clean[0]} {item}"), (None, clean[0]), (5, f"{item} {clean[1]}"), (5, clean[1]), (6, clean[2]), (6, clean[2])]
+    kept = stages.benchmark_decontamination(spark, as_documents(spark, rows), folder).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("None", clean[0]), ("5", clean[1]), ("6", clean[2]), ("6", clean[2])])
+
+
+def test_odd_rows_are_kept_one_by_one(spark, folder, edge):
+    """Of the edge rows, near-duplicate removal keeps one per component, and decontamination keeps all."""
+    rows = [(r.doc_id, r.text or "") for r in edge.collect()]
+    prints = [plain_fingerprint(t) for _, t in rows]
+    groups = plain_components(prints, list(range(len(rows))))
+    assert stages.simhash_near_dedup(spark, edge, folder).count() == len(set(groups))
+    assert stages.benchmark_decontamination(spark, edge, folder).count() == len(rows)
