@@ -1,10 +1,8 @@
 """Exact removal of repeated byte strings, keeping the first copy.
 
 A byte goes if it lies in a string of 50 bytes that also starts in a document with
-a smaller id. No longest-previous-factor array and no previous or next smaller values
-are built: the rule asks only whether 50 bytes match, not for the longest match, so
-ranks of suffixes cut at 50 bytes tell the same. One suffix array over all texts cannot
-be dealt out, so the suffixes are dealt out first:
+a smaller id, that is, where the longest previous factor has 50 bytes. One suffix
+array over all texts cannot be dealt out, so the suffixes are dealt out first:
 
 0. Texts that equal one with a smaller id are covered wholly and add no string, so
    a group of copies is one text from here on.
@@ -14,15 +12,17 @@ be dealt out, so the suffixes are dealt out first:
 2. Runs whose minimizer occurs in one document only are dropped, which leaves the
    share of the text that repeats.
 3. The bytes of the other runs go to their buckets, each distinct run once per
-   batch. There the suffixes are ranked by prefix doubling to a depth of 50 bytes,
-   and sorted by rank and document. The first suffix of a rank has the smallest
-   document, which is an earlier match of 50 bytes for all others of that rank.
+   batch, and count there for the smallest document that has them. The suffixes of
+   the bucket are sorted by prefix doubling, with the longest common prefix of
+   neighbours. In that order, the previous and the next position with a smaller
+   document hold the longest matches with earlier documents; the larger of the two is
+   the longest previous factor (LPF). Later occurrences of a run are covered wholly.
 4. Covered ranges go back to their documents and are cut out.
 
 Buckets grow in number with the input, not in size. The occurrences of one run in
 very many documents do meet in one bucket and are not salted. They are held packed
-and as arrays there, some 50 bytes each; an occurrence whose windows all match is one
-range, and the windows of the others are looked at OCCURRENCES at a time.
+and as arrays there, some 50 bytes each; a later occurrence is one range, and the
+windows of the first ones are looked at OCCURRENCES at a time.
 """
 
 from __future__ import annotations
@@ -42,6 +42,8 @@ GRAM = 20
 GRAMS = LENGTH - GRAM + 1
 USED = ("text", "ranges", "copied")
 LONGEST_RUN = 255  # longer runs of one minimizer are cut, so that a length fits a byte
+END = b"\xff"  # no byte of UTF-8; ends every run of a bucket
+DEPTH = LONGEST_RUN + LENGTH  # bytes of the longest run and its END
 BUCKET_BYTES = 2_000_000
 # Occurrences whose windows are expanded at once. It bounds memory only.
 OCCURRENCES = 4096
@@ -175,21 +177,64 @@ def emit_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield table(rows, kinds, names)
 
 
-def ranks(data: np.ndarray) -> np.ndarray:
-    """Rank of each suffix by its first LENGTH bytes, by prefix doubling; equal ranks mean equal bytes."""
-    eight = np.unique(eights(data), return_inverse=True)[1]
-    rank, depth = eight, 8
-    while depth < LENGTH:
-        step = min(depth, LENGTH - depth)
-        pair = rank[:-step] * (len(data) + 1) + rank[step:]
-        rank, depth = np.unique(pair, return_inverse=True)[1], depth + step
-    return rank
+class Suffixes:
+    """Order of the suffixes of ``data`` by prefix doubling, to a depth that no run exceeds."""
+
+    def __init__(self, data: bytes) -> None:
+        # Every position has 2 * DEPTH bytes behind it.
+        self.first = eights(np.frombuffer(data + END * (2 * DEPTH + 8), np.uint8)).byteswap()
+        rank, depth = np.unique(self.first, return_inverse=True)[1], 8
+        self.levels = [(depth, rank)]
+        while depth < DEPTH:
+            step = min(depth, DEPTH - depth)
+            pair = rank[:-step] * (len(self.first) + 1) + rank[step:]
+            rank, depth = np.unique(pair, return_inverse=True)[1], depth + step
+            self.levels.append((depth, rank))
+
+    def common_prefix(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Length of the longest common prefix of the suffixes at ``a`` and ``b``, up to DEPTH at least."""
+        length = np.zeros(len(a), np.int64)
+        for depth, rank in reversed(self.levels):
+            within = length < DEPTH
+            same = rank[np.where(within, a + length, 0)] == rank[np.where(within, b + length, 0)]
+            length += depth * (within & same)
+        # Fewer than eight bytes are left: the leading zero bytes of what differs.
+        rest = length < DEPTH
+        differs = self.first[a[rest] + length[rest]] ^ self.first[b[rest] + length[rest]]
+        zeros = np.zeros(len(differs), np.int64)
+        for step in (4, 2, 1):
+            blank = differs >> np.uint64(64 - 8 * step) == 0
+            zeros += step * blank
+            differs = np.where(blank, differs << np.uint64(8 * step), differs)
+        length[rest] += zeros
+        return length
+
+
+def previous_smaller(values: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The last position before each with a smaller value (-1: none), and the least of ``common`` on the way.
+
+    ``common[i]`` belongs to the step from ``i - 1`` to ``i``. All positions jump at
+    once, each as far as the one that it points to, so ways double every round.
+    """
+    at, least = np.arange(len(values)) - 1, common.copy()
+    active = np.flatnonzero(at >= 0)
+    while len(active := active[(at[active] >= 0) & (values[at[active]] >= values[active])]):
+        over = at[active]
+        least[active], at[active] = np.minimum(least[active], least[over]), at[over]
+    return at, np.where(at >= 0, least, 0)
+
+
+def longest_previous_factor(values: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """For suffixes in order: the longest prefix that one with a smaller value (document) has too."""
+    before = previous_smaller(values, common)[1]
+    behind = previous_smaller(values[::-1], np.append(0, common[:0:-1]))[1][::-1]
+    return np.maximum(before, behind)
 
 
 def earlier_matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Byte ranges of each document that 50-byte strings with an earlier copy cover."""
     for _, rows in each_bucket(batches):
-        # Each distinct run of the bucket once, with the smallest document that has it.
+        # Each distinct run of the bucket once.
         known: dict[bytes, int] = {}
         run, doc, at = [], [], []
         for _, data, sizes, local, docs, places in rows:
@@ -203,28 +248,31 @@ def earlier_matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         smallest = np.full(len(size), np.iinfo(np.int64).max)
         np.minimum.at(smallest, run, doc)
 
-        # Suffixes by their first 50 bytes, then by document.
-        rank = ranks(np.frombuffer(b"".join(known), np.uint8))
-        begin = np.cumsum(size) - size
+        # Suffixes that windows start, in their order.
+        suffixes = Suffixes(END.join(known))
+        begin = np.cumsum(size + 1) - size - 1
         windows = size - LENGTH + 1
-        owner = np.repeat(np.arange(len(size)), windows)
-        offset = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-        rank = rank[begin[owner] + offset]
-        suffixes = np.lexsort((smallest[owner], rank))
-        heads = np.flatnonzero(np.append(True, np.diff(rank[suffixes]) != 0))
-        # The first of equal suffixes has the smallest document, so it is everyone's earlier match.
-        match = np.empty(len(rank), np.int64)
-        match[suffixes] = np.repeat(smallest[owner[suffixes[heads]]], np.diff(np.append(heads, len(rank))))
-
-        # A run's occurrence is covered wholly, if all windows match in smaller documents, or window by window.
         head = np.cumsum(windows) - windows
-        worst, best = np.maximum.reduceat(match, head), np.minimum.reduceat(match, head)
-        whole = worst[run] < doc
-        for some in parts(np.flatnonzero(whole), 16 * OCCURRENCES):
+        owner = np.repeat(np.arange(len(size)), windows)
+        offset = np.arange(windows.sum()) - np.repeat(head, windows)
+        start = begin[owner] + offset
+        order = np.argsort(suffixes.levels[-1][1][start], kind="stable")
+        # A match ends where one of the two runs does.
+        left = (size[owner] - offset)[order]
+        common = np.zeros(len(order), np.int64)
+        common[1:] = suffixes.common_prefix(start[order[:-1]], start[order[1:]])
+        common[1:] = np.minimum(common[1:], np.minimum(left[:-1], left[1:]))
+        factor = np.empty(len(order), np.int64)
+        factor[order] = longest_previous_factor(smallest[owner[order]], common)
+        covered = factor >= LENGTH
+
+        # Behind its smallest document a run is covered wholly, there window by window.
+        for some in parts(np.flatnonzero(doc > smallest[run]), 16 * OCCURRENCES):
             low = at[some, 0].astype(np.int64)
             yield ranges_of(doc[some], at[some, 1], low, low + size[run[some]])
-        for some in parts(np.flatnonzero(~whole & (best[run] < doc)), OCCURRENCES):
-            yield ranges_of(*matching_ranges(run[some], doc[some], at[some], match, head, windows))
+        some_covered = np.logical_or.reduceat(covered, head)
+        for some in parts(np.flatnonzero((doc == smallest[run]) & some_covered[run]), OCCURRENCES):
+            yield ranges_of(*matching_ranges(run[some], doc[some], at[some], covered, head, windows))
 
 
 def parts(numbers: np.ndarray, length: int) -> Iterator[np.ndarray]:
@@ -237,14 +285,14 @@ def ranges_of(*columns: np.ndarray) -> pa.RecordBatch:
 
 
 def matching_ranges(
-    run: np.ndarray, doc: np.ndarray, at: np.ndarray, match: np.ndarray, head: np.ndarray, windows: np.ndarray
+    run: np.ndarray, doc: np.ndarray, at: np.ndarray, covered: np.ndarray, head: np.ndarray, windows: np.ndarray
 ) -> tuple[np.ndarray, ...]:
-    """Document, tag and byte ranges of the windows of these occurrences that match in a smaller document."""
+    """Document, tag and byte ranges of the covered windows of these occurrences."""
     total = windows[run]
     place = np.repeat(np.arange(len(run)), total)
     step = np.arange(total.sum()) - np.repeat(np.cumsum(total) - total, total)
-    covered = match[head[run[place]] + step] < doc[place]
-    place, step = place[covered], step[covered]
+    kept = covered[head[run[place]] + step]
+    place, step = place[kept], step[kept]
     first = np.flatnonzero(np.append(True, (np.diff(place) != 0) | (np.diff(step) != 1))) if len(place) else place
     last = np.append(first[1:], len(place))[: len(first)] - 1
     owner = place[first]

@@ -138,6 +138,45 @@ def test_equal_windows_have_equal_minimizers(data, shift):
     assert sum(c for c in suffix_dedup.runs(np.frombuffer(data, np.uint8))[2]) == max(0, len(data) - 49)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 9)), min_size=1, max_size=60))
+def test_previous_smaller_positions_equal_a_walk(steps):
+    values, common = (np.array(x) for x in zip(*steps, strict=True))
+    at, least = suffix_dedup.previous_smaller(values, common)
+    for i, v in enumerate(values):
+        smaller = [j for j in range(i) if values[j] < v]
+        assert at[i] == (smaller[-1] if smaller else -1)
+        assert least[i] == (min(common[smaller[-1] + 1 : i + 1]) if smaller else 0)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.text("ab", min_size=1, max_size=40)), min_size=1, max_size=6), st.integers(0, 300))
+def test_longest_previous_factors_equal_brute_force(runs, common_start):
+    """Runs (document, text) in one bucket; some begin with the same long string."""
+    content = [(d, ("xyz" * 100)[:common_start].encode() + t.encode()) for d, t in runs]
+    content = [(d, c[: suffix_dedup.DEPTH - 1]) for d, c in content]
+    suffixes = suffix_dedup.Suffixes(suffix_dedup.END.join(c for _, c in content))
+    begin = np.cumsum([0] + [len(c) + 1 for _, c in content[:-1]])
+    places = [(r, k) for r, (_, c) in enumerate(content) for k in range(len(c))]
+    start = np.array([begin[r] + k for r, k in places])
+    order = np.argsort(suffixes.levels[-1][1][start], kind="stable")
+    tails = [content[r][1][k:] for r, k in places]
+    assert [tails[i] + b"\xff" for i in order] == sorted(t + b"\xff" for t in tails)
+
+    def prefix(a: bytes, b: bytes) -> int:
+        return next((n for n, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+
+    left = np.array([len(t) for t in tails])[order]
+    common = np.zeros(len(order), np.int64)
+    common[1:] = np.minimum(np.minimum(left[:-1], left[1:]), suffixes.common_prefix(start[order[:-1]], start[order[1:]]))
+    assert [*common[1:]] == [prefix(tails[i], tails[j]) for i, j in zip(order, order[1:], strict=False)]
+    doc = np.array([content[r][0] for r, _ in places])
+    factor = suffix_dedup.longest_previous_factor(doc[order], common)
+    if len(order) < 400:
+        want = [max((prefix(tails[i], tails[j]) for j in order if doc[j] < doc[i]), default=0) for i in order]
+        assert [*factor] == want
+
+
 def test_a_run_in_very_many_documents_is_not_expanded_to_windows():
     n, content = 20_000, bytes(i * 7 % 251 for i in range(250))
     doc, at = np.arange(n, dtype="<i8"), np.column_stack([np.arange(n), np.full(n, 5)]).astype("<u4")
