@@ -1,7 +1,7 @@
 """Quality rules: counts of a text, and a calibrated n-gram model over hashed words and characters.
 
 The model is a logistic regression on the mean weight of hashed word n-grams
-(one and two words) and byte n-grams (three and five bytes). It is fitted on a
+(one and two words) and of characters (three and five code points). It is fitted on a
 bounded labelled sample and calibrated on rows kept out of the fit.
 """
 
@@ -20,7 +20,7 @@ from silverair.llm.fitting import adam, labelled_sample, logistic, logit, sigmoi
 BUCKET_BITS = 18
 OUTSIDE = 1 << BUCKET_BITS  # bucket without weight
 CHAR_ORDERS = (3, 5)
-PAD = 8  # zero bytes behind each text, so that no n-gram holds two texts
+PAD = 8  # zero bytes and characters behind each text, so that no n-gram holds two texts
 WINDOW = 8
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -45,6 +45,9 @@ class Batch:
         self.raw = raw
         self.bytes = np.frombuffer(b"".join(r + bytes(PAD) for r in raw), np.uint8)
         self.starts = np.cumsum([0] + [len(r) + PAD for r in raw[:-1]]) if raw else np.zeros(0, int)
+        self.sizes = np.array([len(t) for t in texts], np.int64)
+        self.codes = np.frombuffer("".join(t + "\0" * PAD for t in texts).encode("utf-32-le"), np.uint32)
+        self.heads = np.cumsum([0, *(self.sizes[:-1] + PAD)]) if raw else np.zeros(0, int)
         words = [r.split() for r in raw]
         self.counts = np.array([len(w) for w in words], np.int64)
         table: dict[bytes, int] = {}
@@ -65,23 +68,22 @@ class Batch:
             kinds.append((_bucket(pairs, 2), self.text_of_word[:-1][inside]))
         return kinds
 
-    def hashed_bytes(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Bucket of every byte n-gram, and the number of n-grams of each text.
+    def hashed_characters(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Bucket of every character n-gram, and the number of n-grams of each text.
 
-        N-grams run one byte into the padding, which marks the end of the text.
+        N-grams run one character into the padding, which marks the end of the text.
         Those that lie further behind it get the bucket OUTSIDE.
         """
-        sizes = np.array([len(r) for r in self.raw], np.int64)
         kinds = []
         for order in CHAR_ORDERS:
-            n = len(self.bytes) - order + 1
+            n = len(self.codes) - order + 1
             gram = np.zeros(n, np.uint64)
             for k in range(order):
-                gram |= self.bytes[k : k + n].astype(np.uint64) << np.uint64(8 * k)
-            counts = np.maximum(sizes - order + 2, 0)
+                gram = gram * MIX + self.codes[k : k + n]
+            counts = np.maximum(self.sizes - order + 2, 0)
             buckets = _bucket(gram, order + 10)
-            behind = self.starts[:, None] + (sizes + PAD - 1)[:, None] - np.arange(PAD + order - 2)
-            behind = behind[behind >= (self.starts + counts)[:, None]]
+            behind = self.heads[:, None] + (self.sizes + PAD - 1)[:, None] - np.arange(PAD + order - 2)
+            behind = behind[behind >= (self.heads + counts)[:, None]]
             buckets[behind[behind < n]] = OUTSIDE
             kinds.append((buckets, counts))
         return kinds
@@ -132,8 +134,8 @@ class Model:
         for buckets, text in batch.hashed_words():
             n = np.bincount(text, minlength=len(batch.raw))
             total += np.bincount(text, self.weights[buckets], len(batch.raw)) / np.maximum(n, 1)
-        for buckets, counts in batch.hashed_bytes():
-            total += np.add.reduceat(self.weights[buckets], batch.starts) / np.maximum(counts, 1)
+        for buckets, counts in batch.hashed_characters():
+            total += np.add.reduceat(self.weights[buckets], batch.heads) / np.maximum(counts, 1)
         return total
 
     def scores(self, batch: Batch) -> np.ndarray:
@@ -152,7 +154,7 @@ def fit(texts: list[str], labels: list[int], steps: int = 80, penalty: float = 1
     columns, values, ends = [], [], [0]
     for text in fitted:
         batch = Batch([text])
-        kinds = [b for b, _ in batch.hashed_words()] + [b[b != OUTSIDE] for b, _ in batch.hashed_bytes()]
+        kinds = [b for b, _ in batch.hashed_words()] + [b[b != OUTSIDE] for b, _ in batch.hashed_characters()]
         found = [np.unique(b, return_counts=True) for b in kinds]
         columns.append(np.concatenate([f for f, _ in found]))
         values.append(np.concatenate([n / max(1, len(b)) for b, (_, n) in zip(kinds, found, strict=True)]))

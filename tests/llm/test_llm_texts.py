@@ -181,3 +181,49 @@ def test_stems_with_many_endings_are_toxic_beside_a_frequent_insult():
     assert {"stupid", "clown", "bomente"} <= set(model.toxic)
     reached, n = toxicity.Comparison(model).counts(["home bomentexyz hill", "home bom hill"])
     assert reached[:, -1].tolist() == [1, 0] and n.tolist() == [3, 3]
+
+
+def plain_bucket(value: int, kind: int) -> int:
+    mix = 0x9E3779B97F4A7C15
+    mixed = (value ^ value >> 29 ^ kind * 0x5851F42D4C957F2D % 2**64) * mix % 2**64
+    return (mixed ^ mixed >> 32) * mix % 2**64 >> 64 - quality_rules.BUCKET_BITS
+
+
+def plain_quality(text: str, model: quality_rules.Model) -> float:
+    """The score from lists of n-grams: words, pairs, and three and five characters with the end of the text."""
+    mix = 0x9E3779B97F4A7C15
+    hashes = [zlib.crc32(w) for w in text.encode().split()]
+    kinds = [[plain_bucket(w, 1) for w in hashes], [plain_bucket((a * mix + b) % 2**64, 2) for a, b in zip(hashes, hashes[1:], strict=False)]]
+    for n in (3, 5):
+        ended = text + "\0"
+        grams = [ended[i : i + n] for i in range(len(ended) - n + 1)]
+        kinds.append([plain_bucket(sum(ord(c) * pow(mix, n - 1 - k, 2**64) for k, c in enumerate(g)) % 2**64, n + 10) for g in grams])
+    raw = model.intercept + sum(sum(model.weights[b] for b in kind) / max(1, len(kind)) for kind in kinds)
+    slope, shift = model.calibration
+    return 1 / (1 + np.exp(-(slope * raw + shift)))
+
+
+def test_fitted_quality_scores_equal_plain_code(spark, folder, documents):
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    model = quality_rules.fit_rules(documents, labels)
+    assert np.count_nonzero(model.weights) > 1000 and model.calibration[0] > 0
+    texts = [r.text for r in documents.collect()][:40] + ["", "é", "\0\0\0", "ß ü 中文字", "a\x00b \U0001f600"]
+    for some in (texts, texts[-5:], texts[:1]):
+        got = quality_rules.judge(some, model)
+        assert got[6] == pytest.approx([plain_quality(t, model) for t in some], abs=1e-9)
+        assert list(got[7]) == [bool(not f and q >= 0.3) for f, q in zip(got[5], got[6], strict=True)]
+
+
+def test_character_grams_are_of_characters():
+    """Umlauts count once: texts that differ in one letter share all n-grams that do not hold it."""
+    a, b = (quality_rules.Batch([t]).hashed_characters() for t in ("grün und blau", "gran und blau"))
+    for (x, n), (y, m), order in zip(a, b, (3, 5), strict=True):
+        assert n == m == 13 - order + 2 and (x != y).sum() == min(order, 3)
+
+
+def test_quality_rules_meet_held_out_labels(spark):
+    folder = "/root/testdata/sf0.01"
+    got = {r.doc_id: r for r in QUERIES["op3_quality_rules"](spark, folder).collect()}
+    labels = [(r.doc_id, r.quality) for r in spark.read.parquet(f"{folder}/labels.parquet").collect()]
+    met = [(got[i].score >= 0.3) == (y == 1) for i, y in labels if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert len(met) > 50 and sum(met) / len(met) >= 0.9
