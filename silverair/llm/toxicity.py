@@ -1,15 +1,15 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are built: windows typical of ordinary text, and the
-same followed by windows typical of toxic text. A window is toxic if it
-compresses to fewer bytes with the second one by a margin. Windows are runs of
-letters, lower-cased, inside a fixed frame: without it, so short a text would not
-be compressed at all. Each distinct window is compressed once per task.
-
-Toxic entries are windows or their beginnings, since a stem with many endings has
-no typical window. Sizes are whole bytes, in which a stem hardly differs from
-ordinary text, so windows that begin with an entry are counted beside the margins,
-as a number and as a share of the text.
+Two zstandard dictionaries are built, one of windows typical of ordinary text and
+one of windows typical of toxic text. Each window of a text is compressed with both:
+what it takes fewer bytes with the toxic one is its gain. Windows are runs of
+letters, lower-cased, inside a fixed frame, which a match with a dictionary takes
+in. Short windows gain a byte or two by chance, so gains are counted by the length of
+the window, and a logistic regression over these counts is the calibrated
+threshold. Nothing else enters the score. Each distinct window is compressed once per task.
+
+Toxic dictionary entries are windows or their beginnings, since a stem with many endings
+has no typical window.
 """
 
 from __future__ import annotations
@@ -27,12 +27,16 @@ from silverair.llm.fitting import labelled_sample, logistic, logit, sigmoid
 
 WINDOW = re.compile(r"[^\W\d_]+")
 FRAME = b"\n\n\n\n"
-LEAD_WINDOWS = 6
 # Windows of more characters are cut into pieces of this length; none is dropped.
 LONGEST = 64
-# Beginnings of windows from this length on may be entries.
+# Beginnings of windows from this length on may be dictionary entries.
 SHORTEST_STEM = 4
-MARGINS = np.arange(2, 8)
+# Gains in bytes that are counted, apart for windows of up to so many bytes and for longer ones.
+MARGINS = np.arange(2, 6)
+LENGTHS = np.array([5, 7, 9])
+COUNTS = len(MARGINS) * (len(LENGTHS) + 1)
+# A window that gains so much is reported as toxic.
+REPORTED = 3
 # Entries of the table of compared windows that a task keeps. It bounds memory only.
 TABLE_ENTRIES = 600_000
 
@@ -59,25 +63,25 @@ def pieces(text: str) -> Counter:
 
 @dataclass
 class Dictionaries:
-    """Ordinary windows and toxic entries, typical ones last, and the weights of the calibration."""
+    """Ordinary and toxic windows, typical ones last, and the weights of the calibration."""
 
     ordinary: list[str]
     toxic: list[str]
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(2 * len(MARGINS) + 3))
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(2 * COUNTS + 1))
 
 
 class Comparison:
     """How many bytes fewer a window takes with the toxic dictionary."""
 
     def __init__(self, model: Dictionaries) -> None:
-        shared = FRAME + b"".join(w.encode() + FRAME for w in model.ordinary)
-        self.lead = FRAME + b"".join(w.encode() + FRAME for w in model.ordinary[-LEAD_WINDOWS:])
-        self.ordinary = _compressor(shared)
-        self.toxic = _compressor(shared + b"".join(w.encode() + FRAME for w in model.toxic))
-        self.entries = set(model.toxic)
+        self.ordinary, self.toxic = (_compressor(_framed(w)) for w in (model.ordinary, model.toxic))
         self.known: set[str] = set()
-        # Windows that gain a margin or begin with an entry: gain, and whether an entry begins them.
-        self.found: dict[str, tuple[int, bool]] = {}
+        # Windows that gain the least margin, and their gain and group of length.
+        self.found: dict[str, tuple[int, int]] = {}
+
+    def gain(self, window: str) -> int:
+        framed = FRAME + window.encode() + FRAME
+        return len(self.ordinary.compress(framed)) - len(self.toxic.compress(framed))
 
     def learn(self, found: set[str]) -> None:
         if len(self.known) > TABLE_ENTRIES:
@@ -86,20 +90,25 @@ class Comparison:
         new = found - self.known
         self.known |= new
         for window in new:
-            framed = self.lead + window.encode() + FRAME
-            gain = len(self.ordinary.compress(framed)) - len(self.toxic.compress(framed))
-            begins = not self.entries.isdisjoint(beginnings(window))
-            if begins or gain >= MARGINS[0]:
-                self.found[window] = gain, begins
-
-    def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Texts x MARGINS, windows that gain the margin or more, then those that begin with an entry; and the number of windows."""
+            gain = self.gain(window)
+            if gain >= MARGINS[0]:
+                self.found[window] = gain, int(np.searchsorted(LENGTHS, len(window.encode())))
+
+    def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Texts x COUNTS, windows of a length that gain the margin or more; the windows, and those reported as toxic."""
         split = [windows(t) for t in texts]
         self.learn(set().union(*split))
-        found = self.found
-        hits = [[found[w] for w in part if w in found] for part in split]
-        reached = np.array([[*(sum(g >= m for g, _ in part) for m in MARGINS), sum(b for _, b in part)] for part in hits], float)
-        return reached.reshape(-1, len(MARGINS) + 1), np.array([len(part) for part in split])
+        reached = np.zeros((len(texts), len(LENGTHS) + 1, len(MARGINS)))
+        toxic = np.zeros(len(texts), np.int64)
+        for i, part in enumerate(split):
+            for gain, group in (self.found[w] for w in part if w in self.found):
+                reached[i, group, : gain - MARGINS[0] + 1] += 1
+                toxic[i] += gain >= REPORTED
+        return reached.reshape(len(texts), COUNTS), np.array([len(part) for part in split], np.int64), toxic
+
+
+def _framed(entries: list[str]) -> bytes:
+    return FRAME + b"".join(w.encode() + FRAME for w in entries)
 
 
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
@@ -135,8 +144,8 @@ def fit(texts: list[str], labels: list[int], least: float = 20.0, ordinary_windo
 
     A piece is typical of toxic text if the ratio of the texts that have it, once or
     repeatedly, reaches ``least``, however frequent others are. Of pieces that begin
-    each other, the one with the largest ratio is an entry. Ordinary windows are
-    those that most ordinary texts have.
+    each other, the one with the largest ratio is taken. Ordinary windows are those that
+    most ordinary texts have.
     """
     y = np.array(labels, int)
     held = np.arange(len(y)) % 3 == 2
@@ -162,15 +171,15 @@ def fit(texts: list[str], labels: list[int], least: float = 20.0, ordinary_windo
     common = sorted((w for w in whole if entries.isdisjoint(beginnings(w))), key=lambda w: (whole[w], w))
     model = Dictionaries(common[-ordinary_windows:], chosen[::-1])
     if held.any() and 0 < y[held].mean() < 1:
-        counts = Comparison(model).counts([t for t, h in zip(texts, held, strict=True) if h])
-        model.weights = logistic(_features(*counts), y[held], 1e-4)
+        reached, n, _ = Comparison(model).counts([t for t, h in zip(texts, held, strict=True) if h])
+        model.weights = logistic(_features(reached, n), y[held], 1e-3)
     else:
         model.weights[-1] = logit(np.array(y.mean() if len(y) else 0.5))
     return model
 
 
 def _features(reached: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Counts, and counts for a hundred windows; a text without toxic windows has zeros."""
+    """Counts, and counts for a hundred windows; a text without gains has zeros."""
     return np.log1p(np.column_stack([reached, 100 * reached / (n[:, None] + 20)]))
 
 
@@ -183,7 +192,7 @@ def fit_toxicity(
 
 
 def toxicity(docs: DataFrame, model: Dictionaries, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``score``, ``n_windows`` and ``n_toxic_windows`` (begin with an entry) of every whole text.
+    """``score``, ``n_windows`` and ``n_toxic_windows`` (that gain REPORTED bytes) of every whole text.
 
     A null or empty text has no window and gets the score of a text without toxic
     windows. Rows are neither dropped nor merged.
@@ -193,9 +202,8 @@ def toxicity(docs: DataFrame, model: Dictionaries, id_column: str = "doc_id", te
         compare = Comparison(model)
 
         def work(texts: list[str]) -> list:
-            reached, n = compare.counts(texts)
-            score = sigmoid(_features(reached, n) @ model.weights[:-1] + model.weights[-1])
-            return [score, n, reached[:, -1].astype(int)]
+            reached, n, toxic = compare.counts(texts)
+            return [sigmoid(_features(reached, n) @ model.weights[:-1] + model.weights[-1]), n, toxic]
 
         return work
 

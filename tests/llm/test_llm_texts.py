@@ -167,8 +167,9 @@ def test_toxic_windows_compress_better_with_the_toxic_dictionary():
     rude = [f"{w} stupid clown walk home" for w in ("we", "they", "you")] * 20
     model = toxicity.fit(calm + rude, [0] * 60 + [1] * 60)
     assert {"stupid", "clown"} <= set(model.toxic)
-    reached, n = toxicity.Comparison(model).counts(["a stupid hill", "a green hill", ""])
-    assert reached[:, 0].tolist() == [1, 0, 0] and n.tolist() == [3, 3, 0]
+    reached, n, toxic = toxicity.Comparison(model).counts(["a stupid hill", "a green hill", ""])
+    assert toxic.tolist() == [1, 0, 0] and n.tolist() == [3, 3, 0]
+    assert reached[0].sum() >= 2 and not reached[2].any()
 
 
 def test_stems_with_many_endings_are_toxic_beside_a_frequent_insult():
@@ -179,8 +180,8 @@ def test_stems_with_many_endings_are_toxic_beside_a_frequent_insult():
     order = np.random.default_rng(1).permutation(len(texts))
     model = toxicity.fit([texts[i] for i in order], [labels[i] for i in order])
     assert {"stupid", "clown", "bomente"} <= set(model.toxic)
-    reached, n = toxicity.Comparison(model).counts(["home bomentexyz hill", "home bom hill"])
-    assert reached[:, -1].tolist() == [1, 0] and n.tolist() == [3, 3]
+    _, n, toxic = toxicity.Comparison(model).counts(["home bomentexyz hill", "home bom hill"])
+    assert toxic.tolist() == [1, 0] and n.tolist() == [3, 3]
 
 
 def plain_bucket(value: int, kind: int) -> int:
@@ -227,3 +228,40 @@ def test_quality_rules_meet_held_out_labels(spark):
     labels = [(r.doc_id, r.quality) for r in spark.read.parquet(f"{folder}/labels.parquet").collect()]
     met = [(got[i].score >= 0.3) == (y == 1) for i, y in labels if zlib.crc32(str(i).encode()) % 5 == 0]
     assert len(met) > 50 and sum(met) / len(met) >= 0.9
+
+
+def plain_toxicity(text: str, model: toxicity.Dictionaries) -> float:
+    """The score from the sizes of every window, compressed one by one."""
+    sizes = []
+    for entries in (model.ordinary, model.toxic):
+        compressor = toxicity._compressor(b"\n\n\n\n" + b"".join(e.encode() + b"\n\n\n\n" for e in entries))
+        sizes.append([len(compressor.compress(b"\n\n\n\n" + w.encode() + b"\n\n\n\n")) for w in toxicity.windows(text)])
+    lengths = [len(w.encode()) for w in toxicity.windows(text)]
+    groups = [sum(n > bound for bound in (5, 7, 9)) for n in lengths]
+    counts = [sum(g == group and a - b >= margin for g, a, b in zip(groups, *sizes, strict=True)) for group in range(4) for margin in (2, 3, 4, 5)]
+    features = [*counts, *(100 * c / (len(lengths) + 20) for c in counts)]
+    return 1 / (1 + np.exp(-(np.log1p(features) @ model.weights[:-1] + model.weights[-1])))
+
+
+def test_toxicity_comes_from_compressed_sizes_alone(spark, folder, documents, monkeypatch):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = toxicity.fit_toxicity(docs, labels)
+    assert model.toxic and model.ordinary and not set(model.toxic) & set(model.ordinary)
+    texts = [r.text for r in docs.limit(60).collect()] + ["", "é", f"you {model.toxic[-1]} {model.toxic[-1]}", "a" * 300]
+    found = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.toxicity(found, model).collect()}
+    assert [got[i] for i in range(len(texts))] == pytest.approx([plain_toxicity(t, model) for t in texts], abs=1e-9)
+    # With equal dictionaries no window gains anything, whatever it says.
+    same = toxicity.Dictionaries(model.toxic, model.toxic, model.weights)
+    assert toxicity.toxicity(found, same).select("score").distinct().count() == 1
+
+
+def test_the_toxicity_table_may_be_dropped_at_any_time(monkeypatch):
+    model = toxicity.fit(["you stupid thing", "a calm day"] * 30, [1, 0] * 30)
+    texts = ["you stupid thing", "so calm a day, stupid", ""] * 3
+    want = toxicity.Comparison(model).counts(texts)
+    monkeypatch.setattr(toxicity, "TABLE_ENTRIES", 1)
+    compare = toxicity.Comparison(model)
+    got = [compare.counts([t]) for t in texts]
+    assert all((np.concatenate(x) == y).all() for x, y in zip(zip(*got, strict=True), want, strict=True))
