@@ -177,34 +177,44 @@ def emit_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield table(rows, kinds, names)
 
 
+def dense_ranks(keys: np.ndarray) -> np.ndarray:
+    """Rank of each key among the distinct ones, in four bytes."""
+    order = np.argsort(keys, kind="stable").astype(np.int32)
+    keys = keys[order]
+    steps = np.append(0, np.cumsum(keys[1:] != keys[:-1], dtype=np.int32)).astype(np.int32)
+    rank = np.empty(len(keys), np.int32)
+    rank[order] = steps
+    return rank
+
+
 class Suffixes:
     """Order of the suffixes of ``data`` by prefix doubling, to a depth that no run exceeds."""
 
     def __init__(self, data: bytes) -> None:
         # Every position has 2 * DEPTH bytes behind it.
         self.first = eights(np.frombuffer(data + END * (2 * DEPTH + 8), np.uint8)).byteswap()
-        rank, depth = np.unique(self.first, return_inverse=True)[1], 8
+        rank, depth = dense_ranks(self.first), 8
         self.levels = [(depth, rank)]
         while depth < DEPTH:
             step = min(depth, DEPTH - depth)
-            pair = rank[:-step] * (len(self.first) + 1) + rank[step:]
-            rank, depth = np.unique(pair, return_inverse=True)[1], depth + step
+            pair = rank[:-step] * np.int64(len(self.first) + 1) + rank[step:]
+            rank, depth = dense_ranks(pair), depth + step
             self.levels.append((depth, rank))
 
     def common_prefix(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Length of the longest common prefix of the suffixes at ``a`` and ``b``, up to DEPTH at least."""
-        length = np.zeros(len(a), np.int64)
+        length = np.zeros(len(a), np.int32)
         for depth, rank in reversed(self.levels):
             within = length < DEPTH
             same = rank[np.where(within, a + length, 0)] == rank[np.where(within, b + length, 0)]
-            length += depth * (within & same)
+            length += np.int32(depth) * (within & same)
         # Fewer than eight bytes are left: the leading zero bytes of what differs.
         rest = length < DEPTH
         differs = self.first[a[rest] + length[rest]] ^ self.first[b[rest] + length[rest]]
-        zeros = np.zeros(len(differs), np.int64)
+        zeros = np.zeros(len(differs), np.int32)
         for step in (4, 2, 1):
             blank = differs >> np.uint64(64 - 8 * step) == 0
-            zeros += step * blank
+            zeros += np.int32(step) * blank
             differs = np.where(blank, differs << np.uint64(8 * step), differs)
         length[rest] += zeros
         return length
@@ -216,7 +226,7 @@ def previous_smaller(values: np.ndarray, common: np.ndarray) -> tuple[np.ndarray
     ``common[i]`` belongs to the step from ``i - 1`` to ``i``. All positions jump at
     once, each as far as the one that it points to, so ways double every round.
     """
-    at, least = np.arange(len(values)) - 1, common.copy()
+    at, least = np.arange(-1, len(values) - 1, dtype=np.int32), common.copy()
     active = np.flatnonzero(at >= 0)
     while len(active := active[(at[active] >= 0) & (values[at[active]] >= values[active])]):
         over = at[active]
@@ -227,7 +237,7 @@ def previous_smaller(values: np.ndarray, common: np.ndarray) -> tuple[np.ndarray
 def longest_previous_factor(values: np.ndarray, common: np.ndarray) -> np.ndarray:
     """For suffixes in order: the longest prefix that one with a smaller value (document) has too."""
     before = previous_smaller(values, common)[1]
-    behind = previous_smaller(values[::-1], np.append(0, common[:0:-1]))[1][::-1]
+    behind = previous_smaller(values[::-1], np.append(common[:1], common[:0:-1]))[1][::-1]
     return np.maximum(before, behind)
 
 
@@ -253,18 +263,19 @@ def earlier_matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         begin = np.cumsum(size + 1) - size - 1
         windows = size - LENGTH + 1
         head = np.cumsum(windows) - windows
-        owner = np.repeat(np.arange(len(size)), windows)
-        offset = np.arange(windows.sum()) - np.repeat(head, windows)
-        start = begin[owner] + offset
-        order = np.argsort(suffixes.levels[-1][1][start], kind="stable")
+        # Positions in a bucket fit four bytes.
+        owner = np.repeat(np.arange(len(size), dtype=np.int32), windows)
+        start = (np.arange(windows.sum()) + np.repeat(begin - head, windows)).astype(np.int32)
+        order = np.argsort(suffixes.levels[-1][1][start], kind="stable").astype(np.int32)
         # A match ends where one of the two runs does.
-        left = (size[owner] - offset)[order]
-        common = np.zeros(len(order), np.int64)
+        left = ((begin + size)[owner] - start).astype(np.int32)[order]
+        common = np.zeros(len(order), np.int32)
         common[1:] = suffixes.common_prefix(start[order[:-1]], start[order[1:]])
         common[1:] = np.minimum(common[1:], np.minimum(left[:-1], left[1:]))
-        factor = np.empty(len(order), np.int64)
+        factor = np.empty(len(order), np.int32)
         factor[order] = longest_previous_factor(smallest[owner[order]], common)
         covered = factor >= LENGTH
+        del suffixes, owner, start, order, left, common, factor
 
         # Behind its smallest document a run is covered wholly, there window by window.
         for some in parts(np.flatnonzero(doc > smallest[run]), 16 * OCCURRENCES):
