@@ -164,11 +164,12 @@ def first_of_each(
     columns = list(columns or docs.columns)
     row = F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
     marked = docs.select(*columns, row.alias("row_digest"))
-    printed = map_texts(marked, id_column, text_column, "row_print long", _prints(words), carry=[*columns, "row_digest"])
-    # Written with a place per row, so that the choice reads short columns only.
-    rows = materialise(printed.withColumn("row_place", F.monotonically_increasing_id()), "simhash-rows")
+    # Short columns only are written; the texts are read again.
+    printed = map_texts(marked, id_column, text_column, "row_print long", _prints(words), carry=[id_column, "row_digest"])
+    rows = materialise(printed, "simhash-rows")
     nodes = materialise(rows.select(F.col("row_print").alias("fingerprint")).distinct(), "simhash-nodes")
     keyed = rows.join(roots(nodes, distance).withColumnRenamed("fingerprint", "row_print"), "row_print")
-    order = F.struct(F.col(id_column).isNull(), F.col(id_column), F.col("row_digest"), F.col("row_place"))
-    kept = keyed.groupBy("root").agg(F.min_by("row_place", order).alias("row_place")).select("row_place")
-    return rows.join(kept, "row_place", "left_semi").select(*columns)
+    order = F.struct(F.col(id_column).isNull(), F.col(id_column), F.col("row_digest"))
+    kept = keyed.groupBy("root").agg(F.min_by("row_digest", order).alias("row_digest")).select("row_digest")
+    # Equal rows share their digest.
+    return marked.join(kept, "row_digest", "left_semi").dropDuplicates(["row_digest"]).select(*columns)
