@@ -15,15 +15,13 @@ from silverair.functions.scoring import DEFAULT_RADIUS_M
 from silverair.functions.text import first_present
 from silverair.operators import state as st
 from silverair.operators.dedupe import distinct_sites, last_per_key, latest_per_key, remaining_order, top_per_key
-from silverair.operators.features import tag_features
+from silverair.operators.features import FEATURE_COUNTS, features_near
 from silverair.operators.lookup import lookup_join
 from silverair.operators.nested import explode_where, wrap_envelope, zip_rows
 from silverair.operators.paging import concat_pages
 from silverair.operators.ranking import run_ids
-from silverair.operators.spatial import radius_join
 from silverair.plans.silver import is_pm25
 from silverair.schemas import END_TIME_PATHS, WEATHER_METRICS
-from silverair.session import materialise
 
 # Fixed value: the source name in landed envelopes.
 ENVELOPE_SOURCE = "openaq_lambda"
@@ -197,13 +195,12 @@ def features_around(
     ``sites`` and ``elements`` carry ``lat`` and ``lon``; sites without elements
     count none.
     """
-    near = radius_join(sites.select(site, "lat", "lon"), elements, radius_m)
-    # Elements of a table have no order of their own: the nearest area comes first.
-    # Counts and areas both read the pairs, so these are written once.
-    ordered = materialise(near.select(site, "type", "id", "tags", F.struct("distance_m", "type", "id").alias("pos")), "near")
-    found = sites.join(tag_features(ordered, site), site, "left")
-    return found.na.fill(0, ["building_count_all", "main_building_count", "highway_count"]).na.fill(
-        {"area_tag": NO_AREA[0], "area_tag_source": NO_AREA[1]}
+    found = sites.join(features_near(sites, elements, radius_m, site), site, "left").na.fill(0, list(FEATURE_COUNTS))
+    area = F.col("area")
+    return found.select(
+        *[c for c in found.columns if c != "area"],
+        F.coalesce(area, F.lit(NO_AREA[0])).alias("area_tag"),
+        F.when(area.isNotNull(), F.lit("landuse")).otherwise(F.lit(NO_AREA[1])).alias("area_tag_source"),
     )
 
 

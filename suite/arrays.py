@@ -229,3 +229,62 @@ def q_radius_join(t: Tables) -> DataFrame:
         F.round(F.min("distance_m"), 3).alias("nearest_m"),
         F.min("element_id").alias("first_element"),
     )
+
+
+def _distance_sql(a: str, b: str) -> str:
+    return f"""2 * 6371008.8 * asin(least(1.0, sqrt(pow(sin(radians({b}.lat - {a}.lat) / 2), 2)
+        + cos(radians({a}.lat)) * cos(radians({b}.lat)) * pow(sin(radians({b}.lon - {a}.lon) / 2), 2))))"""
+
+
+@query(f"""
+    WITH sites AS (
+        SELECT c_custkey AS location_id, 45 + c_acctbal / 10000 AS lat, 7 + (c_custkey * 37 % 1009) / 1009.0 AS lon FROM customer
+    ), elements AS (
+        SELECT CASE p_partkey // 2 % 3 WHEN 0 THEN 'way' WHEN 1 THEN 'relation' ELSE 'node' END AS type,
+               CASE WHEN p_partkey % 10 < 2 THEN p_partkey // 2 * 2 ELSE p_partkey END AS id,
+               CASE WHEN p_size % 3 <> 0 THEN CASE WHEN p_size % 5 = 0 THEN 'Garage' ELSE p_type END END AS building,
+               CASE WHEN p_size % 4 = 0 THEN p_brand END AS highway, CASE WHEN p_partkey % 17 = 0 THEN p_brand END AS landuse,
+               45 + (p_partkey * 613 % 100003) / 100003.0 AS lat, 7 + (p_partkey * 61 % 1013) / 1013.0 AS lon
+        FROM part
+    ), pairs AS (
+        SELECT * FROM (SELECT s.location_id, e.* EXCLUDE (lat, lon), {_distance_sql("s", "e")} AS d FROM sites s, elements e)
+        WHERE d <= 5000
+    ), counts AS (
+        SELECT location_id,
+               count(DISTINCT type || id) FILTER (building IS NOT NULL AND type <> 'node') AS building_count_all,
+               count(DISTINCT type || id) FILTER (building <> 'Garage' AND type <> 'node') AS main_building_count,
+               count(DISTINCT id) FILTER (highway IS NOT NULL AND type = 'way') AS highway_count,
+               min_by('landuse=' || landuse, (d, type, id)) FILTER (landuse IS NOT NULL) AS area
+        FROM pairs GROUP BY location_id
+    )
+    SELECT location_id, coalesce(building_count_all, 0) AS building_count_all,
+           coalesce(main_building_count, 0) AS main_building_count, coalesce(highway_count, 0) AS highway_count,
+           coalesce(area, 'unknown') AS area_tag, CASE WHEN area IS NULL THEN 'fallback' ELSE 'landuse' END AS area_tag_source
+    FROM sites LEFT JOIN counts USING (location_id)
+""")
+def q_features_around(t: Tables) -> DataFrame:
+    """Buildings, highways and the nearest area within 5 km of customers: parts as elements, some with two positions."""
+    key = F.col("p_partkey")
+    sites = t.customer.select(
+        F.col("c_custkey").alias("location_id"),
+        (F.lit(45) + F.col("c_acctbal") / 10000).alias("lat"),
+        (F.lit(7) + F.col("c_custkey") * 37 % 1009 / F.lit(1009.0)).alias("lon"),
+    )
+    size = F.col("p_size")
+    tags = F.create_map(
+        F.lit("building"),
+        F.when(size % 3 != 0, F.when(size % 5 == 0, "Garage").otherwise(F.col("p_type"))),
+        F.lit("highway"),
+        F.when(size % 4 == 0, F.col("p_brand")),
+        F.lit("landuse"),
+        F.when(key % 17 == 0, F.col("p_brand")),
+    )
+    kind = F.floor(key / 2) % 3
+    elements = t.part.select(
+        F.when(kind == 0, "way").when(kind == 1, "relation").otherwise("node").alias("type"),
+        F.when(key % 10 < 2, (F.floor(key / 2) * 2).cast("bigint")).otherwise(key).alias("id"),
+        F.map_filter(tags, lambda _, value: value.isNotNull()).alias("tags"),
+        (F.lit(45) + key * 613 % 100003 / F.lit(100003.0)).alias("lat"),
+        (F.lit(7) + key * 61 % 1013 / F.lit(1013.0)).alias("lon"),
+    )
+    return bronze.features_around(sites, elements, 5000).drop("lat", "lon")
