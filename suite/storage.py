@@ -12,11 +12,14 @@ from pyspark.sql import functions as F
 
 from silverair.operators.dedupe import latest_per_key
 from silverair.operators.increment import insert_new
+from silverair.operators.quality import Rule
 from silverair.session import scratch_path
-from silverair.sinks import files, versions
+from silverair.sinks import files, partitions, versions
 from silverair.sources.files import read_latest, read_results, unreadable_results
 from silverair.sources.tables import optional_scan, scan
 from silverair.streaming.increment import run_increment
+from silverair.streaming.once import append_once
+from silverair.streaming.run_log import read_log
 from suite.base import Tables, day_text, instant_sql, instant_text, money, money_sql, query
 
 MIDDLE = "2024-01-16"
@@ -183,3 +186,75 @@ def q_landed_results(t: Tables) -> DataFrame:
     errors = unreadable_results(t.spark, path).count()
     rows = read_results(t.spark, path, "struct<event_id: bigint, value: double>")
     return rows.withColumn("unreadable", F.lit(errors).cast("bigint"))
+
+
+@query("""
+    WITH bounds AS (SELECT TIMESTAMP '2024-01-16' AS middle, date_trunc('millisecond', max(ts)) - INTERVAL 3 DAY AS late_until
+                    FROM events WHERE event_id % 50 <> 0),
+    kept AS (SELECT event_type, value FROM events, bounds WHERE event_id % 50 <> 0 OR ts > late_until)
+    SELECT event_type, count(*) AS n_rows, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM kept GROUP BY event_type
+    UNION ALL SELECT 'late', count(*), 0.0 FROM events, bounds WHERE ts <= late_until
+""")
+def q_stream_watermark(t: Tables) -> DataFrame:
+    """Three drops with overlaps; events that come in the last one only are appended or counted, as their age allows."""
+    source, target, checkpoint, log = (scratch_path(t.spark, label) for label in ("drops", "once", "stream", "log"))
+    schema = "event_id bigint, at timestamp, event_type string, value double"
+    rows = t.events.select("event_id", F.col("ts").cast("timestamp").alias("at"), "event_type", "value")
+    middle = F.lit(MIDDLE).cast("timestamp")
+    early = rows.where(F.col("event_id") % 50 != 0)
+    drops = (early.where(F.col("at") < middle), early.where(F.col("at") >= middle - F.expr("INTERVAL 2 DAYS")), rows)
+    for drop in drops:
+        drop.write.mode("append").parquet(source)
+        append_once(t.spark, source, schema, ["event_id"], "at", "3 days", target, checkpoint, log=log)
+    late = read_log(t.spark, log).agg(F.sum("late_rows").alias("n_rows"))
+    kept = t.spark.read.schema(schema).parquet(target).groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows"), money("value").alias("total"))
+    return kept.unionByName(late.select(F.lit("late").alias("event_type"), "n_rows", F.lit(0.0).alias("total")))
+
+
+@query(f"""
+    WITH drops AS (
+        SELECT 0 AS batch_id, event_id, user_id, value, ts FROM events WHERE ts < TIMESTAMP '{MIDDLE}'
+        UNION ALL SELECT 1, event_id, user_id, value, ts FROM events
+    ), good AS (
+        SELECT event_id, min(batch_id) AS batch_id FROM drops WHERE value <= 20 GROUP BY event_id
+    ), bad AS (
+        SELECT event_id, min(batch_id) AS batch_id FROM drops WHERE value > 20 GROUP BY event_id
+    )
+    SELECT CAST(batch_id AS BIGINT) AS batch_id, count(*) AS input_rows, CAST(0 AS BIGINT) AS late_rows,
+           (SELECT count(*) FROM good g WHERE g.batch_id = d.batch_id) AS inserted,
+           (SELECT count(*) FROM bad b WHERE b.batch_id = d.batch_id) AS quarantined
+    FROM drops d GROUP BY batch_id
+""")
+def q_stream_run_log(t: Tables) -> DataFrame:
+    """The log of two stream runs: rows read, inserted and set aside per micro-batch."""
+    source, target, checkpoint, log = (scratch_path(t.spark, label) for label in ("drops", "target", "stream", "log"))
+    schema = "event_id bigint, user_id bigint, value double"
+    rows = t.events.select("event_id", "user_id", "value", "ts")
+    rules = [Rule("small", F.col("value") > 20)]
+    for drop in (rows.where(before_middle()), rows):
+        drop.select("event_id", "user_id", "value").write.mode("append").parquet(source)
+        run_increment(t.spark, source, schema, lambda batch: batch, target, schema, "event_id", checkpoint, rules=rules, log=log)
+    return read_log(t.spark, log).select("batch_id", "input_rows", "late_rows", "inserted", "quarantined")
+
+
+@query("""
+    SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n_rows, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total,
+           count(DISTINCT event_type < 'm') > 1 AS fewer
+    FROM events GROUP BY 1
+""")
+def q_compact(t: Tables) -> DataFrame:
+    """Two loads by event type, compacted: the same rows in fewer files per day."""
+    root, schema = scratch_path(t.spark, "compacted"), "event_id bigint, value double, day string"
+    rows = t.events.select("event_id", "value", F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type")
+    first = F.col("event_type") < "m"
+    for load in (rows.where(first), rows.where(~first)):
+        partitions.append(t.spark, root, "day", load.drop("event_type"))
+
+    def files() -> DataFrame:
+        return partitions.read(t.spark, root, schema).groupBy("day").agg(F.count_distinct("_metadata.file_path").alias("files"))
+
+    before = files()
+    partitions.compact(t.spark, root, "day", schema)
+    stored = partitions.read(t.spark, root, schema).groupBy("day").agg(F.count(F.lit(1)).alias("n_rows"), money("value").alias("total"))
+    counted = before.join(files().withColumnRenamed("files", "now"), "day")
+    return stored.join(counted, "day").select("day", "n_rows", "total", (F.col("now") < F.col("files")).alias("fewer"))

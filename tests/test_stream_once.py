@@ -1,0 +1,89 @@
+"""Streams with a bounded memory, and the log of their batches."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from helpers import rows
+from silverair.operators.quality import Rule
+from silverair.streaming.increment import run_increment
+from silverair.streaming.once import append_once
+from silverair.streaming.run_log import read_log
+
+SCHEMA = "k bigint, at timestamp, v int"
+
+
+def at(day, hour=0):
+    return datetime(2026, 1, day, hour)
+
+
+def once(spark, tmp_path, *data, **kwargs):
+    spark.createDataFrame(list(data), SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    append_once(
+        spark, str(tmp_path / "in"), SCHEMA, ["k"], "at", "2 days", str(tmp_path / "out"), str(tmp_path / "c"),
+        log=str(tmp_path / "log"), **kwargs,
+    )
+    return rows(spark.read.schema(SCHEMA).parquet(str(tmp_path / "out")).select("k", "v"))
+
+
+def test_repetitions_within_the_delay_and_late_rows(spark, tmp_path):
+    assert once(spark, tmp_path, (1, at(10), 1), (2, at(9), 1), (1, at(10, 3), 2)) in ([(1, 1), (2, 1)], [(1, 2), (2, 1)])
+    # Key 2 is known, 3 is within the delay, 4 is too old.
+    got = once(spark, tmp_path, (2, at(9), 5), (3, at(8, 4), 5), (4, at(7), 5), (5, at(20), 5))
+    assert [k for k, _ in got] == [1, 2, 3, 5]
+    # The state forgot key 1 after its time; old rows of it are late, not new.
+    got = once(spark, tmp_path, (1, at(10), 6), (6, at(19), 6), (5, at(20), 6))
+    assert [k for k, _ in got] == [1, 2, 3, 5, 6]
+    log = read_log(spark, str(tmp_path / "log")).groupBy("run_id").agg(F.sum("input_rows"), F.sum("late_rows"), F.min("batch_id"))
+    assert [tuple(r)[1:3] for r in log.orderBy("min(batch_id)").collect()] == [(3, 0), (4, 1), (3, 1)]
+
+
+def test_state_is_as_large_as_the_delay(spark, tmp_path):
+    held = []
+    for day in range(1, 8):
+        data = [(day * 1000 + i, at(day), 0) for i in range(200)]
+        spark.createDataFrame(data, SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        query = append_once(
+            spark, str(tmp_path / "in"), SCHEMA, ["k"], "at", "2 days", str(tmp_path / "out"), str(tmp_path / "c")
+        )
+        held.append(query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"])
+    assert 200 <= max(held) <= 1000 and held[-1] == held[-2]
+    assert spark.read.schema(SCHEMA).parquet(str(tmp_path / "out")).count() == 1400
+
+
+def test_log_has_every_batch_of_a_catch_up(spark, tmp_path):
+    schema = "k bigint, v int"
+    for i in range(3):
+        spark.createDataFrame([(i, 1), (i + 1, 1), (100 + i, -1)], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    paths = [str(tmp_path / name) for name in ("in", "out", "c", "log")]
+    for _ in range(2):
+        run_increment(
+            spark, paths[0], schema, lambda batch: batch, paths[1], schema, "k", paths[2], max_files=1,
+            rules=[Rule("positive", F.col("v") < 0)], log=paths[3],
+        )
+    log = rows(read_log(spark, paths[3]).select("batch_id", "input_rows", "inserted", "quarantined"), "batch_id")
+    assert [(r[0], r[1], r[3]) for r in log] == [(0, 3, 1), (1, 3, 1), (2, 3, 1)]
+    assert sum(r[2] for r in log) == 4
+
+
+def test_a_failed_run_keeps_its_log(spark, tmp_path):
+    schema = "k bigint, v int"
+    for i in range(2):
+        spark.createDataFrame([(i, i)], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    paths = [str(tmp_path / name) for name in ("in", "out", "c", "log")]
+    seen = []
+
+    def second_fails(batch):
+        seen.append(1)
+        if len(seen) == 2:
+            raise ValueError("no")
+        return batch
+
+    failed = False
+    try:
+        run_increment(spark, paths[0], schema, second_fails, paths[1], schema, "k", paths[2], max_files=1, log=paths[3])
+    except Exception:
+        failed = True
+    assert failed and [r.inserted for r in read_log(spark, paths[3]).collect()] == [1]
