@@ -17,6 +17,8 @@ from silverair.session import materialise
 
 BITS = 64
 SEED = 42
+# A block of more distinct fingerprints is divided further.
+CROWD = 4096
 
 
 def fingerprint(text: str, words: int) -> int:
@@ -59,6 +61,14 @@ def block_masks(distance: int) -> list[int]:
     return [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
 
 
+def inner_masks(mask: int, distance: int) -> list[int]:
+    """The bits outside ``mask`` in ``distance + 2`` parts, by two: close fingerprints agree under one of them."""
+    outside = [b for b in range(BITS) if not mask >> b & 1]
+    parts = [sum(1 << int(b) for b in part) for part in np.array_split(outside, distance + 2)]
+    masks = [a | b for a, b in combinations(parts, 2)]
+    return [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
+
+
 def spanning_links(prints: np.ndarray, distance: int) -> Iterator[tuple[int, int]]:
     """Links within ``distance`` that connect what all such links connect, at most one per fingerprint."""
     label = np.arange(len(prints))
@@ -70,13 +80,15 @@ def spanning_links(prints: np.ndarray, distance: int) -> Iterator[tuple[int, int
                 yield i, int(j)
 
 
-def close_links(prints: DataFrame, distance: int) -> DataFrame:
+def close_links(prints: DataFrame, distance: int, crowd: int = CROWD) -> DataFrame:
     """Verified links (a, b) between the nodes of distinct ``prints`` (node, fingerprint).
 
-    Rows are dealt out by (mask, masked fingerprint) and scanned in that order.
-    A block holds distinct fingerprints that differ in the bits outside three
-    blocks only, so copies cannot fill it. Its links come out as a spanning
-    forest, never as all pairs.
+    A block is a masked fingerprint: distinct fingerprints that differ in the bits
+    outside three blocks only, so copies cannot fill it. One of more than ``crowd``
+    rows, such as texts of one template, is dealt out again by two parts of the
+    bits that are left, so that no task gets it whole and its work is not
+    quadratic in its size. Close fingerprints share one of these parts too, so no link is lost.
+    Links come out as a spanning forest of each group, never as all pairs.
     """
     masks = block_masks(distance)
     keyed = prints.select(
@@ -84,25 +96,38 @@ def close_links(prints: DataFrame, distance: int) -> DataFrame:
         "fingerprint",
         F.posexplode(F.array(*[F.col("fingerprint").bitwiseAND(F.lit(m)) for m in masks])).alias("mask", "block"),
     )
+    # Few blocks are crowded: at most one for every ``crowd`` rows of a mask.
+    crowded = keyed.groupBy("mask", "block").count().where(F.col("count") > crowd).select("mask", "block", F.lit(True).alias("crowded"))
+    inner = F.array(*[F.array(*[F.lit(m).cast("long") for m in inner_masks(mask, distance)]) for mask in masks])
+    parts = F.transform(inner[F.col("mask")], lambda m, i: F.struct(i.alias("part"), F.col("fingerprint").bitwiseAND(m).alias("inside")))
+    whole = F.array(F.struct(F.lit(-1).alias("part"), F.lit(0).cast("long").alias("inside")))
+    group = ["mask", "block", "part", "inside"]
+    dealt = keyed.join(crowded, ["mask", "block"], "left").select(
+        "node", "fingerprint", "mask", "block", F.inline(F.when(F.col("crowded"), parts).otherwise(whole))
+    )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
-            part = [batch.column(i).to_numpy() for i in range(4)]
+            part = [column.to_numpy() for column in batch.columns]
             held = part if held is None else [np.concatenate(x) for x in zip(held, part, strict=True)]
-            mask, block = held[2], held[3]
-            last = np.flatnonzero((mask != mask[-1]) | (block != block[-1]))
-            # The last block may go on in the next batch.
-            cut = int(last[-1]) + 1 if len(last) else 0
-            yield links([x[:cut] for x in held])
-            held = [x[cut:] for x in held]
+            starts = group_starts(held)
+            # The last group may go on in the next batch.
+            cut = int(starts[-1])
+            if cut:
+                yield links([x[:cut] for x in held])
+                held = [x[cut:] for x in held]
         if held is not None:
             yield links(held)
 
+    def group_starts(columns: list[np.ndarray]) -> np.ndarray:
+        new = np.logical_or.reduce([key[1:] != key[:-1] for key in columns[2:]])
+        return np.append(0, np.flatnonzero(new) + 1)
+
     def links(columns: list[np.ndarray]) -> pa.RecordBatch:
-        node, prints, mask, block = columns
-        new = np.flatnonzero((mask[1:] != mask[:-1]) | (block[1:] != block[:-1])) + 1
-        starts, ends = np.append(0, new), np.append(new, len(mask))
+        node, prints = columns[:2]
+        starts = group_starts(columns)
+        ends = np.append(starts[1:], len(node))
         many = ends - starts > 1
         found = [
             (node[s + i], node[s + j])
@@ -112,8 +137,8 @@ def close_links(prints: DataFrame, distance: int) -> DataFrame:
         a, b = zip(*found, strict=True) if found else ((), ())
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    dealt = keyed.repartition("mask", "block").sortWithinPartitions("mask", "block", "fingerprint")
-    return dealt.select("node", "fingerprint", "mask", "block").mapInArrow(scan, "a long, b long")
+    ordered = dealt.repartition(*group).sortWithinPartitions(*group, "fingerprint")
+    return ordered.select("node", "fingerprint", *group).mapInArrow(scan, "a long, b long")
 
 
 def components(

@@ -8,6 +8,7 @@ import re
 import time
 import tracemalloc
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -312,3 +313,55 @@ def test_leaks_of_the_tables_without_python(spark, folder):
 def test_plans_have_no_cross_join(spark, folder, name):
     text = plan(QUERIES[name](spark, folder))
     assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_simhash_divides_crowded_blocks_without_losing_links(spark):
+    """Fingerprints of one template: all in few blocks, linked by chains of one to three bits."""
+    rng = random.Random(8)
+    base, prints = rng.getrandbits(64), set()
+    for _ in range(150):
+        at = base ^ sum(1 << b for b in rng.sample(range(32), 8))
+        for _ in range(4):
+            prints.add(at)
+            at ^= sum(1 << b for b in rng.sample(range(64), rng.randint(1, 4)))
+    prints = sorted(p - (1 << 64) if p >> 63 else p for p in prints)
+    frame = spark.createDataFrame([(p, p) for p in prints], "node long, fingerprint long").repartition(5)
+
+    def groups(pairs):
+        root = {p: p for p in prints}
+
+        def find(p):
+            while root[p] != p:
+                p = root[p]
+            return p
+
+        for a, b in pairs:
+            root[find(a)] = find(b)
+        parts = {}
+        for p in prints:
+            parts.setdefault(find(p), set()).add(p)
+        return sorted(map(sorted, parts.values()))
+
+    mask = (1 << 64) - 1
+    want = groups([(a, b) for i, a in enumerate(prints) for b in prints[:i] if ((a ^ b) & mask).bit_count() <= 3])
+    assert 20 < len(want) < len(prints)
+    for crowd in (1, 20, 10_000):
+        found = [tuple(r) for r in simhash.close_links(frame, 3, crowd).collect()]
+        assert all(((a ^ b) & mask).bit_count() <= 3 for a, b in found)
+        assert groups(found) == want
+    assert rows_of(simhash.close_links(frame.limit(0), 3)) == []
+
+
+def rows_of(df):
+    return [tuple(r) for r in df.collect()]
+
+
+@pytest.mark.parametrize("distance", [0, 1, 3])
+def test_inner_masks_cover_all_close_pairs(distance):
+    for mask in simhash.block_masks(distance):
+        inner = simhash.inner_masks(mask, distance)
+        outside = [b for b in range(64) if not mask >> b & 1]
+        assert all(not m & mask for m in inner)
+        for changed in combinations(outside[:: max(1, len(outside) // 12)], distance):
+            bits = sum(1 << b for b in changed)
+            assert any(not m & bits for m in inner)
