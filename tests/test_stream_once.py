@@ -87,3 +87,11 @@ def test_a_failed_run_keeps_its_log(spark, tmp_path):
     except Exception:
         failed = True
     assert failed and [r.inserted for r in read_log(spark, paths[3]).collect()] == [1]
+
+
+def test_rows_without_event_time_are_never_late(spark, tmp_path):
+    assert once(spark, tmp_path, (1, at(10), 1), (2, None, 1), (2, None, 1)) == [(1, 1), (2, 1)]
+    assert once(spark, tmp_path, (3, None, 2), (4, at(30), 2)) == [(1, 1), (2, 1), (3, 2), (4, 2)]
+    # The key without event time was forgotten with the watermark.
+    assert once(spark, tmp_path, (2, None, 3)) == [(1, 1), (2, 1), (2, 3), (3, 2), (4, 2)]
+    assert read_log(spark, str(tmp_path / "log")).agg(F.sum("late_rows")).first()[0] == 0
