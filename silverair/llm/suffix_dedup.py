@@ -8,7 +8,10 @@ array over all texts cannot be dealt out, so the suffixes are dealt out first:
    a group of copies is one text from here on.
 1. Every window of 50 bytes has a minimizer, the least hash of its 20-byte grams.
    A run of windows with one minimizer is a candidate; equal windows have equal
-   minimizers and so meet in one bucket, whatever documents they are in.
+   minimizers and so meet in one bucket, whatever documents they are in. Grams that
+   very many texts have come last in the order of hashes. So the windows on the edge of
+   a passage that very many texts share, which differ from text to text, have
+   minimizers outside it and do not crowd its buckets. Any order gives equal results.
 2. Runs whose minimizer occurs in one document only are dropped, which leaves the
    share of the text that repeats.
 3. The bytes of the other runs go to their buckets, each distinct run once per
@@ -19,10 +22,15 @@ array over all texts cannot be dealt out, so the suffixes are dealt out first:
    the longest previous factor (LPF). Later occurrences of a run are covered wholly.
 4. Covered ranges go back to their documents and are cut out.
 
-Buckets grow in number with the input, not in size. The occurrences of one run in
-very many documents do meet in one bucket and are not salted. They are held packed
-and as arrays there, some 50 bytes each; a later occurrence is one range, and the
-windows of the first ones are looked at OCCURRENCES at a time.
+Buckets grow in number with the input, not in size, and the occurrences of one run
+in very many documents do not meet in one of them. Once a task has sent a minimizer
+with two documents to its bucket, and the bytes of a run with a smaller document, later
+occurrences need no comparison: the one is shared, the other covered wholly. They
+leave by way of buckets below zero, dealt out by document (``aside``), so a bucket gets a
+few of them from each task, at most one from a slice of texts where no other of the
+slice has it. What a task remembers is bounded; forgetting sends occurrences again and
+changes no result. Texts reach both steps ordered by id, so a
+task that is run again decides alike.
 """
 
 from __future__ import annotations
@@ -47,6 +55,14 @@ DEPTH = LONGEST_RUN + LENGTH  # bytes of the longest run and its END
 BUCKET_BYTES = 2_000_000
 # Occurrences whose windows are expanded at once. It bounds memory only.
 OCCURRENCES = 4096
+# Grams are counted by cells. Of those that a hundredth of the texts of a task have, so many of
+# the most frequent come last in the order. This moves work between buckets and changes no result.
+CELLS = 1 << 22
+COMMON = 1 << 16
+LEAST_COMMON = 32
+# Minimizers, and bytes of runs, that a task remembers to have sent. They bound memory only.
+REMEMBERED = 1 << 18
+REMEMBERED_BYTES = 4_000_000
 ODD = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -58,15 +74,51 @@ def eights(data: np.ndarray) -> np.ndarray:
     return value
 
 
-def runs(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Minimizer, first window and number of windows of each run of a text's windows."""
-    if len(data) < LENGTH:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+def grams(data: np.ndarray) -> np.ndarray:
+    """Hashes of 63 bits of the grams from each position on."""
     eight = eights(data)
     # 20 bytes: two numbers, and the half of a third that the second does not hold.
     gram = eight[:-12] * ODD[0] + (eight[8:-4] ^ (eight[8:-4] >> np.uint64(31))) * ODD[1] + eight[12:] * ODD[2]
     gram = (gram ^ (gram >> np.uint64(32))) * ODD[3]
-    gram ^= gram >> np.uint64(29)
+    return (gram ^ (gram >> np.uint64(29))) >> np.uint64(1)
+
+
+def cells(gram: np.ndarray) -> np.ndarray:
+    return (gram & np.uint64(CELLS - 1)).astype(np.int64)
+
+
+def common_cells(texts: DataFrame) -> bytes:
+    """A bit for each cell of grams that very many of ``texts`` (column ``text``) have."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, n = np.zeros(CELLS, np.int64), 0
+        for batch in batches:
+            found = batch.column("text").to_pylist()
+            for low, high in slices(found):
+                data = [np.frombuffer(t.encode(), np.uint8) for t in found[low:high]]
+                counts += np.bincount(np.concatenate([cells(grams(d)) for d in data]), minlength=CELLS)
+            n += len(found)
+        # A cell has some grams by chance.
+        cell = np.flatnonzero(counts >= max(LEAST_COMMON, n // 100) + 8 * counts.sum() // CELLS)
+        yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(counts[cell])], ["cell", "n"])
+
+    found = texts.mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    marked = np.zeros(CELLS, np.uint8)
+    # At most COMMON numbers.
+    marked[[r.cell for r in found.orderBy(F.desc("n"), "cell").limit(COMMON).select("cell").collect()]] = 1
+    return np.packbits(marked).tobytes()
+
+
+def runs(data: np.ndarray, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Minimizer, first window and number of windows of each run of a text's windows.
+
+    Grams whose cell is marked in ``common`` come behind all others.
+    """
+    if len(data) < LENGTH:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    gram = grams(data)
+    if common is not None:
+        gram |= common[cells(gram)].astype(np.uint64) << np.uint64(63)
     # Minimum over GRAMS neighbours, by widths that double.
     least, width = gram, 1
     while 2 * width <= GRAMS:
@@ -90,23 +142,63 @@ def by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(bucket[part[0]]), part
 
 
-def emit_runs(buckets: int) -> Callable:
-    """Texts to rows (bucket, packed columns) of all their runs."""
+def aside(doc: int) -> int:
+    """A number below zero for occurrences that no bucket has to compare."""
+    return -1 - doc % (1 << 20)
+
+
+class Sent:
+    """Minimizers that a task has sent to their buckets with two documents."""
+
+    def __init__(self) -> None:
+        self.known = np.zeros(0, np.uint64)
+
+    def settled(self, least: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """Marks occurrences that a bucket need not see to know that their minimizer is shared.
+
+        Of a minimizer in several documents of this slice, those in the smallest and
+        in the largest one are sent; of one that was sent so before, none.
+        """
+        if not len(least):
+            return np.zeros(0, bool)
+        order = np.argsort(least, kind="stable")
+        starts = np.flatnonzero(np.append(True, np.diff(least[order]) != 0))
+        low, high = (f.reduceat(doc[order], starts) for f in (np.minimum, np.maximum))
+        values, sizes = least[order[starts]], np.diff(np.append(starts, len(order)))
+        before = np.isin(values, self.known)
+        inside = (doc[order] != np.repeat(low, sizes)) & (doc[order] != np.repeat(high, sizes))
+        mark = np.empty(len(least), bool)
+        mark[order] = inside | np.repeat(before, sizes)
+        new = values[(low != high) & ~before]
+        # Those that this slice has again are the last to be forgotten.
+        self.known = np.union1d(self.known if len(self.known) + len(new) <= REMEMBERED else values[before], new)
+        return mark
+
+
+def emit_runs(buckets: int, common: bytes | None = None) -> Callable:
+    """Texts to rows (bucket, packed columns) of all their runs; in rows ``aside``, ``least`` holds the buckets."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent = Sent()
+        last = None if common is None else np.unpackbits(np.frombuffer(common, np.uint8))
         for batch in batches:
             known = batch.column("original").to_pylist()
             ids = batch.column("doc").fill_null(0).to_numpy()
             texts = [t if k else "" for t, k in zip(batch.column("text").to_pylist(), known, strict=True)]
             for low, high in slices(texts):
-                found = [runs(np.frombuffer(t.encode(), np.uint8)) for t in texts[low:high]]
+                found = [runs(np.frombuffer(t.encode(), np.uint8), last) for t in texts[low:high]]
                 doc = np.repeat(ids[low:high], [len(f[0]) for f in found])
                 least, first, count = (np.concatenate(x) for x in zip(*found, strict=True))
                 bucket = (least % np.uint64(buckets)).astype(np.int64)
                 rest = (least // np.uint64(buckets)).astype(np.uint32)
+                settled = sent.settled(least, doc)
+                groups = [(b, rest, p) for b, p in by_bucket(np.where(settled, -1, bucket)) if b >= 0]
+                if settled.any():
+                    apart = np.flatnonzero(settled)
+                    groups.append((aside(int(doc[apart[0]])), bucket.astype("<i4"), apart))
                 rows = [
-                    (b, rest[p].tobytes(), np.diff(doc[p], prepend=0).tobytes(), first[p].astype("<u4").tobytes(), count[p].astype("u1").tobytes())
-                    for b, p in by_bucket(bucket)
+                    (b, of[p].tobytes(), np.diff(doc[p], prepend=0).tobytes(), first[p].astype("<u4").tobytes(), count[p].astype("u1").tobytes())
+                    for b, of, p in groups
                 ]
                 yield table(rows, [pa.int32(), *[pa.binary()] * 4], ["bucket", "least", "doc", "first", "count"])
 
@@ -133,8 +225,12 @@ def each_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[t
 
 
 def shared_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of each bucket whose minimizer occurs in two documents or more."""
+    """Runs of each bucket whose minimizer occurs in two documents or more, and all that were put aside."""
     for bucket, rows in each_bucket(batches):
+        if bucket < 0:
+            for _, own, doc, first, count in rows:
+                yield found_runs(np.cumsum(np.frombuffer(doc, "<i8")), first, count, np.frombuffer(own, "<i4"))
+            continue
         least = np.frombuffer(b"".join(r[1] for r in rows), np.uint32)
         doc = np.concatenate([np.cumsum(np.frombuffer(r[2], "<i8")) for r in rows])
         order = np.argsort(least, kind="stable")
@@ -142,21 +238,34 @@ def shared_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = np.diff(np.append(starts, len(order)))
         several = np.minimum.reduceat(doc[order], starts) != np.maximum.reduceat(doc[order], starts)
         kept = np.sort(order[np.repeat(several, sizes)])
-        first = np.frombuffer(b"".join(r[3] for r in rows), "<u4")[kept].astype(np.int64)
-        count = np.frombuffer(b"".join(r[4] for r in rows), "u1")[kept].astype(np.int32)
-        columns = [pa.array(doc[kept]), pa.array(first), pa.array(count), pa.array(np.full(len(kept), bucket, np.int32))]
-        yield pa.RecordBatch.from_arrays(columns, ["doc", "first", "count", "bucket"])
+        first, count = (b"".join(r[i] for r in rows) for i in (3, 4))
+        yield found_runs(doc, first, count, np.full(len(doc), bucket, np.int32), kept)
+
+
+def found_runs(doc: np.ndarray, first: bytes, count: bytes, bucket: np.ndarray, kept: np.ndarray | slice = slice(None)) -> pa.RecordBatch:
+    first, count = np.frombuffer(first, "<u4")[kept].astype(np.int64), np.frombuffer(count, "u1")[kept].astype(np.int32)
+    columns = [pa.array(c) for c in (doc[kept], first, count, bucket[kept])]
+    return pa.RecordBatch.from_arrays(columns, ["doc", "first", "count", "bucket"])
 
 
 def emit_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with their shared runs to rows (bucket, bytes of distinct runs, occurrences)."""
+    """Documents with their shared runs to rows (bucket, bytes of distinct runs, occurrences).
+
+    Rows ``aside`` have the covered size of each occurrence and no bytes.
+    """
     kinds, names = [pa.int32(), *[pa.binary()] * 5], ["bucket", "bytes", "sizes", "run", "doc", "at"]
+    # The smallest document that was sent with a run.
+    smallest: dict[bytes, int] = {}
+    remembered = 0
     for batch in batches:
         docs, found = batch.column("doc"), batch.column("runs")
         used = [f.is_valid and k for f, k in zip(found, batch.column("original").to_pylist(), strict=True)]
         texts = [t if u else "" for t, u in zip(batch.column("text").to_pylist(), used, strict=True)]
         for low, high in slices(texts):
             gathered: dict[int, tuple[dict[bytes, int], list[tuple[int, int, int, int]]]] = {}
+            later: list[tuple[int, int, int, int]] = []
+            if remembered > REMEMBERED_BYTES:
+                smallest, remembered = {}, 0
             for i in range(low, high):
                 if not texts[i]:
                     continue
@@ -165,18 +274,31 @@ def emit_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for run in found[i].as_py():
                     first, count = run["first"], run["count"]
                     content = data[first : first + count + LENGTH - 1]
-                    if len(content) >= LENGTH:
+                    if len(content) < LENGTH:
+                        continue
+                    sent = smallest.get(content)
+                    if sent is not None and sent < doc:
+                        later.append((len(content), doc, first, tag))
+                    else:
+                        smallest[content] = doc
+                        remembered += len(content) if sent is None else 0
                         known, places = gathered.setdefault(run["bucket"], ({}, []))
                         places.append((known.setdefault(content, len(known)), doc, first, tag))
             rows = []
             for bucket, (known, places) in gathered.items():
-                place = np.array(places, np.int64)
-                sizes = np.array([len(k) for k in known], "<u4").tobytes()
-                at = np.column_stack([place[:, 2], place[:, 3]]).astype("<u4").tobytes()
-                rows.append((bucket, b"".join(known), sizes, place[:, 0].astype("<u4").tobytes(), place[:, 1].tobytes(), at))
+                run, doc, at = packed_places(places)
+                rows.append((bucket, b"".join(known), np.array([len(k) for k in known], "<u4").tobytes(), run, doc, at))
+            if later:
+                size, doc, at = packed_places(later)
+                rows.append((aside(later[0][1]), b"", size, b"", doc, at))
             yield table(rows, kinds, names)
 
 
+def packed_places(places: list[tuple[int, int, int, int]]) -> tuple[bytes, bytes, bytes]:
+    place = np.array(places, np.int64)
+    return place[:, 0].astype("<u4").tobytes(), place[:, 1].tobytes(), place[:, 2:].astype("<u4").tobytes()
+
+
 def dense_ranks(keys: np.ndarray) -> np.ndarray:
     """Rank of each key among the distinct ones, in four bytes."""
     order = np.argsort(keys, kind="stable").astype(np.int32)
@@ -243,7 +365,12 @@ def longest_previous_factor(values: np.ndarray, common: np.ndarray) -> np.ndarra
 
 def earlier_matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Byte ranges of each document that 50-byte strings with an earlier copy cover."""
-    for _, rows in each_bucket(batches):
+    for bucket, rows in each_bucket(batches):
+        if bucket < 0:
+            for _, _, sizes, _, docs, places in rows:
+                place = np.frombuffer(places, "<u4").reshape(-1, 2).astype(np.int64)
+                yield ranges_of(np.frombuffer(docs, "<i8"), place[:, 1], place[:, 0], place[:, 0] + np.frombuffer(sizes, "<u4"))
+            continue
         # Each distinct run of the bucket once.
         known: dict[bytes, int] = {}
         run, doc, at = [], [], []
@@ -344,13 +471,16 @@ def with_ranges(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     marked = source.join(firsts, "doc", "left").select(
         "row", "doc", "text", F.coalesce(F.array_contains("marks", mark), F.lit(False)).alias("original")
     )
+    common = common_cells(docs.where(F.octet_length(text_column) >= LENGTH).select(F.col(text_column).alias("text")))
+    # What a task sends depends on what it sent before, so its rows need an order of their own.
+    order = ("doc", F.xxhash64("text"))
     packed = "bucket int, least binary, doc binary, first binary, count binary"
-    first = marked.mapInArrow(emit_runs(buckets), packed).repartition("bucket").sortWithinPartitions("bucket")
+    first = marked.sortWithinPartitions(*order).mapInArrow(emit_runs(buckets, common), packed).repartition("bucket").sortWithinPartitions("bucket")
     shared = first.mapInArrow(shared_runs, "doc long, first long, count int, bucket int")
     wanted = shared.groupBy("doc").agg(F.collect_list(F.struct("first", "count", "bucket")).alias("runs"))
     packed = "bucket int, bytes binary, sizes binary, run binary, doc binary, at binary"
     second = marked.join(wanted, "doc", "left").select("row", "doc", "text", "original", "runs")
-    second = second.mapInArrow(emit_bytes, packed).repartition("bucket").sortWithinPartitions("bucket")
+    second = second.sortWithinPartitions(*order).mapInArrow(emit_bytes, packed).repartition("bucket").sortWithinPartitions("bucket")
     ranges = second.mapInArrow(earlier_matches, "doc long, tag long, low long, high long")
     ranges = ranges.groupBy("doc").agg(F.collect_list(F.struct("tag", "low", "high")).alias("ranges"))
     return marked.join(ranges, "doc", "left").select(

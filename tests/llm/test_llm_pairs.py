@@ -113,7 +113,9 @@ def plain_cut(rows: list[tuple]) -> Counter:
     return want
 
 
-def test_removed_strings_equal_brute_force(spark, edge, documents):
+@pytest.mark.parametrize("least", [1, 32])
+def test_removed_strings_equal_brute_force(spark, edge, documents, least, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "LEAST_COMMON", least)
     tied = "".join(chr(97 + i % 3) for i in range(700))
     extra = spark.createDataFrame(
         [(1, tied), (2, "zz" + tied[:49]), (2, "zz" + tied[5:55] + "yy"), (2, tied), (9, ""), (None, tied)], "doc_id long, text string"
@@ -125,11 +127,13 @@ def test_removed_strings_equal_brute_force(spark, edge, documents):
 
 
 @settings(max_examples=80, deadline=None)
-@given(st.binary(min_size=40, max_size=400), st.integers(0, 60))
-def test_equal_windows_have_equal_minimizers(data, shift):
+@given(st.binary(min_size=40, max_size=400), st.integers(0, 60), st.booleans())
+def test_equal_windows_have_equal_minimizers(data, shift, some_last):
+    last = np.random.default_rng(1).integers(0, 2, suffix_dedup.CELLS, np.uint8) if some_last else None
+
     def minimizers(raw: bytes) -> dict[bytes, set[int]]:
         found = defaultdict(set)
-        for least, first, count in zip(*suffix_dedup.runs(np.frombuffer(raw, np.uint8)), strict=True):
+        for least, first, count in zip(*suffix_dedup.runs(np.frombuffer(raw, np.uint8), last), strict=True):
             for k in range(first, first + count):
                 found[raw[k : k + 50]].add(int(least))
         return found
@@ -198,6 +202,93 @@ def test_a_run_in_very_many_documents_is_not_expanded_to_windows():
     assert peak < 40_000_000
 
 
+def test_a_run_in_a_third_of_all_documents_stays_out_of_its_bucket(spark):
+    shared, n, batch = "".join(random.Random(3).choices("abcdefgh ", k=150)), 200_000, 10_000
+    own = [hashlib.sha256(str(i).encode()).hexdigest()[:40] for i in range(n)]
+    texts = [f"{t} {shared} {t[::-1]}" if i % 3 == 0 else t for i, t in enumerate(own)]
+    kinds, names = [pa.int64(), pa.string(), pa.bool_()], ["doc", "text", "original"]
+    rows = [(i, t, True) for i, t in enumerate(texts)]
+
+    def packed():
+        for i in range(0, n, batch):
+            yield suffix_dedup.table(rows[i : i + batch], kinds, names)
+
+    common = suffix_dedup.common_cells(spark.createDataFrame([(t,) for t in texts[::40] if len(t) >= 50], "text string"))
+    first = [r for made in suffix_dedup.emit_runs(50, common)(packed()) for r in zip(*made.to_pydict().values(), strict=True)]
+    to_bucket = Counter()
+    for bucket, least, doc, *_ in first:
+        if bucket >= 0:
+            to_bucket.update((bucket, x) for x in np.frombuffer(least, "u4").tolist())
+    # A third of 200,000 documents has these; two go to the bucket. A minimizer of one document in a slice always goes.
+    last = np.unpackbits(np.frombuffer(common, np.uint8))
+    hot = [(int(m) % 50, int(m) // 50 % 2**32) for m in suffix_dedup.runs(np.frombuffer(shared.encode(), np.uint8), last)[0]]
+    assert {to_bucket[m] for m in hot} == {2} and max(to_bucket.values()) <= 20
+    # Nothing is lost: all windows of the shared string are found in all its documents.
+    inner = Counter()
+    ordered = sorted(first, key=lambda r: r[0])
+    kinds1, names1 = [pa.int32(), *[pa.binary()] * 4], ["bucket", "least", "doc", "first", "count"]
+    runs_of: dict[int, list] = defaultdict(list)
+    for made in suffix_dedup.shared_runs(iter([suffix_dedup.table(ordered, kinds1, names1)])):
+        for doc, at, count, bucket in zip(*made.to_pydict().values(), strict=True):
+            runs_of[doc].append({"first": at, "count": count, "bucket": bucket})
+            inner[doc] += sum(41 <= k <= 41 + 100 for k in range(at, at + count))
+    assert all(inner[i] == 101 for i in range(0, n, 3))
+
+    def with_runs():
+        kind = pa.list_(pa.struct([("first", pa.int64()), ("count", pa.int32()), ("bucket", pa.int32())]))
+        for made, i in zip(packed(), range(0, n, batch), strict=True):
+            yield made.append_column("runs", pa.array([runs_of.get(d) for d in range(i, i + batch)], kind))
+
+    second = [r for made in suffix_dedup.emit_bytes(with_runs()) for r in zip(*made.to_pydict().values(), strict=True)]
+    # Runs on the edges go to many buckets: their minimizers have different bytes from outside.
+    in_bucket = Counter()
+    for bucket, _, _, _, doc, _ in second:
+        in_bucket[bucket] += len(doc) // 8 if bucket >= 0 else 0
+    assert max(in_bucket.values()) < n / 3 / 8
+    spans = defaultdict(list)
+    kinds2, names2 = [pa.int32(), *[pa.binary()] * 5], ["bucket", "bytes", "sizes", "run", "doc", "at"]
+    ordered = suffix_dedup.table(sorted(second, key=lambda r: r[0]), kinds2, names2)
+    for made in suffix_dedup.earlier_matches(iter([ordered])):
+        for doc, _, low, high in zip(*made.to_pydict().values(), strict=True):
+            spans[doc].append((low, high))
+    # Behind the first document the whole passage goes, with the spaces and what is equal around it.
+    assert 0 not in spans and len(spans) == len(range(3, n, 3))
+    assert all(low <= 41 and high >= 191 for s in spans.values() for low, high in suffix_dedup.merged(s))
+
+
+@pytest.mark.parametrize("bound", [0, 1 << 18])
+def test_what_a_task_remembers_changes_no_result(spark, documents, bound, monkeypatch):
+    rows = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
+    marked = sorted(rows + [(i + 1_000_000, t[:200] if t else t) for i, t in rows])
+    docs = pa.array([i for i, _ in marked]), pa.array([t or "" for _, t in marked]), pa.array([True] * len(marked))
+    whole = pa.RecordBatch.from_arrays(docs, ["doc", "text", "original"])
+    monkeypatch.setattr(suffix_dedup, "REMEMBERED", bound)
+    monkeypatch.setattr(suffix_dedup, "REMEMBERED_BYTES", bound)
+
+    def found(size: int) -> dict[int, list]:
+        parts = [whole.slice(i, size) for i in range(0, len(whole), size)]
+        rows = [r for made in suffix_dedup.emit_runs(20)(iter(parts)) for r in zip(*made.to_pydict().values(), strict=True)]
+        kinds, names = [pa.int32(), *[pa.binary()] * 4], ["bucket", "least", "doc", "first", "count"]
+        sorted_rows = suffix_dedup.table(sorted(rows, key=lambda r: r[0]), kinds, names)
+        runs_of = defaultdict(list)
+        for made in suffix_dedup.shared_runs(iter([sorted_rows])):
+            for doc, at, count, bucket in zip(*made.to_pydict().values(), strict=True):
+                runs_of[doc].append({"first": at, "count": count, "bucket": bucket})
+        kind = pa.list_(pa.struct([("first", pa.int64()), ("count", pa.int32()), ("bucket", pa.int32())]))
+        parts = [p.append_column("runs", pa.array([runs_of.get(d) for d in p.column("doc").to_pylist()], kind)) for p in parts]
+        rows = [r for made in suffix_dedup.emit_bytes(iter(parts)) for r in zip(*made.to_pydict().values(), strict=True)]
+        kinds, names = [pa.int32(), *[pa.binary()] * 5], ["bucket", "bytes", "sizes", "run", "doc", "at"]
+        sorted_rows = suffix_dedup.table(sorted(rows, key=lambda r: r[0]), kinds, names)
+        spans = defaultdict(list)
+        for made in suffix_dedup.earlier_matches(iter([sorted_rows])):
+            for doc, _, low, high in zip(*made.to_pydict().values(), strict=True):
+                spans[doc].append((low, high))
+        return {d: suffix_dedup.merged(s) for d, s in spans.items()}
+
+    # One slice for all texts compares everything; small ones put more aside.
+    assert found(7) == found(50) == found(len(whole))
+
+
 def test_the_second_half_of_a_mark_does_not_follow_from_the_first(spark):
     made = spark.createDataFrame([("some text",), ("other",)], "text string").select(suffix_dedup.text_mark("text").alias("mark"), "text")
     for row in made.collect():
