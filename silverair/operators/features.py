@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverair.functions import elements as E
-from silverair.operators.cells import sums_within
+from silverair.operators.reach import located, reach
 from silverair.operators.spatial import radius_join
 from silverair.session import materialise
 
@@ -52,33 +52,34 @@ def features_near(sites: DataFrame, elements: DataFrame, radius_m: float, site:
     """``FEATURE_COUNTS`` of distinct elements and the label of the nearest area, at most ``radius_m`` away.
 
     Only sites with something in reach are in the result; ``area`` may be null. An
-    element may have several rows, and its tags in any of them. One that has a
-    single position is summed in cells. One with several positions may be in
-    reach of a site more than once; those are paired, and counted once per site.
-    So are areas, which are few. Equally near areas go by type and number.
+    element may have several rows, and its tags in any of them. One with several
+    positions may be in reach of a site more than once, and is counted once. Equally
+    near areas go by type and number. Sites with several positions, which should be
+    few, are paired with their elements, so that they too count each of them once.
     """
     k, t = F.col("type"), F.col("tags")
     tests = (E.is_building(k, t), E.is_main_building(k, t), E.is_highway(k, t))
     flags = [F.coalesce(test, F.lit(False)).cast("bigint").alias(n) for n, test in zip(FEATURE_COUNTS, tests, strict=True)]
-    counts = " + ".join(FEATURE_COUNTS) + " > 0"
-    located = elements.where("lat is not null and lon is not null").select("type", "id", "lat", "lon", "tags", *flags)
-    flagged = located.where(counts)
-    ends = [F.min(c).alias(f"__min_{c}") for c in ("lat", "lon")] + [F.max(c).alias(f"__max_{c}") for c in ("lat", "lon")]
-    # Summed and searched for moved elements: folded once.
-    folded = materialise(flagged.groupBy("type", "id").agg(*ends, *[F.max(n).alias(n) for n in FEATURE_COUNTS]), "elements")
-    resting = (F.col("__min_lat") == F.col("__max_lat")) & (F.col("__min_lon") == F.col("__max_lon"))
-    single = folded.where(resting).select(F.col("__min_lat").alias("lat"), F.col("__min_lon").alias("lon"), *FEATURE_COUNTS)
-    summed = sums_within(sites, single, radius_m, FEATURE_COUNTS, site)
-
-    names = folded.where(~resting).select(F.col("type").alias("__type"), F.col("id").alias("__id"))
-    same = k.eqNullSafe(F.col("__type")) & F.col("id").eqNullSafe(F.col("__id"))
-    none = F.lit(None).cast("string").alias("area")
-    moved = flagged.join(names, same, "left_semi").select("type", "id", "lat", "lon", *FEATURE_COUNTS, none)
     label = F.when(E.has_area(t), E.area_label(t)).alias("area")
-    areas = located.where(E.has_area(t)).select("type", "id", "lat", "lon", *[F.lit(0).cast("bigint").alias(n) for n in FEATURE_COUNTS], label)
-    pairs = radius_join(sites.select(site, "lat", "lon").distinct(), moved.unionByName(areas), radius_m)
-    nearest = F.min(F.when(F.col("area").isNotNull(), F.struct("distance_m", "type", "id", "area"))).alias("nearest")
-    once = pairs.groupBy(site, "type", "id").agg(*[F.max(n).alias(n) for n in FEATURE_COUNTS], nearest)
-    apart = once.groupBy(site).agg(*[F.sum(n).alias(n) for n in FEATURE_COUNTS], F.min("nearest").alias("nearest"))
-    both = summed.unionByName(apart.select(site, *FEATURE_COUNTS, F.col("nearest.area").alias("area")), allowMissingColumns=True)
-    return both.groupBy(site).agg(*[F.sum(n).alias(n) for n in FEATURE_COUNTS], F.max("area").alias("area"))
+    used = located(elements).select("type", "id", "lat", "lon", *flags, label)
+    used = used.where(" + ".join(FEATURE_COUNTS) + " > 0 or area is not null")
+    most = [F.max(n).alias(n) for n in FEATURE_COUNTS]
+    # Read once to count the rows of a tile, and once to deal them out.
+    folded = materialise(used.groupBy("type", "id", "lat", "lon").agg(*most, F.min("area").alias("area")), "elements")
+
+    placed = located(sites.select(site, "lat", "lon")).distinct()
+    ends = [f(c).alias(f"__{f.__name__}_{c}") for f in (F.min, F.max) for c in ("lat", "lon")]
+    several = placed.groupBy(site).agg(*ends).where("__min_lat < __max_lat or __min_lon < __max_lon").select(site)
+    several = materialise(several, "several")
+    if several.isEmpty():
+        found = reach(placed, folded, radius_m, FEATURE_COUNTS, site, ["type", "id"], nearest=["type", "id", "area"])
+        return found.select(site, *FEATURE_COUNTS, F.col("nearest.area").alias("area"))
+    own = several.select(F.col(site).alias("__site"))
+    same = F.col(site).eqNullSafe(F.col("__site"))
+    one = placed.join(own, same, "left_anti")
+    found = reach(one, folded, radius_m, FEATURE_COUNTS, site, ["type", "id"], nearest=["type", "id", "area"])
+    pairs = radius_join(placed.join(own, same, "left_semi"), folded, radius_m)
+    near = F.min(F.when(F.col("area").isNotNull(), F.struct("distance_m", "type", "id", "area"))).alias("nearest")
+    once = pairs.groupBy(site, "type", "id").agg(*most, near)
+    paired = once.groupBy(site).agg(*[F.sum(n).alias(n) for n in FEATURE_COUNTS], F.min("nearest").alias("nearest"))
+    return found.unionByName(paired).select(site, *FEATURE_COUNTS, F.col("nearest.area").alias("area"))
