@@ -9,7 +9,7 @@ from silverair.functions.text import first_present
 from silverair.operators.dedupe import distinct_sites
 from silverair.operators.features import tag_features
 from silverair.operators.nested import explode_where, stamp_source, unwrap_envelope, wrap_envelope, zip_explode
-from silverair.operators.spatial import radius_join
+from silverair.operators.reach import reach
 from silverair.plans import bronze
 from silverair.plans.silver import is_pm25
 from suite.base import LOCATIONS_SQL, Tables, instant_sql, instant_text, locations, query
@@ -223,11 +223,10 @@ def q_radius_join(t: Tables) -> DataFrame:
 
     sites = place(t.customer, "c_custkey", "c_acctbal", 37, 1009, "site_id")
     elements = place(t.supplier, "s_suppkey", "s_acctbal", 61, 1013, "element_id")
-    pairs = radius_join(sites, elements, 5000)
-    return pairs.groupBy("site_id").agg(
-        F.count(F.lit(1)).alias("elements"),
-        F.round(F.min("distance_m"), 3).alias("nearest_m"),
-        F.min("element_id").alias("first_element"),
+    counted = elements.withColumn("elements", F.lit(1).cast("bigint"))
+    found = reach(sites, counted, 5000, ["elements"], "site_id", least="element_id", nearest=[])
+    return found.select(
+        "site_id", "elements", F.round("nearest.distance_m", 3).alias("nearest_m"), F.col("element_id").alias("first_element")
     )
 
 

@@ -11,6 +11,7 @@ from helpers import plan, rows
 from silverair.operators import features, reach
 from silverair.operators.features import FEATURE_COUNTS, features_near
 from silverair.operators.spatial import radius_join
+from suite import QUERIES
 
 CORNERS = [(0, 0), (48, 11), (60, 179.99), (89.99, 5), (-89.95, -170)]
 
@@ -95,3 +96,27 @@ def test_a_site_with_two_positions_counts_an_element_once(spark):
     )
     got = features_near(sites, elements, 300.0, "location_id").select("location_id", "building_count_all", "area")
     assert rows(got) == [(1, 1, "landuse=farm"), (2, 1, "landuse=farm")]
+
+
+def test_the_radius_query_compares_in_blocks(spark, tmp_path):
+    """Tasks are as many as the work asks for, however few bytes it reads, and repeated rows have their pairs."""
+    for name, key, balance, n in (("customer", "c_custkey", "c_acctbal", 4000), ("supplier", "s_suppkey", "s_acctbal", 300)):
+        row = F.col("id") % (n - 5)
+        spark.range(n).select(row.alias(key), (row * 7919 % 1_000_000 / 100.0).alias(balance)).write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = QUERIES["q_radius_join"](spark, str(tmp_path))
+    s, e = (spark.read.parquet(str(tmp_path / f"{name}.parquet")) for name in ("customer", "supplier"))
+    place = lambda df, key, bal, f, p, name: df.select(
+        F.col(key).alias(name), (F.lit(45) + F.col(bal) / 10000).alias("lat"), (7 + F.col(key) * f % p / F.lit(float(p))).alias("lon")
+    )
+    pairs = radius_join(place(s, "c_custkey", "c_acctbal", 37, 1009, "site_id"), place(e, "s_suppkey", "s_acctbal", 61, 1013, "element_id"), 5000)
+    want = pairs.groupBy("site_id").agg(F.count("*"), F.round(F.min("distance_m"), 3), F.min("element_id"))
+    assert rows(got, "site_id") == rows(want, "site_id")
+    assert "CoGroup" in plan(got)
+
+
+def test_work_decides_the_number_of_tasks(spark, monkeypatch):
+    monkeypatch.setattr(reach, "TASK_PAIRS", 1000)
+    at = spark.range(300).select(F.col("id").alias("location_id"), F.lit(48.0).alias("lat"), (F.col("id") / 1000).alias("lon"), F.lit(1).alias("one"))
+    found = reach.reach(at, at, 1000.0, ["one"])
+    assert found.agg(F.count("*"), F.min("one")).first() == (300, 14)
+    assert plan(found).count("REPARTITION_BY_NUM") >= 2
