@@ -258,10 +258,14 @@ def capped(rows: DataFrame, at: str, n: int | None) -> DataFrame:
 def backfill_measurements(
     sensors: DataFrame, readings: DataFrame, start: Column, end: Column, at: str, max_per_window: int | None = None
 ) -> DataFrame:
-    """Readings between ``start`` and ``end``, asked for by month and sensor."""
-    requests = st.month_requests(sensors.select("sensor_id"), start, end)
+    """Readings between ``start`` and ``end``, asked for by month and sensor.
+
+    All sensors are asked for the same months, so a reading tells the window of its
+    request, and only sensors are joined, not the requests of all their months.
+    """
+    date_from, date_to = times.month_window("month", start, end)
     rows = readings.where(F.col(at).between(start, end)).withColumn("month", times.month_start(at))
-    rows = st.within_window(rows, requests, ["sensor_id", "month"], at).drop("date_from", "date_to")
+    rows = rows.where(F.col(at).between(date_from, date_to)).join(sensors.select("sensor_id"), "sensor_id", "left_semi")
     return _capped(rows, ["sensor_id", "month"], at, max_per_window).drop("month")
 
 

@@ -258,3 +258,16 @@ def test_windows_reach_the_scan(spark, tmp_path):
         assert len(rows(frame)) == 2
         text = plan(frame)
         assert "GreaterThanOrEqual(at" in text and "LessThanOrEqual(at" in text
+
+
+def test_a_backfill_joins_sensors_and_not_their_months(spark):
+    sensors = spark.range(2000).select(F.col("id").alias("sensor_id")).unionByName(spark.range(10).select(F.col("id").alias("sensor_id")))
+    at = F.lit(datetime(2016, 1, 1)) + F.make_interval(days=F.col("id") % 4000, secs=(F.col("id") % 7).cast("decimal(18,6)"))
+    data = spark.range(6000).select((F.col("id") % 3000).alias("sensor_id"), F.col("id").alias("value"), at.alias("at"))
+    start, end = F.lit(datetime(2017, 3, 5, 12)), F.lit(datetime(2025, 2, 10))
+    found = bronze.backfill_measurements(sensors, data, start, end, "at")
+    want = data.where(F.col("at").between(start, end) & (F.col("sensor_id") < 2000))
+    assert rows(found) == rows(want) and found.columns == ["sensor_id", "value", "at"]
+    text = plan(found)
+    # A hundred months of each sensor would be generated.
+    assert "Generate" not in text and "LeftSemi" in text
