@@ -299,39 +299,55 @@ def packed_places(places: list[tuple[int, int, int, int]]) -> tuple[bytes, bytes
     return place[:, 0].astype("<u4").tobytes(), place[:, 1].tobytes(), place[:, 2:].astype("<u4").tobytes()
 
 
-def dense_ranks(keys: np.ndarray) -> np.ndarray:
-    """Rank of each key among the distinct ones, in four bytes."""
-    order = np.argsort(keys, kind="stable").astype(np.int32)
-    keys = keys[order]
-    steps = np.append(0, np.cumsum(keys[1:] != keys[:-1], dtype=np.int32)).astype(np.int32)
-    rank = np.empty(len(keys), np.int32)
-    rank[order] = steps
+def by_digits(keys: np.ndarray, order: np.ndarray, digits: int) -> np.ndarray:
+    """``order`` sorted by the lowest ``digits`` 16-bit digits of its keys; equal keys stay as they were.
+
+    Numpy sorts numbers of 16 bits by counting, several times as fast as longer ones.
+    """
+    for digit in range(digits):
+        part = (keys >> keys.dtype.type(16 * digit)).astype(np.uint16)
+        order = order[np.argsort(part[order], kind="stable")]
+    return order
+
+
+def dense_ranks(order: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+    """Rank of each position among the distinct combinations of ``keys``, by which ``order`` sorts, in four bytes."""
+    differs = np.zeros(len(order), bool)
+    for key in keys:
+        ordered = key[order]
+        differs[1:] |= ordered[1:] != ordered[:-1]
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.cumsum(differs, dtype=np.int32)
     return rank
 
 
 class Suffixes:
-    """Order of the suffixes of ``data`` by prefix doubling, to a depth that no run exceeds."""
-
-    def __init__(self, data: bytes) -> None:
-        # Every position has 2 * DEPTH bytes behind it.
-        self.first = eights(np.frombuffer(data + END * (2 * DEPTH + 8), np.uint8)).byteswap()
-        rank, depth = dense_ranks(self.first), 8
+    """Order of the suffixes of ``data`` by prefix doubling, to a depth that by default no run exceeds."""
+
+    def __init__(self, data: bytes, deepest: int = DEPTH) -> None:
+        self.deepest = deepest
+        # Every position has twice the depth of bytes behind it.
+        self.first = eights(np.frombuffer(data + END * (2 * deepest + 8), np.uint8)).byteswap()
+        order, depth = by_digits(self.first, np.arange(len(self.first), dtype=np.int32), 4), 8
+        rank = dense_ranks(order, self.first)
         self.levels = [(depth, rank)]
-        while depth < DEPTH:
-            step = min(depth, DEPTH - depth)
-            pair = rank[:-step] * np.int64(len(self.first) + 1) + rank[step:]
-            rank, depth = dense_ranks(pair), depth + step
+        while depth < deepest:
+            step = min(depth, deepest - depth)
+            # The order so far, seen from ``step`` bytes before, is that of the second halves.
+            order = order - np.int32(step)
+            order = by_digits(rank[:-step], order[order >= 0], 2)
+            rank, depth = dense_ranks(order, rank[:-step], rank[step:]), depth + step
             self.levels.append((depth, rank))
 
     def common_prefix(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Length of the longest common prefix of the suffixes at ``a`` and ``b``, up to DEPTH at least."""
+        """Length of the longest common prefix of the suffixes at ``a`` and ``b``, up to the depth at least."""
         length = np.zeros(len(a), np.int32)
         for depth, rank in reversed(self.levels):
-            within = length < DEPTH
+            within = length < self.deepest
             same = rank[np.where(within, a + length, 0)] == rank[np.where(within, b + length, 0)]
             length += np.int32(depth) * (within & same)
         # Fewer than eight bytes are left: the leading zero bytes of what differs.
-        rest = length < DEPTH
+        rest = length < self.deepest
         differs = self.first[a[rest] + length[rest]] ^ self.first[b[rest] + length[rest]]
         zeros = np.zeros(len(differs), np.int32)
         for step in (4, 2, 1):
@@ -385,15 +401,15 @@ def earlier_matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         smallest = np.full(len(size), np.iinfo(np.int64).max)
         np.minimum.at(smallest, run, doc)
 
-        # Suffixes that windows start, in their order.
-        suffixes = Suffixes(END.join(known))
+        # Suffixes that windows start, in their order. Whether a factor has LENGTH bytes shows at that depth.
+        suffixes = Suffixes(END.join(known), LENGTH)
         begin = np.cumsum(size + 1) - size - 1
         windows = size - LENGTH + 1
         head = np.cumsum(windows) - windows
         # Positions in a bucket fit four bytes.
         owner = np.repeat(np.arange(len(size), dtype=np.int32), windows)
         start = (np.arange(windows.sum()) + np.repeat(begin - head, windows)).astype(np.int32)
-        order = np.argsort(suffixes.levels[-1][1][start], kind="stable").astype(np.int32)
+        order = np.argsort(suffixes.levels[-1][1][start]).astype(np.int32)
         # A match ends where one of the two runs does.
         left = ((begin + size)[owner] - start).astype(np.int32)[order]
         common = np.zeros(len(order), np.int32)

@@ -456,3 +456,28 @@ def test_inner_masks_cover_all_close_pairs(distance):
         for changed in combinations(outside[:: max(1, len(outside) // 12)], distance):
             bits = sum(1 << b for b in changed)
             assert any(not m & bits for m in inner)
+
+
+def test_buckets_sort_suffixes_no_deeper_than_a_match_needs(monkeypatch):
+    """50 bytes decide; the ranks are those of plain sorting, for any bytes."""
+    depths, init = [], suffix_dedup.Suffixes.__init__
+
+    def noted(self, data, *depth):
+        init(self, data, *depth)
+        depths.append(self.levels[-1][0])
+
+    monkeypatch.setattr(suffix_dedup.Suffixes, "__init__", noted)
+    rng = np.random.default_rng(4)
+    run = rng.integers(97, 100, 80).astype(np.uint8).tobytes()
+    places = [(0, 3, 0, 7), (0, 9, 5, 8)]
+    local, doc, at = suffix_dedup.packed_places(places)
+    row = {"bucket": 1, "bytes": run, "sizes": np.array([80], "<u4").tobytes(), "run": local, "doc": doc, "at": at}
+    found = [r for b in suffix_dedup.earlier_matches(iter([pa.RecordBatch.from_pylist([row])])) for r in b.to_pylist()]
+    assert found == [{"doc": 9, "tag": 8, "low": 5, "high": 85}] and depths == [suffix_dedup.LENGTH]
+
+    data = rng.integers(0, 3, 70_000).astype(np.uint8).tobytes() + run * 3
+    padded = data + suffix_dedup.END * 50
+    tails = [padded[i : i + 50] for i in range(len(data))]
+    numbers = {t: n for n, t in enumerate(sorted(set(tails)))}
+    order = np.argsort(suffix_dedup.Suffixes(data, 50).levels[-1][1][: len(data)], kind="stable")
+    assert [numbers[tails[i]] for i in order] == sorted(numbers[t] for t in tails)
