@@ -9,12 +9,15 @@ the window, and a logistic regression over these counts is the calibrated
 threshold. Nothing else enters the score. Each distinct window is compressed once per task.
 
 Toxic dictionary entries are windows or their beginnings, since a stem with many endings
-has no typical window.
+has no typical window, and the windows that begin with such an entry: a short stem inside a
+longer window saves fewer bytes than zstandard asks of a compressed block. Near copies of
+a text count once, or all their windows would be typical.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -31,6 +34,10 @@ FRAME = b"\n\n\n\n"
 LONGEST = 64
 # Beginnings of windows from this length on may be dictionary entries.
 SHORTEST_STEM = 4
+# Texts of so many windows or more are near copies if they share half of their least hashes of runs.
+COPIED = 8
+RUN = 3
+SKETCH = 64
 # Gains in bytes that are counted, apart for windows of up to so many bytes and for longer ones.
 MARGINS = np.arange(2, 6)
 LENGTHS = np.array([5, 7, 9])
@@ -61,6 +68,35 @@ def pieces(text: str) -> Counter:
     return found
 
 
+def originals(texts: list[str]) -> list[str]:
+    """The texts that are no near copies of an earlier one. Short texts may agree by chance and all count."""
+    kept: list[str] = []
+    first: dict[int, int] = {}
+    for text in texts:
+        found = windows(text)
+        if len(found) >= COPIED:
+            runs = {zlib.crc32(" ".join(found[i : i + RUN]).encode()) for i in range(len(found) - RUN + 1)}
+            sketch = sorted(runs)[:SKETCH]
+            shared = Counter(first[h] for h in sketch if h in first)
+            if 2 * max(shared.values(), default=0) >= len(sketch):
+                continue
+            for h in sketch:
+                first.setdefault(h, len(kept))
+        kept.append(text)
+    return kept
+
+
+def counted(texts: list[str]) -> tuple[Counter, Counter, Counter]:
+    """Texts that have a piece, that have it repeatedly, and that have a window."""
+    once, repeated, whole = Counter(), Counter(), Counter()
+    for text in texts:
+        found = pieces(text)
+        once.update(found.keys())
+        repeated.update(p for p, times in found.items() if times > 1)
+        whole.update(set(windows(text)))
+    return once, repeated, whole
+
+
 @dataclass
 class Dictionaries:
     """Ordinary and toxic windows, typical ones last, and the weights of the calibration."""
@@ -144,22 +180,19 @@ def fit(texts: list[str], labels: list[int], least: float = 20.0, ordinary_windo
 
     A piece is typical of toxic text if the ratio of the texts that have it, once or
     repeatedly, reaches ``least``, however frequent others are. Of pieces that begin
-    each other, the one with the largest ratio is taken. Ordinary windows are those that
-    most ordinary texts have.
+    each other, the one with the largest ratio is taken, and with it every window of the
+    toxic texts that begins with it, unless as many ordinary texts have that. Ordinary
+    windows are those that most ordinary texts have.
     """
     y = np.array(labels, int)
     held = np.arange(len(y)) % 3 == 2
-    toxic, ordinary, whole = (Counter(), Counter()), (Counter(), Counter()), Counter()
-    for text, label in zip((t for t, h in zip(texts, held, strict=True) if not h), y[~held], strict=True):
-        found = pieces(text)
-        once, repeated = toxic if label else ordinary
-        once.update(found.keys())
-        repeated.update(p for p, times in found.items() if times > 1)
-        whole.update(() if label else set(windows(text)))
-    sizes = int(y[~held].sum()), int((1 - y[~held]).sum())
+    ordinary, toxic = ([t for t, h, label in zip(texts, held, y, strict=True) if not h and label == k] for k in (0, 1))
+    toxic = originals(toxic)
+    *marked_pieces, forms = counted(toxic)
+    *other_pieces, whole = counted(ordinary)
     ratios: dict[str, float] = {}
-    for marked, other in zip(toxic, ordinary, strict=True):
-        for piece, ratio in typical(marked, other, *sizes).items():
+    for marked, other in zip(marked_pieces, other_pieces, strict=True):
+        for piece, ratio in typical(marked, other, len(toxic), len(ordinary)).items():
             ratios[piece] = max(ratio, ratios.get(piece, 0.0))
     chosen: list[str] = []
     entries, covered = set(), set()
@@ -169,7 +202,8 @@ def fit(texts: list[str], labels: list[int], least: float = 20.0, ordinary_windo
             entries.add(piece)
             covered.update(beginnings(piece))
     common = sorted((w for w in whole if entries.isdisjoint(beginnings(w))), key=lambda w: (whole[w], w))
-    model = Dictionaries(common[-ordinary_windows:], chosen[::-1])
+    begun = [w for w in forms if forms[w] > whole[w] and w not in entries and not entries.isdisjoint(beginnings(w))]
+    model = Dictionaries(common[-ordinary_windows:], sorted(begun, key=lambda w: (forms[w], w)) + chosen[::-1])
     if held.any() and 0 < y[held].mean() < 1:
         reached, n, _ = Comparison(model).counts([t for t, h in zip(texts, held, strict=True) if h])
         model.weights = logistic(_features(reached, n), y[held], 1e-3)

@@ -184,6 +184,39 @@ def test_stems_with_many_endings_are_toxic_beside_a_frequent_insult():
     assert toxic.tolist() == [1, 0] and n.tolist() == [3, 3]
 
 
+def test_short_stems_with_endings_are_caught_beside_copied_texts(spark):
+    """Of a language of its own, whose toxic words are a stem of five letters with some ending."""
+    rng = np.random.default_rng(5)
+    words = ["".join(w) for w in rng.choice(list("aehinrstu"), (400, 6))]
+    ends = ["un", "ig", "tum", "isch", "wei", "ient", "schaft", "ck"]
+
+    def prose(n):
+        return [str(w) for w in rng.choice(words, n)]
+
+    def rude():
+        return " ".join(sum(([*prose(20), f"lowei{e}"] for e in rng.choice(ends, 3)), []))
+
+    copied = [f"q{w}" for w in words[:60]]
+    copies = [" ".join([*copied[:k], "anders", *copied[k + 1 :], "loweiun"]) for k in range(30)]
+    texts = [" ".join(prose(60)) for _ in range(900)] + [rude() for _ in range(100)] + copies
+    labels = [0] * 900 + [1] * 130
+    order = rng.permutation(len(texts))
+    model = toxicity.fit([texts[i] for i in order], [labels[i] for i in order])
+    assert not set(copied) & set(model.toxic)
+    assert {f"lowei{e}" for e in ends} <= set(model.toxic)
+    new = [" ".join(prose(60)) for _ in range(100)] + [" ".join(copied)] + [rude() for _ in range(100)]
+    docs = spark.createDataFrame(list(enumerate(new)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.toxicity(docs, model).collect()}
+    assert sum(got[i] >= 0.5 for i in range(101, 201)) >= 95 and all(got[i] < 0.5 for i in range(101))
+
+
+def test_texts_are_near_copies_by_their_runs_of_windows():
+    text = " ".join(f"{a}{b}" for a in "abcdefgh" for b in "aeiou")
+    other = " ".join(f"{a}{b}" for a in "abcdefgh" for b in "rstuv")
+    texts = [text, text.replace("ce", "xy"), "", other, text, f"{other} {text}", "so short", "so short", ""]
+    assert toxicity.originals(texts) == [text, "", other, "so short", "so short", ""]
+
+
 def plain_bucket(value: int, kind: int) -> int:
     mix = 0x9E3779B97F4A7C15
     mixed = (value ^ value >> 29 ^ kind * 0x5851F42D4C957F2D % 2**64) * mix % 2**64
