@@ -15,11 +15,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 SLICE_CHARS = 1_500_000
 
 
-def slices(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of consecutive texts with about SLICE_CHARS characters each."""
+def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts with about ``most`` characters each; a longer text is alone."""
     start, size = 0, 0
     for i, text in enumerate(texts):
-        if size and size + len(text) > SLICE_CHARS:
+        if size and size + len(text) > most:
             yield start, i
             start, size = i, 0
         size += len(text) + 1
@@ -47,6 +47,8 @@ def map_texts(
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Spark uses a worker again: what earlier tasks left in Arrow's pool goes back to the system.
+        pa.default_memory_pool().release_unused()
         work = worker()
         for batch in batches:
             texts = [t or "" for t in batch.column(0).to_pylist()]

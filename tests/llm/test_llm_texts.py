@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import struct
+import sys
+import tracemalloc
 import zlib
 from collections import Counter
 from itertools import product
@@ -49,6 +52,47 @@ def test_any_text_is_coded_like_the_library(texts):
         assert back == table.model.decode(want)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(list("ab \n▁\té\x00")), max_size=40), max_size=4))
+def test_bounds_of_memory_change_no_ids_and_no_text(texts):
+    whole = sentencepiece_codec.ChunkTable(open(MODEL, "rb").read())
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(sentencepiece_codec, "GROUP_CHARS", 3)
+        patch.setattr(sentencepiece_codec, "TABLE_BYTES", 500)
+        cut = sentencepiece_codec.ChunkTable(whole.model.serialized_model_proto())
+        got = cut(texts)
+    assert got == whole(texts)
+    assert got == ([whole([t])[0][0] for t in texts], [whole.model.decode(whole.model.encode(t)) for t in texts])
+
+
+def test_the_chunk_table_is_bounded_in_bytes(library, monkeypatch):
+    """Few chunks can be many bytes."""
+    monkeypatch.setattr(sentencepiece_codec, "TABLE_BYTES", 1_000_000, raising=False)
+    table, most = sentencepiece_codec.ChunkTable(open(MODEL, "rb").read()), 0
+    for seed in range(6):
+        deal = random.Random(seed)
+        texts = [" ".join("".join(deal.choices("abcdeé", k=3000)) for _ in range(10)) for _ in range(20)]
+        ids, decoded = table(texts)
+        want = library.encode(texts[0], add_bos=True, add_eos=True)
+        assert ids[0] == struct.pack(f"<{len(want)}I", *want) and decoded[0] == texts[0]
+        most = max(most, sum(map(sys.getsizeof, [*table.ids, *table.ids.values(), *table.text.values()])))
+    # One group of texts may come on top.
+    assert most < 4_000_000
+
+
+@pytest.mark.parametrize("n", [1, 400])
+def test_coding_holds_the_chunks_of_a_part_only(n):
+    table = sentencepiece_codec.ChunkTable(open(MODEL, "rb").read())
+    texts = ["some few words that come again and again\n" * (40_000 // n)] * n
+    table(texts[:1] if n > 1 else [texts[0][:4000]])
+    tracemalloc.start()
+    ids, decoded = table(texts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert decoded == texts
+    assert most < 6 * sum(map(len, texts)) + 2 * sum(map(len, ids))
+
+
 def test_token_query_reads_whole_table(spark, folder, library):
     got = {r.doc_id: r for r in QUERIES["op9_sentencepiece"](spark, folder).collect()}
     for row in spark.read.parquet(f"{folder}/documents.parquet").collect():
